@@ -69,8 +69,8 @@ ANALYTICS: dict[str, T.StructType] = {
         last_sale_date date, total_sales long, total_revenue money, avg_rating rating,
         created_at ts, updated_at ts"""),
     "dim_date": _table("""date_key int!, full_date date!, year int, quarter int, month int,
-        month_name str, week int, day_of_month int, day_of_year int, day_of_week int,
-        day_name str, is_weekend bool"""),
+        month_name str, week int, week_of_year int, day_of_month int, day_of_year int,
+        day_of_week int, day_name str, is_weekend bool, created_at ts"""),
     "dim_ab_test": _table("""test_key long!, test_id str!, test_name str, test_type str,
         hypothesis str, start_date date, end_date date, status str, success_metric str,
         created_at ts"""),

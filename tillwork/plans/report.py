@@ -12,7 +12,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillwork.functions.scalars import money, or_zero, rate_pct, safe_divide
+from tillwork.functions.scalars import money, or_zero, safe_divide
 from tillwork.operators.aggregates import top_n
 from tillwork.operators.bayes import conclusion, report_rates
 from tillwork.operators.joins import attach_one_row
@@ -198,11 +198,3 @@ def month_status(summary: DataFrame, year: int, month: int) -> DataFrame:
         "total_orders",
         F.lit("completed").alias("report_status"),
     )
-
-
-def segment_share(segment_rows: DataFrame) -> DataFrame:
-    """Each segment's share of the month's customers, in percent."""
-    total = segment_rows.agg(F.sum("customers").alias("all_customers"))
-    return attach_one_row(segment_rows, total).withColumn(
-        "customer_share", rate_pct(F.col("customers"), F.col("all_customers"))
-    )
