@@ -36,9 +36,12 @@ class Warehouse:
     def read(self, name: str) -> DataFrame:
         return scan_table(self.spark, self.table_path(name))
 
-    def write(self, name: str, df: DataFrame) -> DataFrame:
-        """Replace one table.  ``df`` must not read that same table."""
-        rows = catalog.conform(df, name)
+    def write(self, name: str, df: DataFrame, conform: bool = True) -> DataFrame:
+        """Replace one table.  ``df`` must not read that same table.
+
+        Without ``conform`` the columns and types of ``df`` are stored as they are.
+        """
+        rows = catalog.conform(df, name) if conform else df
         by: list[str] = []
         if name in catalog.FACT_DATE_KEY:
             key = F.col(catalog.FACT_DATE_KEY[name])
