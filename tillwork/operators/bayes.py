@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tillwork.functions.dates import key_of
 from tillwork.functions.scalars import beta_mean, beta_std, beta_var, normal_cdf, rate_pct
+from tillwork.operators.experiment import key_of_test
 from tillwork.operators.joins import join_test_variant
 from tillwork.operators.merge import merge_upsert
 from tillwork.operators.windows import latest_per
@@ -25,10 +26,11 @@ PARAM = "decimal(15,6)"
 def _exposures(
     events: DataFrame, tests: DataFrame, test_id: str, cutoff: dt.date
 ) -> DataFrame:
-    test = tests.where(F.col("test_id") == test_id).select("test_key")  # unique, so one row
     return events.where(
-        (F.col("event_type") == "exposure") & (F.col("event_date_key") <= key_of(cutoff))
-    ).join(F.broadcast(test), "test_key")
+        (F.col("event_type") == "exposure")
+        & (F.col("event_date_key") <= key_of(cutoff))
+        & (F.col("test_key") == key_of_test(tests, test_id))
+    )
 
 
 def _prior_rows(

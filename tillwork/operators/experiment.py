@@ -21,6 +21,11 @@ def assign_variant(
     return df.withColumn(name, allocate(F.col(id_col), allocations))
 
 
+def key_of_test(tests: DataFrame, test_id: str) -> Column:
+    """The key of a test as a scalar subquery; two tests of one id fail the query."""
+    return tests.where(F.col("test_id") == test_id).select("test_key").scalar()
+
+
 def high_value_threshold(sales: DataFrame, factor: float = 1.2) -> DataFrame:
     """One row: ``factor`` times the mean line value; NULL without sales."""
     mean = F.sum("total_value").cast("double") / F.nullif(F.count("total_value"), F.lit(0))
@@ -43,13 +48,12 @@ def exposure_events(
     customer counts more than one order payment.  Without any sales there is
     no threshold and nobody is assigned.
     """
-    # test_id is unique, so this is one row
-    test = tests.where(F.col("test_id") == test_id).select("test_key")
-    arms = variants.join(F.broadcast(test), "test_key").select("test_key", "variant_key", "variant_id")
+    arms = variants.where(F.col("test_key") == key_of_test(tests, test_id))
     assigned = join_bucket(
         customers.select("customer_key", "customer_id", "total_orders"),
         arms,
-        allocate(F.col("customer_id"), allocations),
+        F.col("customer_id"),
+        allocations,
         ("test_key", "variant_key"),
     )
     lines = fan_out(assigned, sales.select("customer_key", "total_value"), "customer_key")

@@ -14,8 +14,7 @@ from pyspark.sql import functions as F
 
 from tillwork.functions.scalars import hash_bucket
 
-# Traffic shares have two decimals of a percent, so a test has at most this
-# many variants that can receive anyone.
+# Traffic shares have two decimals of a percent.
 ALLOCATION_STEPS = 10_000
 
 
@@ -56,15 +55,19 @@ def attach_one_row(df: DataFrame, one_row: DataFrame) -> DataFrame:
 
 
 def join_bucket(
-    df: DataFrame, variants: DataFrame, variant: Column, columns: Sequence[str] = ("variant_key",)
+    df: DataFrame,
+    variants: DataFrame,
+    key: Column,
+    allocations: Mapping[str, float],
+    columns: Sequence[str] = ("variant_key",),
 ) -> DataFrame:
-    """Equi-join to the variants of one test on a variant computed from the row.
+    """Equi-join to the variants of one test on the variant the key's hash bucket falls to.
 
-    ``variants`` are those of a single test, at most ``ALLOCATION_STEPS`` of
-    them, which is why they may be broadcast.
+    Only variants named in ``allocations`` can match, at most one row each, so
+    the side that is broadcast is no longer than that mapping.
     """
-    arms = variants.select("variant_id", *columns)
-    return df.withColumn("variant_id", variant).join(F.broadcast(arms), "variant_id")
+    arms = variants.where(F.col("variant_id").isin(list(allocations))).select("variant_id", *columns)
+    return df.withColumn("variant_id", allocate(key, allocations)).join(F.broadcast(arms), "variant_id")
 
 
 def allocate(key: Column, allocations: Mapping[str, float]) -> Column:

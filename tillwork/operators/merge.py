@@ -146,9 +146,12 @@ def surrogate_key(
     """
     keys = [natural_key] if isinstance(natural_key, str) else list(natural_key)
     fresh = name not in df.columns
-    text = F.concat_ws("\x1f", *[F.col(k).cast("string") for k in keys])
+    parts = [F.col(k).cast("string") for k in keys]
+    text = parts[0] if len(parts) == 1 else F.concat_ws("\x1f", *parts)
     lacks = F.lit(True) if fresh else F.col(name).isNull()
-    numbered = df.withColumn("__bucket", F.when(lacks, hash_bucket(text, buckets)))
+    # never NULL, so the join below adds no null filter that would hash every key again
+    bucket = F.coalesce(hash_bucket(text, buckets), F.lit(0))
+    numbered = df.withColumn("__bucket", bucket)
 
     # at most ``buckets`` rows from here on, hence the plain window and the broadcast
     running = Window.orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)

@@ -275,37 +275,33 @@ def build_ab_dims(
     With ``target`` (tests, variants) only what is missing there is added.
     """
     stamp = F.lit(run_ts).cast("timestamp_ntz").alias("created_at")
+    facts = ("test_id", "test_name", "test_type", "hypothesis", "status", "success_metric")
     test_rows = values_table(
         spark,
-        [tuple(test[c] for c in ("test_id", "test_name", "test_type", "hypothesis", "status", "success_metric"))],
-        "test_id string, test_name string, test_type string, hypothesis string, status string, "
-        "success_metric string",
+        [(1, *(test[c] for c in facts))],
+        "test_key bigint, test_id string, test_name string, test_type string, hypothesis string, "
+        "status string, success_metric string",
     ).select(
-        "test_id", "test_name", "test_type", "hypothesis",
+        "test_key", "test_id", "test_name", "test_type", "hypothesis",
         F.lit(start_date).cast("date").alias("start_date"), F.lit(None).cast("date").alias("end_date"),
         "status", "success_metric", stamp,
     )
-    if target is None:
-        tests = surrogate_key(test_rows, "test_id", "test_key", buckets=1)
-    else:
-        tests = surrogate_key(
-            merge_insert_absent(target[0], test_rows, ["test_id"]), "test_id", "test_key", buckets=1
-        )
-    owner = tests.where(F.col("test_id") == test["test_id"]).select("test_key")
     columns = ("variant_id", "variant_name", "description", "is_control", "traffic_allocation")
+    # a fresh load numbers its few literal rows here; a merge continues the stored keys
     arms = values_table(
         spark,
-        [(test["test_id"], *(v[c] for c in columns)) for v in variants],
-        "test_id string, variant_id string, variant_name string, description string, "
+        [(n, 1, *(v[c] for c in columns)) for n, v in enumerate(variants, start=1)],
+        "variant_key bigint, test_key bigint, variant_id string, variant_name string, description string, "
         "is_control boolean, traffic_allocation double",
-    )
-    variant_rows = (
-        arms.withColumn("test_key", owner.scalar())
-        .withColumn("traffic_allocation", F.col("traffic_allocation").cast("decimal(5,2)"))
-        .select("test_key", *columns, stamp)
-    )
-    natural = ["test_key", "variant_id"]
+    ).withColumn("traffic_allocation", F.col("traffic_allocation").cast("decimal(5,2)"))
+    variant_rows = arms.select("variant_key", "test_key", *columns, stamp)
     if target is None:
-        return tests, surrogate_key(variant_rows, natural, "variant_key", buckets=1)
-    merged = merge_insert_absent(target[1], variant_rows, natural)
+        return test_rows, variant_rows
+
+    merged = merge_insert_absent(target[0], test_rows.drop("test_key"), ["test_id"])
+    tests = surrogate_key(merged, "test_id", "test_key", buckets=1)
+    owner = tests.where(F.col("test_id") == test["test_id"]).select("test_key").scalar()
+    keyed = variant_rows.drop("variant_key").withColumn("test_key", owner)
+    natural = ["test_key", "variant_id"]
+    merged = merge_insert_absent(target[1], keyed, natural)
     return tests, surrogate_key(merged, natural, "variant_key", buckets=1)

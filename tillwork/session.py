@@ -16,6 +16,9 @@ RECOMMENDED = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # columnar files are smaller than their rows: without this a large fact
+    # side can look small enough to broadcast
+    "spark.sql.sources.fileCompressionFactor": "4.0",
     # split a skewed join even where that costs a later shuffle
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }

@@ -120,9 +120,7 @@ def join_cross(r):
 def join_computed_predicate(r):
     _, variants = build_ab_dims(r.spark)
     arms = variants.select(F.col("variant_key").cast("int").alias("variant_key"), "variant_id")
-    return joins.join_bucket(
-        r.customers.select("customer_id"), arms, joins.allocate(F.col("customer_id"), EVEN_SPLIT)
-    )
+    return joins.join_bucket(r.customers.select("customer_id"), arms, F.col("customer_id"), EVEN_SPLIT)
 
 
 @query(
