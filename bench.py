@@ -23,22 +23,18 @@ from tillwork.suite.star import stored_star
 
 HEADLINE = [
     "build_dim_customer",
-    "build_dim_seller",
     "build_fact_sales",
     "build_fact_orders",
-    "build_fact_payments",
     "build_fact_reviews",
     "surrogate_key",
     "merge_upsert",
     "merge_insert_absent",
     "window_order_rank",
     "dupe_rows_keep_first",
-    "join_star_multiway",
     "join_fanout_many",
     "agg_count_distinct",
     "dq_report",
     "ab_exposure_events",
-    "ab_conversion_summary",
     "bayes_customer_level_prior",
     "bayes_monthly_chain",
     "bayes_prob_b_beats_a",
