@@ -54,10 +54,7 @@ def ascii_lower(c: Column) -> Column:
 def word_count(text: Column) -> Column:
     """The number of words; null counts as empty.
 
-    White space is squeezed to single blanks between words, and the blanks are counted: no array
-    of words is built.
+    Each word shrinks to one letter, so no array of words is built.
     """
-    blank = F.regexp_replace(F.coalesce(text, F.lit("")), r"[\x09-\x0D]", " ")
-    squeezed = F.trim(F.regexp_replace(blank, " {2,}", " "))
-    gaps = F.length(squeezed) - F.length(F.translate(squeezed, " ", ""))
-    return F.when(squeezed == "", 0).otherwise(gaps + 1).cast("long")
+    letters = F.regexp_replace(text, r"[\x20\x09-\x0D]*+[^\x20\x09-\x0D]++", "w")
+    return F.coalesce(F.length(F.regexp_replace(letters, r"[^w]+", "")), F.lit(0)).cast("long")

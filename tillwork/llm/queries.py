@@ -1,6 +1,8 @@
 """All queries of the package, with their SQL checks."""
 
 from tillwork.llm import (  # noqa: F401
+    mixing,
     urls,
+    wordpiece,
 )
 from tillwork.llm.common import ORACLES, QUERIES  # noqa: F401
