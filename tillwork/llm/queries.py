@@ -2,6 +2,7 @@
 
 from tillwork.llm import (  # noqa: F401
     mixing,
+    pieces,
     tokenfile,
     urls,
     wordpiece,
