@@ -138,8 +138,10 @@ def mix_slots(
         counts.withColumn("first", F.coalesce(F.sum("count").over(earlier), F.lit(0)))
         .withColumn("last", F.least(F.col("first") + F.col("count"), F.col("n_blocks") * most_times) - 1)
         .where("last >= first")
-        .repartition("rank", "shard")
     )
+    # few rows that become many: a number of its own keeps them from being put together
+    spread = int(targets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    runs = runs.repartition(spread, "rank", "shard")
     slots = runs.select("shard", "rank", "n_blocks", F.explode(F.sequence("first", "last")).alias("number"))
     block = permuted(F.col("number") % F.col("n_blocks"), F.col("n_blocks"), [F.col("rank"), F.lit(seed)])
     return slots.select("shard", "rank", "number", block.alias("block"))

@@ -1,6 +1,7 @@
 """All queries of the package, with their SQL checks."""
 
 from tillwork.llm import (  # noqa: F401
+    langid,
     mixing,
     pieces,
     tokenfile,
