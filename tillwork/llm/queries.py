@@ -4,6 +4,7 @@ from tillwork.llm import (  # noqa: F401
     langid,
     mixing,
     pieces,
+    pii,
     tokenfile,
     urls,
     wordpiece,
