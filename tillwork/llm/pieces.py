@@ -10,9 +10,12 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
+from collections import defaultdict
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 from heapq import heapify, heappop, heappush
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -25,9 +28,9 @@ from tillwork.llm.common import query, table
 DROPOUT = 0.1
 SEED = 7
 #: texts are dealt to so many keys, so that a word is cut differently in different texts
-VARIANTS = 4
-#: pieces of one worker's remembered words; others are cut again, with the same result
-REMEMBERED = 600_000
+VARIANTS = 2
+#: words whose ids one worker keeps; others are cut again, with the same result
+REMEMBERED = 900_000
 _MASK = (1 << 64) - 1
 
 
@@ -51,75 +54,101 @@ class Codec:
         # texts have plain spaces here; the mark only exists inside the model
         texts = [p.replace("▁", " ") for p, _ in pieces]
         self.ids = {t: i for i, t in enumerate(texts) if i not in special and t}
-        order = sorted((-score, i) for i, (_, score) in enumerate(pieces) if i not in special)
-        self.rank, place, last = {}, -1, None
-        for cost, i in order:
-            place, last = place + (cost != last), cost
-            self.rank[texts[i]] = place
+        # equal scores share a place: the leftmost candidate goes first
+        costs = {cost: place for place, cost in enumerate(sorted({-pieces[i][1] for i in self.ids.values()}))}
+        self.rank = {t: costs[-pieces[i][1]] for t, i in self.ids.items() if len(t) > 1}
+        self.inside = {t[k : k + 2] for t in self.rank for k in range(len(t) - 1)}
         self.bytes = [t.encode() for t in texts]
         for b, i in enumerate(byte_ids):
             self.bytes[i] = bytes([b])
         for i in skip:
             self.bytes[i] = b""
         self.byte_ids = byte_ids
-        # merges never cross a space that follows something else, nor a line end if no piece has one
+        # no merge crosses two neighbours that no piece has side by side; most often that is at a
+        # space after something else, and at a line end
         inner = any(" " in t.lstrip(" ") for t in self.ids)
-        line = "" if any("\n" in t for t in self.ids if len(t) > 1) else r"\n"
+        line = "" if any("\n" in t for t in self.rank) else r"\n"
         self.chunk = re.compile(r"[\s\S]+" if inner else rf" *[^ {line}]+| +" + (r"|\n" if line else ""))
-        self.known: dict[tuple[str, int], bytes] = {}
+        self.known: dict[int, dict[str, bytes]] = defaultdict(dict)
 
     def spans(self, text: str, key: int) -> Iterator[str]:
-        """The pieces of ``text`` after all merges that are not skipped."""
+        """The pieces of ``text`` after all merges that are not skipped.
+
+        A candidate is a number made of its piece's place in the order and where it begins.  It is
+        out of date unless the two symbols that begin there now are as long as that piece.
+        """
         rank, n, limit = self.rank, len(text), self.limit
-        stop = list(range(1, n + 1))  # the end of the piece that begins here; 0 once it is merged
-        before = list(range(-1, n))  # the begin of the piece that ends here
-        agenda = [(r, i, i + 1, i + 2) for i in range(n - 1) if (r := rank.get(text[i : i + 2])) is not None]
+        width = n + 1  # lengths and begins are below it
+        square = width * width
+        stop = list(range(1, n + 1))  # the end of the symbol that begins here; 0 once it is merged
+        before = list(range(-1, n))  # the begin of the symbol that ends here
+        agenda = [r * square + i * width + 2 for i in range(n - 1) if (r := rank.get(text[i : i + 2])) is not None]
         heapify(agenda)
         while agenda:
-            _, start, mid, end = heappop(agenda)
-            if stop[start] != mid or stop[mid] != end:
+            candidate = heappop(agenda)
+            start, length = divmod(candidate % square, width)
+            mid = stop[start]
+            if not mid or mid == n:
+                continue
+            end = stop[mid]
+            if end - start != length:
                 continue
             if limit:
-                h = (key + start * 0x9E3779B97F4A7C15 + mid * 0xC2B2AE3D27D4EB4F + end * 0x165667B19E3779F9) & _MASK
-                h = ((h ^ (h >> 29)) * 0xBF58476D1CE4E5B9) & _MASK
-                if (h ^ (h >> 32)) & 0xFFFFFFFF < limit:
+                h = (key ^ candidate) * 0x9E3779B97F4A7C15 & _MASK
+                h = (h ^ h >> 29) * 0xBF58476D1CE4E5B9 & _MASK
+                if h >> 32 < limit:
                     continue
             stop[start], stop[mid] = end, 0
             before[end] = start
-            left = before[start]
-            if left >= 0 and (r := rank.get(text[left:end])) is not None:
-                heappush(agenda, (r, left, start, end))
-            if end < n and (r := rank.get(text[start : stop[end]])) is not None:
-                heappush(agenda, (r, start, end, stop[end]))
+            if start:
+                left = before[start]
+                if (r := rank.get(text[left:end])) is not None:
+                    heappush(agenda, r * square + left * width + end - left)
+            if end < n:
+                right = stop[end]
+                if (r := rank.get(text[start:right])) is not None:
+                    heappush(agenda, r * square + start * width + right - start)
         at = 0
         while at < n:
             yield text[at : stop[at]]
             at = stop[at]
 
-    def _cut(self, chunk: str, key: int) -> bytes:
-        out: list[int] = []
-        for piece in self.spans(chunk, xxhash.xxh64_intdigest(chunk.encode(), key)):
+    def _cut(self, part: str, key: int) -> bytes:
+        """The ids of a part that merges may span as a whole."""
+        out = array("I")
+        for piece in self.spans(part, xxhash.xxh64_intdigest(part.encode(), key)):
             known = self.ids.get(piece)
             if known is not None:
                 out.append(known)
             else:
-                out += [self.byte_ids[b] for b in piece.encode()]
-        return np.array(out, "<u4").tobytes()
+                out.extend([self.byte_ids[b] for b in piece.encode()])
+        return out.tobytes()
+
+    def _parts(self, chunk: str) -> list[str]:
+        inside, cuts = self.inside, [0]
+        cuts += [i for i in range(1, len(chunk)) if chunk[i - 1 : i + 1] not in inside]
+        return [chunk[a:b] for a, b in pairwise([*cuts, len(chunk)])]
 
     def encode(self, text: str, key: int = 0) -> bytes:
         """Little-endian unsigned 32-bit ids; an empty text has none."""
         if not text:
             return b""
-        out, known = [], self.known
+        out, known = [], self.known[key]
         for chunk in self.chunk.findall(" " + text):
-            ids = known.get((chunk, key))
+            ids = known.get(chunk)
             if ids is None:
-                ids = self._cut(chunk, key)
-                if len(known) < REMEMBERED and len(chunk) < 64:
-                    known[chunk, key] = ids
+                parts = self._parts(chunk)
+                ids = b"".join([known.get(p) or self._kept(known, p, self._cut(p, key)) for p in parts])
+                if len(parts) > 1:
+                    self._kept(known, chunk, ids)
             out.append(ids)
         return b"".join(out)
 
+    def _kept(self, known: dict[str, bytes], chunk: str, ids: bytes) -> bytes:
+        if len(chunk) < 64 and sum(map(len, self.known.values())) < REMEMBERED:
+            known[chunk] = ids
+        return ids
+
     def decode(self, ids: bytes) -> str:
         return b"".join(map(self.bytes.__getitem__, np.frombuffer(ids, "<u4").tolist()))[1:].decode()
 
