@@ -6,6 +6,7 @@ from tillwork.llm import (  # noqa: F401
     pieces,
     pii,
     tokenfile,
+    shinglejoin,
     topk,
     urls,
     wordpiece,
