@@ -3,6 +3,7 @@
 from tillwork.llm import (  # noqa: F401
     langid,
     mixing,
+    nndescent,
     pieces,
     pii,
     tokenfile,
