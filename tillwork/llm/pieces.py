@@ -174,8 +174,11 @@ def _key(seed: int, doc_id: int | None) -> int:
     return xxhash.xxh64_intdigest(f"{seed}:{xxhash.xxh32_intdigest(str(doc_id)) % VARIANTS}")
 
 
-def _mapped(docs: DataFrame, columns: Callable[..., dict], schema: str) -> DataFrame:
-    """``columns`` makes a dict of new columns from doc_id and the second column of ``docs``."""
+def _mapped(docs: DataFrame, codec: tuple, make: Callable[..., dict], schema: str) -> DataFrame:
+    """``make`` gets the codec, doc_id and the second column of ``docs`` and returns new columns.
+
+    ``codec``: the arguments of ``_codec``, which a task asks for once.
+    """
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
 
@@ -183,11 +186,12 @@ def _mapped(docs: DataFrame, columns: Callable[..., dict], schema: str) -> DataF
     arrow = to_arrow_schema(whole)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = _codec(*codec)
         for batch in batches:
             # a few documents at a time: their ids are far larger than their text
             for small in (batch.slice(i, 500) for i in range(0, batch.num_rows, 500)):
                 rows = zip(small.column(0).to_pylist(), small.column(1).to_pylist(), strict=True)
-                made = [{"doc_id": i, **columns(i, v)} for i, v in rows]
+                made = [{"doc_id": i, **make(own, i, v)} for i, v in rows]
                 yield pa.RecordBatch.from_pylist(made, schema=arrow)
 
     return docs.mapInArrow(run, whole)
@@ -200,20 +204,29 @@ def encoded(docs: DataFrame, parts: tuple, dropout: float = DROPOUT, seed: int =
     ids.
     """
 
-    def one(doc_id, text):
-        ids = None if text is None else np.frombuffer(_codec(parts, dropout).encode(text, _key(seed, doc_id)), "<u4")
-        return {"ids": None if ids is None else ids.tolist()}
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec = _codec(parts, dropout)
+        for batch in batches:
+            # a few documents at a time: their ids are far larger than their text
+            for small in (batch.slice(i, 500) for i in range(0, batch.num_rows, 500)):
+                rows = zip(small.column("doc_id").to_pylist(), small.column("text").to_pylist(), strict=True)
+                made = [None if text is None else codec.encode(text, _key(seed, i)) for i, text in rows]
+                ends = np.cumsum([0, *[len(m or b"") // 4 for m in made]])
+                values = np.frombuffer(b"".join(m or b"" for m in made), "<i4")
+                missing = pa.array([m is None for m in made])
+                ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values), mask=missing)
+                yield pa.RecordBatch.from_arrays([small.column("doc_id"), ids], ["doc_id", "ids"])
 
-    return _mapped(docs.select(F.col("doc_id").cast("long"), "text"), one, "ids array<int>")
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, ids array<int>")
 
 
 def decoded(docs: DataFrame, parts: tuple) -> DataFrame:
     """(doc_id, text) from (doc_id, ids): the text that was encoded, null for null ids."""
 
-    def one(_, ids):
-        return {"text": None if ids is None else _codec(parts, 0.0).decode(np.array(ids, "<u4").tobytes())}
+    def one(codec: Codec, _: int | None, ids: list[int] | None) -> dict:
+        return {"text": None if ids is None else codec.decode(np.array(ids, "<u4").tobytes())}
 
-    return _mapped(docs.select(F.col("doc_id").cast("long"), "ids"), one, "text string")
+    return _mapped(docs.select(F.col("doc_id").cast("long"), "ids"), (parts, 0.0), one, "text string")
 
 
 def round_trip(docs: DataFrame, parts: tuple, dropout: float = DROPOUT, seed: int = SEED) -> DataFrame:
@@ -223,14 +236,12 @@ def round_trip(docs: DataFrame, parts: tuple, dropout: float = DROPOUT, seed: in
     empty.
     """
 
-    def one(doc_id, text):
-        codec, text = _codec(parts, dropout), text or ""
-        ids = codec.encode(text, _key(seed, doc_id))
-        return {"n_ids": len(ids) // 4, "ids_crc32": zlib.crc32(ids), "lossless": codec.decode(ids) == text}
+    def one(codec: Codec, doc_id: int | None, text: str | None) -> dict:
+        ids = codec.encode(text or "", _key(seed, doc_id))
+        return {"n_ids": len(ids) // 4, "ids_crc32": zlib.crc32(ids), "lossless": codec.decode(ids) == (text or "")}
 
-    return _mapped(
-        docs.select(F.col("doc_id").cast("long"), "text"), one, "n_ids long, ids_crc32 long, lossless boolean"
-    )
+    columns = "n_ids long, ids_crc32 long, lossless boolean"
+    return _mapped(docs.select(F.col("doc_id").cast("long"), "text"), (parts, dropout), one, columns)
 
 
 def public_model() -> tuple:
