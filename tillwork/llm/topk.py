@@ -34,6 +34,17 @@ _EXACT = float(1 << 53)
 _INT = pa.list_(pa.int64())
 
 
+def _narrow(m: np.ndarray) -> tuple[bytes, int]:
+    """An integer matrix in the fewest bytes a value, and that number."""
+    top = int(max(m.max(initial=0), -1 - m.min(initial=0)))
+    size = next(n for n in (2, 4, 8) if top < 1 << (8 * n - 1))
+    return m.astype(f"<i{size}").tobytes(), size
+
+
+def _wide(data: bytes, size: int, rows: int) -> np.ndarray:
+    return np.frombuffer(data, f"<i{size}").astype(np.int64).reshape(rows, -1) if data else np.zeros((rows, 0), np.int64)
+
+
 def quantised(vectors: DataFrame, scale: int = SCALE) -> DataFrame:
     """(vec_id, v): floor(scale * x) of every component, for the usable vectors, one an id."""
     return one_per_id(vectors).select(
@@ -75,12 +86,13 @@ def forward_blocks(q: DataFrame, block: int = BLOCK) -> DataFrame:
 
         def made() -> pa.RecordBatch:
             m = matrix(rows, dtype=np.int64)
+            data, size = _narrow(m)
             return pa.RecordBatch.from_pydict(
                 {
                     "block": [serial],
                     "ids": pa.array([ids], _INT),
-                    "width": [m.shape[1]],
-                    "data": [m.tobytes()],
+                    "size": [size],
+                    "data": [data],
                     "high": pa.array([m.max(axis=0).tolist()], _INT),
                     "low": pa.array([m.min(axis=0).tolist()], _INT),
                 }
@@ -97,10 +109,34 @@ def forward_blocks(q: DataFrame, block: int = BLOCK) -> DataFrame:
             yield made()
 
     return ordered.mapInArrow(
-        build, "block long, ids array<long>, width long, data binary, high array<long>, low array<long>"
+        build, "block long, ids array<long>, size long, data binary, high array<long>, low array<long>"
     )
 
 
+def query_groups(q: DataFrame, n_groups: int) -> DataFrame:
+    """Groups of queries: grp, asked (their ids), q_size and q_data (their vectors)."""
+    lists = q.groupBy(F.pmod(F.xxhash64("vec_id"), F.lit(n_groups)).alias("grp")).agg(
+        F.collect_list(F.struct("vec_id", "v")).alias("queries")
+    )
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in (batch.slice(i, 1).to_pylist()[0] for i in range(batch.num_rows)):
+                data, size = _narrow(matrix([x["v"] for x in row["queries"]], dtype=np.int64))
+                asked = pa.array([[x["vec_id"] for x in row["queries"]]], _INT)
+                yield pa.RecordBatch.from_pydict({"grp": [row["grp"]], "asked": asked, "q_size": [size], "q_data": [data]})
+
+    return lists.mapInArrow(pack, "grp long, asked array<long>, q_size long, q_data binary")
+
+
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    """Rows one at a time, their lists as Arrow arrays and not as Python objects."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            row = {name: batch.column(name)[i] for name in batch.schema.names}
+            yield {k: v.values if isinstance(v, pa.ListScalar) else v.as_py() for k, v in row.items()}
+
+
 def ranked_blocks(groups: DataFrame, blocks: DataFrame, n_blocks: int) -> DataFrame:
     """(query_id, grp, block, bound, place): every query's blocks by falling bound.
 
@@ -119,20 +155,19 @@ def ranked_blocks(groups: DataFrame, blocks: DataFrame, n_blocks: int) -> DataFr
     schema = pa.schema([("query_id", pa.int64()), ("grp", pa.int64()), ("block", pa.int64()), ("bound", pa.int64())])
 
     def bound(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in (r for i in range(batch.num_rows) for r in batch.slice(i, 1).to_pylist()):
-                high, low = (matrix([b[k] for b in row["blocks"]], dtype=np.int64) for k in ("high", "low"))
-                of = bounds(matrix([q["v"] for q in row["queries"]], dtype=np.int64), high, low)
-                ids, names = np.array([q["vec_id"] for q in row["queries"]]), np.array([b["block"] for b in row["blocks"]])
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.repeat(ids, len(names))),
-                        pa.array(np.full(of.size, row["grp"])),
-                        pa.array(np.tile(names, len(ids))),
-                        pa.array(of.ravel()),
-                    ],
-                    schema=schema,
-                )
+        for row in _rows(batches):
+            ids, names = row["asked"].to_numpy(), row["blocks"].field("block").to_numpy()
+            high, low = (matrix(row["blocks"].field(k).to_pylist(), dtype=np.int64) for k in ("high", "low"))
+            of = bounds(_wide(row["q_data"], row["q_size"], len(ids)), high, low)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.repeat(ids, len(names))),
+                    pa.array(np.full(of.size, row["grp"])),
+                    pa.array(np.tile(names, len(ids))),
+                    pa.array(of.ravel()),
+                ],
+                schema=schema,
+            )
 
     pairs = asked.join(summaries, "part").mapInArrow(bound, "query_id long, grp long, block long, bound long")
     falling = Window.partitionBy("query_id").orderBy(F.desc("bound"), "block")
@@ -145,25 +180,26 @@ def scored(wanted: DataFrame, groups: DataFrame, blocks: DataFrame, top: int) ->
     Queries of a group that want the same block are scored against it together.
     """
     together = wanted.groupBy("grp", "block").agg(F.collect_list(F.struct("query_id", "kth")).alias("wanted"))
-    work = together.join(groups, "grp").join(blocks.select("block", "ids", "width", "data"), "block")
+    work = together.join(groups, "grp").join(blocks.select("block", "ids", "size", "data"), "block")
     schema = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64())])
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in (r for i in range(batch.num_rows) for r in batch.slice(i, 1).to_pylist()):
-                ids = np.array(row["ids"])
-                values = np.frombuffer(row["data"], np.int64).reshape(len(ids), row["width"])
-                kth = {w["query_id"]: w["kth"] for w in row["wanted"]}
-                asked = [q for q in row["queries"] if q["vec_id"] in kth]
-                found = products(matrix([q["v"] for q in asked], dtype=np.int64), values)
-                out: list[list[np.ndarray]] = [[], [], []]
-                for q, s in zip(asked, found, strict=True):
-                    least = kth[q["vec_id"]]
-                    use = np.flatnonzero((ids != q["vec_id"]) & (s >= least) if least is not None else ids != q["vec_id"])
-                    best = use[top_rows(s[use], ids[use], top)]
-                    for column, part in zip(out, (np.full(len(best), q["vec_id"]), ids[best], s[best]), strict=True):
-                        column.append(part)
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in out], schema=schema)
+        for row in _rows(batches):
+            ids, asked = row["ids"].to_numpy(), row["asked"].to_numpy()
+            wanted_ids = row["wanted"].field("query_id").to_numpy()
+            least = row["wanted"].field("kth").fill_null(np.iinfo(np.int64).min).to_numpy()
+            order = np.argsort(asked)
+            places = order[np.searchsorted(asked, wanted_ids, sorter=order)]
+            q = _wide(row["q_data"], row["q_size"], len(asked))[places]
+            s = products(q, _wide(row["data"], row["size"], len(ids)))
+            reach = (s >= least[:, None]) & (ids != wanted_ids[:, None])
+            for i in np.flatnonzero(reach.sum(axis=1) > top):
+                use = np.flatnonzero(reach[i])
+                reach[i] = False
+                reach[i, use[top_rows(s[i, use], ids[use], top)]] = True
+            which, found = np.nonzero(reach)
+            columns = wanted_ids[which], ids[found], s[which, found]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], schema=schema)
 
     return work.mapInArrow(score, "query_id long, vec_id long, score long")
 
@@ -180,12 +216,7 @@ def exact_top(vectors: DataFrame, every: int, top: int = TOP, block: int = BLOCK
     blocks = stored(forward_blocks(q, block), "topk-blocks")
     n_blocks, n_queries = blocks.count(), q.where(F.col("vec_id") % every == 0).count()
     n_groups = max(1, -(-n_queries // QUERY_GROUP))
-    groups = stored(
-        q.where(F.col("vec_id") % every == 0)
-        .groupBy(F.pmod(F.xxhash64("vec_id"), F.lit(n_groups)).alias("grp"))
-        .agg(F.collect_list(F.struct("vec_id", "v")).alias("queries")),
-        "topk-queries",
-    )
+    groups = stored(query_groups(q.where(F.col("vec_id") % every == 0), n_groups), "topk-queries")
     best = q.sparkSession.createDataFrame([], "query_id long, vec_id long, score long, rank int")
     falling = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     if n_blocks:
