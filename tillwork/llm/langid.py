@@ -8,10 +8,10 @@ time on a bounded sample of labelled texts.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
-import pyarrow as pa
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -203,42 +203,40 @@ def is_held_out(doc_id: Column) -> Column:
 
 
 def training_sample(docs: DataFrame, rows: int = SAMPLE_ROWS, chars: int = SAMPLE_CHARS) -> list[tuple[bytes, str]]:
-    """At most ``rows`` labelled texts, a stretch of ``chars`` characters of each, chosen by hashes."""
+    """At most ``rows`` labelled texts, a stretch of ``chars`` characters of each, chosen by hashes.
+
+    A hash first thins the rows to about what is needed, so that the tasks together send no more.
+    """
+    labelled = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~is_held_out(F.col("doc_id")))
+    share = min(1.0, 1.3 * rows / max(1, labelled.count()))
+    h = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30))
     start = F.pmod(F.xxhash64("doc_id", F.lit("at")), F.greatest(F.lit(1), F.length("text") - chars + 1)) + 1
-    usable = docs.where(
-        F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~is_held_out(F.col("doc_id")) & F.col("text").rlike(r"\p{L}")
-    )
     stretch = F.col("text").substr(start.cast("int"), F.lit(chars))
-    picked = usable.select(stretch.alias("text"), "lang", F.xxhash64("doc_id").alias("h"), "doc_id")
-    found = picked.orderBy("h", "doc_id").limit(rows).collect()
-    return [(r.text.encode(), r.lang) for r in found]
+    picked = labelled.where((h < int(share * (1 << 30))) & F.col("text").rlike(r"\p{L}"))
+    found = picked.select(stretch.alias("text"), "lang", h.alias("h"), "doc_id").orderBy("h", "doc_id").limit(rows)
+    return [(r.text.encode(), r.lang) for r in found.collect()]
 
 
-def predict(docs: DataFrame, model: LanguageModel | None) -> DataFrame:
-    """(doc_id, lang_pred, score) for each row of ``docs``, from its whole text alone.
+def language_of(model: LanguageModel | None) -> Callable[[Column], Column]:
+    """A column function from a whole text to a struct of lang_pred and score.
 
     ``und`` with score 0 for a null text, a text without letters, or without a model.
     """
 
-    def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for small in (batch.slice(i, 1000) for i in range(0, batch.num_rows, 1000)):
-                texts = small.column("text").to_pylist()
+    def label(columns: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for column in columns:
+            lang, score = [UNKNOWN] * len(column), [0.0] * len(column)
+            for lo in range(0, len(column), 1000):
+                texts = column[lo : lo + 1000].tolist()
                 known = [model is not None and any(c.isalpha() for c in t or "") for t in texts]
-                lang, score = [UNKNOWN] * len(texts), [0.0] * len(texts)
                 if any(known):
                     p = model.document_probabilities([t.encode() if k else b"" for t, k in zip(texts, known, strict=True)])
                     for i in np.flatnonzero(known):
                         best = int(p[i].argmax())
-                        lang[i], score[i] = model.labels[best], min(1.0, float(p[i, best]))
-                yield pa.RecordBatch.from_arrays(
-                    [small.column("doc_id"), pa.array(lang, pa.string()), pa.array(score, pa.float64())],
-                    ["doc_id", "lang_pred", "score"],
-                )
+                        lang[lo + i], score[lo + i] = model.labels[best], min(1.0, float(p[i, best]))
+            yield pd.DataFrame({"lang_pred": lang, "score": score})
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
-        label, "doc_id long, lang_pred string, score double"
-    )
+    return F.pandas_udf(label, "lang_pred string, score double")
 
 
 def learned(docs: DataFrame) -> LanguageModel | None:
@@ -252,8 +250,16 @@ def identified(docs: DataFrame) -> DataFrame:
 
     Other columns are left behind; repeated rows stay.
     """
-    out = predict(docs, learned(docs.select("doc_id", "text", "lang")))
-    return out.select("doc_id", is_held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+    label = language_of(learned(docs))
+    named = docs.select("doc_id", is_held_out(F.col("doc_id")).alias("held_out"), label(F.col("text")).alias("p"))
+    return named.select("doc_id", "held_out", "p.lang_pred", "p.score")
+
+
+def with_known_language(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` in a language that the model knows; a missing ``lang`` is filled in."""
+    columns = [c for c in docs.columns if c != "lang"]
+    named = docs.withColumn("_p", language_of(learned(docs))(F.col("text"))).where(F.col("_p.lang_pred") != UNKNOWN)
+    return named.select(*columns, F.coalesce("lang", "_p.lang_pred").alias("lang")).select(docs.columns)
 
 
 @query("op3_language_id")
