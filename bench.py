@@ -2,7 +2,7 @@
 
 BENCH_SF_DIR   data folder (default /root/testdata/sf0.1)
 BENCH_CPUS     local cores (default 8)
-BENCH_RUNS     timed runs per query after one warm-up; the median counts (default 1)
+BENCH_RUNS     timed runs per query after one warm-up; the median counts (default 3)
 BENCH_QUERIES  comma-separated keys, or "all"
 
 Queries that read the stored star pay for loading it in their warm-up; the
@@ -50,7 +50,7 @@ HEADLINE = [
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    runs = int(os.environ.get("BENCH_RUNS", "1"))
+    runs = int(os.environ.get("BENCH_RUNS", "3"))
     chosen = os.environ.get("BENCH_QUERIES", "")
     keys = list(QUERIES) if chosen == "all" else [k for k in chosen.split(",") if k] or HEADLINE
 

@@ -1,5 +1,6 @@
 import datetime as dt
 from decimal import Decimal
+from math import prod
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,6 +11,7 @@ from tillwork.suite.joins_aggs import two_tests
 
 DAY, NEXT = dt.date(2018, 10, 1), dt.date(2018, 11, 1)
 TEST = "coupon_promo_v1"
+RUN_TS = dt.datetime(2020, 1, 1)
 
 
 def pair(spark, a1, b1, a2, b2):
@@ -26,14 +28,23 @@ def pair(spark, a1, b1, a2, b2):
         ((3, 5, 4, 4), 0.70396270396),
         ((1, 1, 1, 1), 0.5),
         ((1, 1, 2, 1), 2 / 3),
+        # no size at which another answer is given, whichever side is large
+        ((1, 999_999, 5, 999_990), 1 - prod((999_990 + i) / (1_999_989 + i) for i in range(5))),
+        ((1, 1_000_100, 5, 1_000_100), 1 - prod((1_000_100 + i) / (2_000_200 + i) for i in range(5))),
+        ((10**9, 10**9, 1, 1), 0.5),
+        ((1, 1, 10**9, 10**9), 0.5),
+        ((3_000_000, 1, 1, 1), 1 / 3_000_001),
+        ((1.5, 10.5, 2.9, 9.9), 0.76972134),
     ],
 )
 def test_probability(spark, params, want):
     exact = bayes.prob_b_beats_a(pair(spark, *map(float, params))).first().prob_treatment_better
     assert exact == pytest.approx(want, abs=1e-8)
-    if min(params) > 1000:
-        near = bayes.prob_b_beats_a(pair(spark, *map(float, params)), exact_limit=0).first()
-        assert near.prob_treatment_better == pytest.approx(want, abs=1e-5)
+
+
+def test_a_table_size_does_not_change_the_decision(spark):
+    row = bayes.prob_b_beats_a(pair(spark, 1.0, 1_000_100.0, 5.0, 1_000_100.0))
+    assert row.select(bayes.decide(F.col("prob_treatment_better")).alias("d")).first().d == "significant"
 
 
 def test_invalid_parameters_give_null(spark):
@@ -70,8 +81,8 @@ def test_chain_equals_month_by_month(spark, counts, rows):
     for current, following in ((DAY, NEXT), (NEXT, dt.date(2018, 12, 1))):
         prior = base.where((F.col("period_date") == F.lit(current)) & (F.col("value_type") == "prior"))
         month = counts.where(F.col("period_date") == F.lit(current))
-        base = bayes.save_posterior(base, bayes.posterior(prior, month))
-        base = bayes.roll_forward(base, current, following)
+        base = bayes.save_posterior(base, bayes.posterior(prior, month), RUN_TS)
+        base = bayes.roll_forward(base, current, following, RUN_TS)
     cols = ["variant_id", "period_date", "alpha_value", "beta_value"]
     stepped = base.where("value_type = 'posterior'").select(cols)
     chained = store.where("value_type = 'posterior'").select(cols)
@@ -89,7 +100,7 @@ def test_saving_twice_keeps_method_and_key(spark, counts):
 
 def test_missing_posterior_rolls_nothing(spark, counts):
     store = bayes.chain_as_store(bayes.monthly_chain(counts))
-    assert bayes.roll_forward(store, dt.date(2017, 1, 1), DAY).count() == store.count()
+    assert bayes.roll_forward(store, dt.date(2017, 1, 1), DAY, RUN_TS).count() == store.count()
 
 
 def events(spark, rows):

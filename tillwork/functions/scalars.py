@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -79,3 +81,8 @@ def normal_cdf(z: Column) -> Column:
         series = (series + F.lit(c)) * t
     erf = F.lit(1.0) - series * F.exp(-x * x)
     return F.when(z >= 0, (1 + erf) / 2).otherwise((1 - erf) / 2)
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once."""
+    return F.element_at(F.transform(F.array(value), body), 1)

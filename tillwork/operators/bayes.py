@@ -8,10 +8,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillwork.functions.dates import key_of
-from tillwork.functions.scalars import beta_mean, beta_std, beta_var, normal_cdf, rate_pct
+from tillwork.functions.scalars import beta_mean, beta_std, beta_var, let, rate_pct
 from tillwork.operators.experiment import key_of_test
 from tillwork.operators.joins import join_test_variant
-from tillwork.operators.merge import merge_upsert
+from tillwork.operators.merge import merge_upsert, surrogate_key
 from tillwork.operators.windows import latest_per
 
 STORE_KEY = ["test_id", "variant_id", "period_date", "value_type"]
@@ -131,15 +131,26 @@ def posterior(prior: DataFrame, counts: DataFrame) -> DataFrame:
     )
 
 
-def _save(store: DataFrame, rows: DataFrame, run_ts: dt.datetime | None) -> DataFrame:
-    return merge_upsert(store, rows, STORE_KEY, STORE_UPDATES, touch_col="created_at", run_ts=run_ts)
+# What the store says about its rows.
+POSTERIOR_NOTES = "Monthly posterior update"
+ROLLED_NOTES = "Prior derived from {period} posterior"
+
+
+def _save(store: DataFrame, rows: DataFrame, run_ts: dt.datetime) -> DataFrame:
+    """Merge rows into the store; a new row gets the next free prior_id and ``run_ts``."""
+    merged = merge_upsert(store, rows, STORE_KEY, STORE_UPDATES, touch_col="created_at", run_ts=run_ts)
+    return surrogate_key(merged, STORE_KEY, "prior_id") if "prior_id" in store.columns else merged
+
+
+def save_prior(store: DataFrame, rows: DataFrame, run_ts: dt.datetime) -> DataFrame:
+    """Merge priors from history into the store; rows with invalid parameters stay out."""
+    valid = rows.where("is_valid") if "is_valid" in rows.columns else rows
+    kept = [c for c in rows.columns if c in store.columns and c != "prior_id"]
+    return _save(store, valid.select(*kept), run_ts)
 
 
 def save_posterior(
-    store: DataFrame,
-    rows: DataFrame,
-    run_ts: dt.datetime | None = None,
-    notes: str = "Monthly posterior update",
+    store: DataFrame, rows: DataFrame, run_ts: dt.datetime, notes: str = POSTERIOR_NOTES
 ) -> DataFrame:
     """Merge posteriors into the store under their period."""
     marked = rows.withColumns(
@@ -153,17 +164,25 @@ def save_posterior(
 
 
 def roll_forward(
-    store: DataFrame, current: dt.date, following: dt.date, run_ts: dt.datetime | None = None
+    store: DataFrame,
+    current: dt.date,
+    following: dt.date,
+    run_ts: dt.datetime,
+    test_id: str | None = None,
 ) -> DataFrame:
-    """Copy the posteriors of one period to priors of the next; no posterior, no row."""
-    copied = store.where(
-        (F.col("period_date") == F.lit(current)) & (F.col("value_type") == "posterior")
-    ).withColumns(
+    """Copy the posteriors of one period to priors of the next; no posterior, no row.
+
+    With ``test_id`` only that test's.
+    """
+    wanted = (F.col("period_date") == F.lit(current)) & (F.col("value_type") == "posterior")
+    if test_id is not None:
+        wanted = wanted & (F.col("test_id") == test_id)
+    copied = store.where(wanted).withColumns(
         {
             "period_date": F.lit(following),
             "value_type": F.lit("prior"),
             "calculation_method": F.lit("updated"),
-            "notes": F.lit(f"Prior derived from {current.isoformat()} posterior"),
+            "notes": F.lit(ROLLED_NOTES.format(period=current.isoformat())),
         }
     )
     return _save(store, copied.drop("prior_id"), run_ts)
@@ -243,44 +262,67 @@ def chain_as_store(chain: DataFrame, run_ts: dt.datetime | None = None) -> DataF
 
 # -- decisions ----------------------------------------------------------------
 
-EXACT_LIMIT = 1_000_000
+def _softplus(t: Column) -> Column:
+    return F.greatest(t, F.lit(0.0)) + F.log1p(F.exp(-F.abs(t)))
 
 
-def _prob_exact(a1: Column, b1: Column, a2: Column, b2: Column) -> Column:
-    """P(Beta(a2, b2) > Beta(a1, b1)) for whole parameters, summed in logs."""
-    one = F.lit(1).cast("bigint")
-    log_first = F.aggregate(
-        F.sequence(one, b2),
-        F.lit(0.0),
-        lambda acc, j: acc + F.log((b1 + j - 1) / (a1 + b1 + j - 1)),
-    )
+def _log_density(a: Column, b: Column, t: Column) -> Column:
+    """Of log(x / (1 - x)) for x from Beta(a, b), up to a constant; smooth for all parameters."""
+    return -a * _softplus(-t) - b * _softplus(t)
+
 
-    def add(state: Column, i: Column) -> Column:
-        ratio = (a1 + i - 1).cast("double") * (b2 + i - 1) / (i.cast("double") * (a1 + b1 + b2 + i - 1))
-        term = state.log_term + F.log(ratio)
-        return F.struct(term.alias("log_term"), (state.total + F.exp(term)).alias("total"))
+def _breaks(a: Column, b: Column, cells: int) -> Column:
+    """Equal steps over all but a vanishing part of the distribution."""
+    mode, spread = F.log(a / b), F.sqrt(1.0 / a + 1.0 / b)
+    low, high = mode - 10.0 * spread - 40.0 / a, mode + 10.0 * spread + 40.0 / b
+    return F.transform(F.sequence(F.lit(0), F.lit(cells)), lambda i: low + (high - low) * i / float(cells))
 
-    # sequence(1, 0) would count down, so the sum starts from the first term
-    steps = F.filter(F.sequence(one, F.greatest(a2 - 1, one)), lambda i: i < a2)
-    start = F.struct(log_first.alias("log_term"), F.exp(log_first).alias("total"))
-    return F.aggregate(steps, start, add, lambda state: state.total)
 
+def _prob_above(a1: Column, b1: Column, a2: Column, b2: Column, cells: int) -> Column:
+    """P(Beta(a2, b2) > Beta(a1, b1)) by cells that both distributions share.
 
-def _prob_normal(a1: Column, b1: Column, a2: Column, b2: Column) -> Column:
-    gap = beta_mean(a2, b2) - beta_mean(a1, b1)
-    return normal_cdf(gap / F.sqrt(beta_var(a1, b1) + beta_var(a2, b2)))
+    The cells come from the steps of both, so each is resolved where it lives.  Within a cell both
+    densities count as straight lines.
+    """
 
+    def mass(a: Column, b: Column, lo: Column, hi: Column) -> tuple[Column, Column]:
+        top = _log_density(a, b, F.log(a / b))
+        left, mid, right = (F.exp(_log_density(a, b, t) - top) for t in (lo, (lo + hi) / 2.0, hi))
+        mean = (left + 4.0 * mid + right) / 6.0
+        slope = F.coalesce((right - left) / F.nullif(mean, F.lit(0.0)), F.lit(0.0))
+        return mean * (hi - lo), slope
+
+    def weighed(points: Column) -> Column:
+        def cell(i: Column) -> Column:
+            lo, hi = F.get(points, i - 1), F.get(points, i)
+            (m1, s1), (m2, s2) = mass(a1, b1, lo, hi), mass(a2, b2, lo, hi)
+            # where one density nearly vanishes its slope says nothing
+            tilt = F.greatest(F.lit(-6.0), F.least(F.lit(6.0), s2 - s1)) / 12.0
+            return F.struct(m1.alias("m1"), m2.alias("m2"), tilt.alias("tilt"))
+
+        return F.transform(F.sequence(F.lit(1), F.size(points) - 1), cell)
+
+    def add(state: Column, c: Column) -> Column:
+        return F.struct(
+            (state.below + c.m1).alias("below"),
+            (state.total + c.m2).alias("total"),
+            (state.wins + c.m2 * (state.below + c.m1 * (0.5 + c.tilt))).alias("wins"),
+        )
 
-def prob_b_beats_a(posteriors: DataFrame, exact_limit: int = EXACT_LIMIT) -> DataFrame:
+    start = F.struct(F.lit(0.0).alias("below"), F.lit(0.0).alias("total"), F.lit(0.0).alias("wins"))
+    both = F.array_sort(F.concat(_breaks(a1, b1, cells), _breaks(a2, b2, cells)))
+    return let(both, lambda points: F.aggregate(weighed(points), start, add, lambda s: s.wins / (s.below * s.total)))
+
+
+def prob_b_beats_a(posteriors: DataFrame, cells: int = 4000) -> DataFrame:
     """Probability that each treatment beats the control of its test and period.
 
-    Expects test_id, period_date, variant_id, is_control, alpha_value and
-    beta_value with whole parameters.  Up to ``exact_limit`` of alpha + beta of
-    the treatment the sum is exact; above it the normal limit is used, whose
-    error is below the display precision there.  Invalid parameters give NULL.
+    Expects test_id, period_date, variant_id, is_control, alpha_value and beta_value; any positive
+    parameters, whole or not, of any size.  One method answers for all: ``cells`` steps over each
+    distribution.  Invalid parameters give NULL.
     """
     key = ["test_id", "period_date"]
-    value = {"a": F.col("alpha_value").cast("bigint"), "b": F.col("beta_value").cast("bigint")}
+    value = {"a": F.col("alpha_value").cast("double"), "b": F.col("beta_value").cast("double")}
     control = posteriors.where("is_control").select(
         *key,
         F.col("variant_id").alias("control_id"),
@@ -292,13 +334,7 @@ def prob_b_beats_a(posteriors: DataFrame, exact_limit: int = EXACT_LIMIT) -> Dat
         *[v.alias(f"{n}2") for n, v in value.items()],
     )
     params = [F.col(c) for c in ("a1", "b1", "a2", "b2")]
-    real = [p.cast("double") for p in params]
-    smallest = F.least(*params)
-    size = F.col("a2") + F.col("b2")
-    probability = F.when(
-        smallest > 0,
-        F.when(size <= exact_limit, _prob_exact(*params)).otherwise(_prob_normal(*real)),
-    )
+    probability = F.when(F.least(*params) > 0, _prob_above(*params, cells))
     return control.join(treatment, key).select(
         *key, "control_id", "treatment_id", probability.alias("prob_treatment_better")
     )

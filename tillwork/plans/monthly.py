@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillwork.operators import bayes, quality
+from tillwork.operators.joins import join_test_variant
 from tillwork.plans import report
 from tillwork.plans.warehouse import Warehouse
 
@@ -42,6 +43,18 @@ def month_counts(events: DataFrame, tests: DataFrame, variants: DataFrame, test_
     )
 
 
+def month_decisions(
+    store: DataFrame, variants: DataFrame, tests: DataFrame, test_id: str, period: dt.date
+) -> DataFrame:
+    """The probability that each treatment beats the control after ``period``, and the decision."""
+    rows = store.where(
+        (F.col("test_id") == test_id) & (F.col("value_type") == "posterior") & (F.col("period_date") == F.lit(period))
+    )
+    arms = rows.select("test_id", "variant_id", "period_date", "alpha_value", "beta_value")
+    named = join_test_variant(arms, variants, tests)
+    return bayes.prob_b_beats_a(named).withColumn("decision", bayes.decide(F.col("prob_treatment_better")))
+
+
 def next_month(day: dt.date) -> dt.date:
     return (day.replace(day=28) + dt.timedelta(days=4)).replace(day=1)
 
@@ -51,7 +64,7 @@ def run_month(
     store: DataFrame,
     period: dt.date,
     test_id: str,
-    run_ts: dt.datetime | None = None,
+    run_ts: dt.datetime,
     top: int = 10,
 ) -> MonthResult:
     """Check the events, update the store for ``period`` (a month's first day), report on it.
@@ -69,20 +82,22 @@ def run_month(
     )
     prior = store.where((F.col("period_date") == F.lit(period)) & (F.col("value_type") == "prior"))
     updated = bayes.save_posterior(store, bayes.posterior(prior, counts), run_ts)
-    updated = bayes.roll_forward(updated, period, next_month(period), run_ts)
+    updated = bayes.roll_forward(updated, period, next_month(period), run_ts, test_id)
 
     sales = warehouse.month("fact_sales", period.year, period.month)
     customer, product = warehouse.read("dim_customer"), warehouse.read("dim_product")
     summary = report.exec_summary_full(sales, period.year, period.month)
     categories = report.top_categories(sales, product, top)
     ab = report.ab_performance(updated, variants, tests, test_id)
+    by_segment = report.segments(sales, customer, period.year, period.month)
+    decisions = month_decisions(updated, variants, tests, test_id, period)
     return MonthResult(
         store=updated,
         summary=summary,
-        segments=report.segments(sales, customer, period.year, period.month),
+        segments=by_segment,
         categories=categories,
         states=report.top_states(sales, customer, top),
         ab=ab,
-        insights=report.insights(summary, ab, categories),
+        insights=report.insights(summary, ab, categories, by_segment, decisions),
         status=report.month_status(summary, period.year, period.month),
     )

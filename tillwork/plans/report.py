@@ -139,6 +139,7 @@ INSIGHT_THRESHOLDS: Mapping[str, float] = {
     "high_order_value": 200.0,
     "cross_selling": 2.0,
     "ab_impact_points": 1.0,
+    "new_customers": 0.5,
 }
 
 
@@ -146,17 +147,26 @@ def insights(
     summary: DataFrame,
     ab: DataFrame,
     categories: DataFrame,
+    segments: DataFrame,
+    decisions: DataFrame,
     thresholds: Mapping[str, float] = INSIGHT_THRESHOLDS,
 ) -> DataFrame:
-    """(rule, fired, text) from a month's summary, the A/B conclusion and the top categories."""
-    facts = attach_one_row(
-        attach_one_row(
-            summary.select("avg_order_value", "items_per_order"),
-            ab.agg(F.max("lift_points").alias("lift_points")),
-        ),
+    """(rule, fired, text): insights and recommendations of a month.
+
+    From its summary, the A/B conclusion, the top categories, the customers by
+    segment, and the decision on each treatment (``decision``).
+    """
+    share = F.sum(F.when(F.col("customer_segment") == "new", F.col("customers"))) / F.nullif(F.sum("customers"), F.lit(0))
+    facts = summary.select("avg_order_value", "items_per_order")
+    for more in (
+        ab.agg(F.max("lift_points").alias("lift_points")),
         categories.agg(F.max(F.when(F.col("rank") == 1, F.col("product_category_name"))).alias("best")),
-    )
+        segments.agg(share.alias("new_share")),
+        decisions.agg(F.count_if(F.col("decision") == "not significant").alias("undecided")),
+    ):
+        facts = attach_one_row(facts, more)
     aov, items, lift = F.col("avg_order_value"), F.col("items_per_order"), F.col("lift_points")
+    # The sentences of the report.
     rules = [
         (
             "high_order_value",
@@ -177,6 +187,16 @@ def insights(
             lift >= thresholds["ab_impact_points"],
             F.lit("A/B test shows measurable impact on conversion rates"),
         ),
+        (
+            "retention",
+            F.col("new_share") >= thresholds["new_customers"],
+            F.lit("Implement retention campaigns for new customers"),
+        ),
+        (
+            "continue_testing",
+            F.col("undecided") > 0,
+            F.lit("Continue A/B testing to reach statistical significance"),
+        ),
         (
             "inventory",
             F.col("best").isNotNull(),
@@ -196,5 +216,6 @@ def month_status(summary: DataFrame, year: int, month: int) -> DataFrame:
         F.lit(f"{year}-{month:02d}").alias("report_period"),
         "total_revenue",
         "total_orders",
+        "unique_customers",
         F.lit("completed").alias("report_status"),
     )

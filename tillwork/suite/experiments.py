@@ -11,8 +11,10 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from tillwork.catalog import ANALYTICS
 from tillwork.operators import bayes, experiment
 from tillwork.plans.dims import build_ab_dims, purchase_range
+from tillwork.sources.files import empty_table
 from tillwork.suite.basics import TEST_ID, stored_chain
 from tillwork.suite.joins_aggs import two_tests
 from tillwork.suite.parts import MONTH_ORDERS, arm, bucket, oracle, pct
@@ -92,6 +94,19 @@ def ab_exposure_incremental(r):
     return experiment.new_exposures(events, before).select("customer_key", "conversion_value", "is_conversion")
 
 
+@query(
+    "ab_exposure_incremental_all",
+    oracle("""
+    SELECT customer_key, CAST(conversion_value AS DOUBLE) AS conversion_value, is_conversion FROM events_x
+    WHERE customer_key NOT IN (SELECT customer_key FROM events_x WHERE conversion_value > 107000)"""),
+)
+def ab_exposure_incremental_all(r):
+    """All orders; customers with a row above a value count as exposed before."""
+    events = stored_exposures(r)
+    before = events.where(F.col("conversion_value") > 107000)
+    return experiment.new_exposures(events, before).select("customer_key", "conversion_value", "is_conversion")
+
+
 SUMMARY = f"""
     SELECT variant_name, count(*) AS total_exposures, count(*) FILTER (WHERE is_conversion) AS conversions,
            {pct('count(*) FILTER (WHERE is_conversion)', 'count(*)')} AS conversion_rate
@@ -211,6 +226,24 @@ def bayes_save_posterior(r):
     return bayes.save_posterior(stored, fresh, dt.datetime(2024, 2, 1)).select(*STORE_COLUMNS)
 
 
+@query(
+    "bayes_save_historical_prior",
+    oracle(f"""
+    WITH p AS ({CUSTOMER_SQL})
+    SELECT variant_id, period_date, value_type, CAST(alpha_value AS DOUBLE) AS alpha_value,
+           CAST(beta_value AS DOUBLE) AS beta_value, data_points, conversions, calculation_method, notes,
+           TRUE AS has_id, TIMESTAMP '2024-02-01' AS created_at FROM p WHERE is_valid"""),
+)
+def bayes_save_historical_prior(r):
+    """Priors from history saved twice into an empty store: one row a variant, with its id and time."""
+    tests, variants = build_ab_dims(r.spark)
+    rows = bayes.customer_level_prior(stored_exposures(r), tests, variants, TEST_ID, HISTORY_END)
+    store = empty_table(r.spark, ANALYTICS["bayesian_priors_store"])
+    for _ in range(2):
+        store = bayes.save_prior(store, rows, dt.datetime(2024, 2, 1))
+    return store.select(*STORE_COLUMNS, F.col("prior_id").isNotNull().alias("has_id"), "created_at")
+
+
 @query(
     "bayes_posterior_to_prior",
     oracle("""
@@ -225,7 +258,7 @@ def bayes_save_posterior(r):
 )
 def bayes_posterior_to_prior(r):
     stored = stored_chain(r).where(F.col("period_date") <= F.lit(DAY))
-    return bayes.roll_forward(stored, DAY, NEXT_DAY).select(*STORE_COLUMNS)
+    return bayes.roll_forward(stored, DAY, NEXT_DAY, dt.datetime(2024, 2, 1)).select(*STORE_COLUMNS)
 
 
 @query(
@@ -301,6 +334,31 @@ def bayes_prob_b_beats_a(r):
     return rows.withColumn("prob_treatment_better", F.round("prob_treatment_better", 6))
 
 
+@query(
+    "bayes_prob_large",
+    """
+    SELECT CAST(k AS BIGINT) AS k, round(1 - exp(ln(n / (n + m)) + ln((n + 1) / (n + m + 1)) + ln((n + 2) / (n + m + 2)) + ln((n + 3) / (n + m + 3))
+           + ln((n + 4) / (n + m + 4))), 6) AS prob_treatment_better
+    FROM (SELECT o_orderkey % 7 AS k, CAST(1000000 + count(*) AS DOUBLE) AS n, CAST(1000100 + sum(o_custkey) AS DOUBLE) AS m
+          FROM orders GROUP BY 1)""",
+)
+def bayes_prob_large(r):
+    """Parameters beyond a million, against the closed form for Beta(1, m) and Beta(5, n)."""
+    sizes = r.table("orders").groupBy((F.col("o_orderkey") % 7).alias("k")).agg(
+        (F.count(F.lit(1)) + 1_000_000).cast("double").alias("n"),
+        (F.sum("o_custkey") + 1_000_100).cast("double").alias("m"),
+    )
+    control = sizes.select("k", F.lit(True).alias("is_control"), F.lit(1.0).alias("alpha_value"), F.col("m").alias("beta_value"))
+    treated = sizes.select("k", F.lit(False).alias("is_control"), F.lit(5.0).alias("alpha_value"), F.col("n").alias("beta_value"))
+    arms = control.unionByName(treated).withColumns(
+        {"test_id": F.col("k"), "period_date": F.lit(DAY), "variant_id": F.col("is_control").cast("string")}
+    )
+    rows = bayes.prob_b_beats_a(arms)
+    return rows.select(
+        F.col("test_id").cast("bigint").alias("k"), F.round("prob_treatment_better", 6).alias("prob_treatment_better")
+    )
+
+
 @query(
     "bayes_decision",
     oracle(f"""

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
+from tillwork.operators import bayes
 from tillwork.plans import report
 from tillwork.suite.basics import TEST_ID, stored_chain
-from tillwork.suite.experiments import CONCLUSION, RATES
-from tillwork.suite.joins_aggs import sales, two_tests
+from tillwork.suite.experiments import CONCLUSION, PROB, RATES, posteriors
+from tillwork.suite.joins_aggs import two_tests
 from tillwork.suite.parts import half_up, oracle, per
 from tillwork.suite.registry import query
 from tillwork.suite.star import stored_star
@@ -53,17 +56,17 @@ def report_exec_summary_full(r):
 
 @query("report_all_months", oracle(full_sql("year, month")))
 def report_all_months(r):
-    return report.exec_summary_all(sales(r))
+    return report.exec_summary_all(stored_star(r).read("fact_sales"))
 
 
-@query(
-    "report_segments",
-    oracle(f"""
+SEGMENTS = f"""
     SELECT customer_segment, n AS customers, CAST(v AS DOUBLE) AS revenue, {per('v', 'n')} AS revenue_per_customer
     FROM (SELECT customer_segment, count(DISTINCT s.customer_key) AS n, sum(total_value) AS v
           FROM f_sales s JOIN d_customer c ON s.customer_key = c.customer_key
-          WHERE order_date_key // 100 = 199703 GROUP BY customer_segment)"""),
-)
+          WHERE order_date_key // 100 = 199703 GROUP BY customer_segment)"""
+
+
+@query("report_segments", oracle(SEGMENTS))
 def report_segments(r):
     return report.segments(month_sales(r), stored_star(r).read("dim_customer"), YEAR, MONTH)
 
@@ -88,22 +91,31 @@ def report_ab_performance(r):
     UNION ALL
     SELECT 'ab_impact', lift_points >= 1, 'A/B test shows measurable impact on conversion rates' FROM m
     UNION ALL
+    SELECT 'retention', (SELECT sum(customers) FILTER (WHERE customer_segment = 'new') * 2 >= sum(customers) FROM ({SEGMENTS})) IS TRUE,
+           'Implement retention campaigns for new customers' FROM m
+    UNION ALL
+    SELECT 'continue_testing', (SELECT count(*) FROM ({PROB}) WHERE p <= 0.95) > 0,
+           'Continue A/B testing to reach statistical significance' FROM m
+    UNION ALL
     SELECT 'inventory', TRUE, 'Optimize inventory for top category: ' || best FROM m"""),
 )
 def report_insights(r):
     tests, variants = two_tests(r)
     month = month_sales(r)
+    decisions = bayes.prob_b_beats_a(posteriors(r))
     return report.insights(
         report.exec_summary_full(month, YEAR, MONTH),
         report.ab_performance(stored_chain(r), variants, tests, TEST_ID),
         report.top_categories(month, stored_star(r).read("dim_product")),
+        report.segments(month, stored_star(r).read("dim_customer"), YEAR, MONTH),
+        decisions.withColumn("decision", bayes.decide(F.col("prob_treatment_better"))),
     )
 
 
 @query(
     "report_month_status",
     oracle(f"""
-    SELECT '1997-03' AS report_period, total_revenue, total_orders, 'completed' AS report_status
+    SELECT '1997-03' AS report_period, total_revenue, total_orders, unique_customers, 'completed' AS report_status
     FROM ({full_sql(where=MARCH)})"""),
 )
 def report_month_status(r):
