@@ -48,6 +48,15 @@ def test_raw_files_become_typed_tables(spark, tmp_path):
     assert t["geolocation"].first().zip == "01037"
 
 
+def test_lines_that_do_not_fit_the_header_are_kept_aside(spark, tmp_path):
+    path = write(tmp_path, "bad.csv", "a,b\n1,2\n3,4,5\n6\n7,\n")
+    assert sorted((r.a, r.b) for r in cleaning.read_raw(spark, path).collect()) == [("1", "2"), ("7", None)]
+    assert sorted(r[cleaning.BAD_LINE] for r in cleaning.read_rejected(spark, path).collect()) == ["3,4,5", "6"]
+    out = str(tmp_path / "out")
+    assert cleaning.load_operational(spark, {"geolocation": path}, out)["geolocation"].count() == 2
+    assert spark.read.parquet(f"{out}/rejected/geolocation").count() == 2
+
+
 class FakeSession:
     """Just enough of a session to ask for its folders."""
 

@@ -93,3 +93,22 @@ def test_calendar_keeps_known_days(spark):
         dims.date_bounds(spark, dt.date(2016, 1, 2), dt.date(2016, 1, 5)), target=first, run_ts=T1
     )
     assert [r.created_at for r in second.orderBy("date_key").collect()] == [T0, T0, T0, T1, T1]
+
+
+def test_null_keys_conflict_with_nothing(spark, rows):
+    target = spark.createDataFrame([(1, "a", T0), (None, "t", T0)], "id long, n string, updated_at timestamp_ntz")
+    source = spark.createDataFrame([(None, "x"), (None, "x"), (1, "b"), (2, "c")], "id long, n string")
+    merged = merge.merge_upsert(target, source, ["id"], ["n"], touch_col="updated_at", run_ts=T1)
+    assert rows(merged, F.asc_nulls_first("id"), "n") == [
+        (None, "t", T0), (None, "x", T1), (None, "x", T1), (1, "b", T1), (2, "c", T1)
+    ]
+    batch = spark.createDataFrame([(None, "x"), (None, "x"), (5, "z"), (5, "y")], "id long, n string")
+    assert rows(merge.one_per_key(batch, ["id"]), F.asc_nulls_first("id")) == [(None, "x"), (None, "x"), (5, "y")]
+    assert merge.merge_insert_absent(target, batch, ["id"]).count() == 5
+    assert merge.require_unique(batch.where("id is null"), ["id"]).count() == 2
+
+
+def test_a_touched_column_needs_a_run_time(spark):
+    df = spark.createDataFrame([(1, "a", T0)], "id long, n string, updated_at timestamp_ntz")
+    with pytest.raises(ValueError, match="run time"):
+        merge.merge_upsert(df, df, ["id"], ["n"], touch_col="updated_at")

@@ -20,9 +20,8 @@ def hot_orders(spark):
     )
 
 
-@pytest.mark.parametrize("hot_rows", [1, 100, 10**9])
-def test_rank_is_the_same_whatever_counts_as_hot(hot_orders, hot_rows):
-    got = windows.order_rank(hot_orders, "customer_id", "ts", "order_id", "r", hot_rows)
+def test_rank_of_a_hot_customer(hot_orders):
+    got = windows.order_rank(hot_orders, "customer_id", "ts", "order_id", "r")
     plain = Window.partitionBy("customer_id").orderBy(F.asc_nulls_last("ts"), "order_id")
     want = hot_orders.select("order_id", F.row_number().over(plain).alias("want"))
     assert got.count() == 3000

@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from typing import Any
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillwork.functions.scalars import hash_bucket
@@ -48,19 +48,27 @@ def insert_select(
     return target.unionByName(aligned)
 
 
+def _has_key(keys: Sequence[str]) -> Column:
+    """No part of the key is NULL; NULLs conflict with nothing, as in a unique constraint."""
+    has = F.lit(True)
+    for k in keys:
+        has = has & F.col(k).isNotNull()
+    return has
+
+
 def require_unique(df: DataFrame, keys: Sequence[str], what: str = "source") -> DataFrame:
     """The same rows; the query fails when a key occurs twice.
 
     Row numbers need the shuffle and sort by key that a merge join needs too,
-    so this adds neither.
+    so this adds neither.  Rows with a NULL in the key pass by.
     """
     nth = F.row_number().over(Window.partitionBy(*keys).orderBy(*keys))
     message = F.lit(f"{what} has more than one row for a key of ({', '.join(keys)})")
-    has_key = F.lit(True)
-    for k in keys:
-        has_key = has_key & F.col(k).isNotNull()
-    ok = F.when((F.col("__nth") == 1) | ~has_key, True).otherwise(F.raise_error(message).cast("boolean"))
-    return df.withColumn("__nth", nth).where(ok).drop("__nth")
+    ok = F.when(F.col("__nth") == 1, True).otherwise(F.raise_error(message).cast("boolean"))
+    keyed = df.where(_has_key(keys)).withColumn("__nth", nth).where(ok).drop("__nth")
+    if not any(df.schema[k].nullable for k in keys):
+        return keyed
+    return keyed.unionByName(df.where(~_has_key(keys)))
 
 
 def merge_upsert(
@@ -74,16 +82,33 @@ def merge_upsert(
 ) -> DataFrame:
     """Insert new keys; for known keys overwrite ``update_cols`` only.
 
-    ``touch_col`` gets ``run_ts`` on every row the source touches.  Columns
-    outside ``update_cols`` keep the target's value.  Keys must be unique in
-    the source; a repeat fails the query.
+    ``touch_col`` gets ``run_ts``, which it demands, on every row the source
+    touches.  Columns outside ``update_cols`` keep the target's value.  Keys
+    must be unique in the source; a repeat fails the query.  Rows with a NULL
+    in the key match nothing: the target's stay, the source's are inserted.
     """
     insert_defaults = dict(insert_defaults or {})
     unknown = set(update_cols) - set(source.columns)
     if unknown:
         raise ValueError(f"source lacks columns to update: {sorted(unknown)}")
-    old = target.withColumn("__old", F.lit(True)).alias("t")
-    new = require_unique(source, keys).withColumn("__new", F.lit(True)).alias("s")
+    if touch_col is not None and run_ts is None:
+        raise ValueError(f"{touch_col} needs a run time")
+
+    def inserted(c: str, old: Column, new: Callable[[str], Column]) -> Column:
+        """The value of a column that an update leaves alone, in a new row."""
+        if c in source.columns:
+            return new(c)
+        return F.lit(insert_defaults[c]) if c in insert_defaults else old
+
+    # rows without a key take no part in the join, where they would all meet in one task
+    unmatched = source.where(~_has_key(keys)).select(
+        [
+            (F.lit(run_ts) if f.name == touch_col else inserted(f.name, F.lit(None), F.col)).cast(f.dataType).alias(f.name)
+            for f in target.schema.fields
+        ]
+    )
+    old = target.where(_has_key(keys)).withColumn("__old", F.lit(True)).alias("t")
+    new = require_unique(source.where(_has_key(keys)), keys).withColumn("__new", F.lit(True)).alias("s")
     match = [F.col(f"t.{k}") == F.col(f"s.{k}") for k in keys]
     both = old.join(new, match, "full")
 
@@ -98,23 +123,25 @@ def merge_upsert(
             value = F.when(touched, F.lit(run_ts)).otherwise(before)
         elif c in update_cols:
             value = F.when(touched, F.col(f"s.{c}")).otherwise(before)
-        elif c in source.columns:
-            value = F.when(known, before).otherwise(F.col(f"s.{c}"))
-        elif c in insert_defaults:
-            value = F.when(known, before).otherwise(F.lit(insert_defaults[c]))
         else:
-            value = before
+            value = F.when(known, before).otherwise(inserted(c, before, lambda n: F.col(f"s.{n}")))
         out.append(value.cast(field.dataType).alias(c))
-    return both.select(*out)
+    return both.select(*out).unionByName(target.where(~_has_key(keys))).unionByName(unmatched)
 
 
 def one_per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """One row per key, the smallest by the remaining columns (combines map-side)."""
+    """One row per key, the smallest by the remaining columns (combines map-side).
+
+    Rows with a NULL in the key all stay: NULLs are not equal to each other.
+    """
     rest = [c for c in df.columns if c not in keys]
-    if not rest:
-        return df.distinct()
-    least = df.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("__row"))
-    return least.select(*[F.col(c) if c in keys else F.col(f"__row.{c}").alias(c) for c in df.columns])
+    keyed = df.where(_has_key(keys))
+    if rest:
+        least = keyed.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("__row"))
+        keyed = least.select(*[F.col(c) if c in keys else F.col(f"__row.{c}").alias(c) for c in df.columns])
+    else:
+        keyed = keyed.distinct()
+    return keyed.unionByName(df.where(~_has_key(keys)))
 
 
 def merge_insert_absent(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:

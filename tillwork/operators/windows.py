@@ -9,46 +9,28 @@ from pyspark.sql import functions as F
 
 
 def order_rank(
-    orders: DataFrame,
-    customer: str,
-    ts: str,
-    tie: str,
-    name: str = "customer_order_rank",
-    hot_rows: int = 1_000_000,
+    orders: DataFrame, customer: str, ts: str, tie: str, name: str = "customer_order_rank"
 ) -> DataFrame:
     """1, 2, 3 ... per customer by time, then by ``tie``; NULL times come last.
 
-    A plain window sorts each customer in one task.  Customers with more than
-    ``hot_rows`` orders are cut into hours first: rank within the hour plus
-    the number of earlier orders.  The result is the same for any ``hot_rows``.
+    A plain window would sort each customer in one task.  Here every customer
+    is cut into hours: rank within the hour plus the number of earlier orders.
     """
-    hot = (
-        orders.groupBy(F.col(customer).alias("__c"))
-        .agg(F.count(F.lit(1)).alias("__n"))
-        .where(F.col("__n") > hot_rows)
-        .select("__c", F.lit(True).alias("__hot"))
-    )
     no_time = F.lit("9999-12-31").cast("timestamp_ntz")
     hour = F.coalesce(F.date_trunc("hour", ts).cast("timestamp_ntz"), no_time)
-    tagged = (
-        orders.join(hot, orders[customer].eqNullSafe(F.col("__c")), "left")
-        .withColumn("__slice", F.when(F.col("__hot"), hour))
-        .drop("__c", "__hot")
-    )
-    sliced = Window.partitionBy(customer, "__slice").orderBy(F.asc_nulls_last(ts), tie)
-    ranked = tagged.withColumn(name, F.row_number().over(sliced))
+    sliced = orders.withColumn("__slice", hour)
+    in_slice = Window.partitionBy(customer, "__slice").orderBy(F.asc_nulls_last(ts), tie)
+    ranked = sliced.withColumn(name, F.row_number().over(in_slice))
 
     earlier = Window.partitionBy("__c").orderBy("__s").rowsBetween(Window.unboundedPreceding, -1)
     before = (
-        tagged.where(F.col("__slice").isNotNull())
-        .groupBy(F.col(customer).alias("__c"), F.col("__slice").alias("__s"))
+        sliced.groupBy(F.col(customer).alias("__c"), F.col("__slice").alias("__s"))
         .agg(F.count(F.lit(1)).alias("__n"))
-        .select("__c", "__s", F.sum("__n").over(earlier).alias("__before"))
+        .select("__c", "__s", F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__before"))
     )
     same_slice = ranked[customer].eqNullSafe(F.col("__c")) & (ranked["__slice"] == F.col("__s"))
-    return ranked.join(before, same_slice, "left").select(
-        *orders.columns,
-        (F.col(name) + F.coalesce(F.col("__before"), F.lit(0))).cast("bigint").alias(name),
+    return ranked.join(before, same_slice).select(
+        *orders.columns, (F.col(name) + F.col("__before")).cast("bigint").alias(name)
     )
 
 
@@ -63,19 +45,20 @@ def first_orders(orders: DataFrame, customer: str, ts: str, tie: str) -> DataFra
     return orders.groupBy(customer).agg(earliest.alias("e")).select(F.col("e.k").alias(tie))
 
 
-def dupe_rows(df: DataFrame, columns: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
+def dupe_rows(
+    df: DataFrame, columns: Sequence[str], order: Sequence[str | Column], shares: int = 64
+) -> DataFrame:
     """Every row after the first per key, where ``order`` says which row is first.
 
-    Two steps.  Within the rows of one input split, all but the first of a key
-    are certainly repeats; only those firsts, at most one per key and split,
-    meet in the second step.  So a key with a third of all rows is never
-    sorted in one place.
+    Two steps.  A key's rows are dealt to ``shares`` by a hash of the whole
+    row, so a lost task deals them alike again.  Within a share all but the
+    first are certainly repeats; only the firsts, at most ``shares`` for each
+    key, meet in the second step.
     """
-    by_split = Window.partitionBy("__split", *columns).orderBy(*order)
+    by_share = Window.partitionBy("__share", *columns).orderBy(*order)
     by_key = Window.partitionBy(*columns).orderBy(*order)
-    local = df.withColumn("__split", F.spark_partition_id()).withColumn(
-        "__local", F.row_number().over(by_split)
-    )
+    dealt = df.withColumn("__share", F.pmod(F.xxhash64(*df.columns), F.lit(shares)))
+    local = dealt.withColumn("__local", F.row_number().over(by_share))
     repeats = local.where(F.col("__local") > 1).select(*df.columns)
     firsts = local.where(F.col("__local") == 1).withColumn("__rank", F.row_number().over(by_key))
     return repeats.unionByName(firsts.where(F.col("__rank") > 1).select(*df.columns))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 
 from tillwork.catalog import OPERATIONAL
@@ -68,27 +68,48 @@ CLEANERS: Mapping[str, Callable[[DataFrame], DataFrame]] = {
 }
 
 
+BAD_LINE = "_bad_line"
+
+
+def _read_lines(spark: SparkSession, path: str, free_text: bool) -> DataFrame:
+    """A header CSV as text columns, with the whole line in ``BAD_LINE`` where its fields don't fit the header."""
+
+    def reader() -> DataFrameReader:
+        return spark.read.option("header", True).option("escape", '"').option("multiLine", free_text)
+
+    names = reader().csv(path).columns
+    schema = ", ".join(f"`{n}` string" for n in [*names, BAD_LINE])
+    return reader().schema(schema).option("columnNameOfCorruptRecord", BAD_LINE).csv(path)
+
+
 def read_raw(spark: SparkSession, path: str, free_text: bool = False) -> DataFrame:
-    """A header CSV as text columns: the types are set by the cleaners, so nothing is inferred."""
-    raw = (
-        spark.read.option("header", True)
-        .option("escape", '"')
-        .option("multiLine", free_text)
-        .csv(path)
-    )
-    return raw.drop(*UNNAMED)
+    """The lines that fit the header, as text columns: the cleaners set the types, nothing is inferred.
+
+    Lines with too many or too few fields are in ``read_rejected``.
+    """
+    lines = _read_lines(spark, path, free_text)
+    return lines.where(F.col(BAD_LINE).isNull()).drop(BAD_LINE, *UNNAMED)
+
+
+def read_rejected(spark: SparkSession, path: str, free_text: bool = False) -> DataFrame:
+    """The lines that don't fit the header, with the fields that could be read."""
+    return _read_lines(spark, path, free_text).where(F.col(BAD_LINE).isNotNull())
 
 
 def load_operational(spark: SparkSession, files: Mapping[str, str], out: str) -> dict[str, DataFrame]:
     """Clean every file named in ``files`` (table -> path) and store it below ``out``.
 
     Tables are replaced whole.  A table without a cleaner is stored as text.
+    Lines that don't fit the header are stored below ``out/rejected``, also
+    when there are none, so that their number can be checked.
     """
     tables = {}
     for name, path in files.items():
-        raw = read_raw(spark, path, free_text=name == "order_reviews")
+        free_text = name == "order_reviews"
+        raw = read_raw(spark, path, free_text)
         target = f"{out.rstrip('/')}/{name}"
         sink_overwrite(CLEANERS.get(name, lambda df: df)(raw), target)
+        sink_overwrite(read_rejected(spark, path, free_text), f"{out.rstrip('/')}/rejected/{name}")
         tables[name] = scan_table(spark, target)
     return tables
 

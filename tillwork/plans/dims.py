@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from tillwork.functions import dates, rules
 from tillwork.functions.scalars import or_zero
-from tillwork.operators.merge import merge_insert_absent, merge_upsert, surrogate_key
+from tillwork.operators.merge import merge_insert_absent, merge_upsert, require_unique, surrogate_key
 from tillwork.sources.files import values_table
 
 
@@ -31,7 +31,7 @@ def _load(
     stamp = F.lit(run_ts).cast("timestamp_ntz")
     if target is None:
         stamped = rows.withColumns({"created_at": stamp, "updated_at": stamp})
-        return surrogate_key(stamped, natural, key)
+        return surrogate_key(require_unique(stamped, [natural], key), natural, key)
     merged = merge_upsert(
         target,
         rows,
@@ -186,6 +186,21 @@ def purchase_range(orders: DataFrame) -> DataFrame:
     )
 
 
+def date_range(orders: DataFrame, reviews: DataFrame) -> DataFrame:
+    """One row: first and last day of any date that a fact refers to."""
+    named = ["purchase_timestamp", "approved_at", "delivered_customer_date", "estimated_delivery_date"]
+    dated = [f"order_{n}" for n in named if f"order_{n}" in orders.columns]
+
+    def bounds(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+        return df.agg(
+            F.array_min(F.array(*[F.min(c).cast("date") for c in columns])).alias("a"),
+            F.array_max(F.array(*[F.max(c).cast("date") for c in columns])).alias("b"),
+        )
+
+    both = bounds(orders, dated).unionByName(bounds(reviews, ["review_creation_date"]))
+    return both.agg(F.min("a").alias("start_date"), F.max("b").alias("end_date"))
+
+
 def build_dim_date(
     bounds: DataFrame, target: DataFrame | None = None, run_ts: dt.datetime | None = None
 ) -> DataFrame:

@@ -9,7 +9,7 @@ from tillwork.functions import rules
 from tillwork.functions.dates import date_key
 from tillwork.operators.aggregates import order_totals
 from tillwork.operators.joins import fan_out, left_join_agg, resolve_dims
-from tillwork.operators.merge import merge_insert_absent
+from tillwork.operators.merge import merge_insert_absent, one_per_key
 from tillwork.operators.windows import first_orders
 
 BOUGHT = "order_purchase_timestamp"
@@ -91,7 +91,7 @@ def build_fact_orders(
         F.col("total_freight").cast("decimal(20,2)").alias("total_freight_value"),
         "item_count",
     )
-    return rows if target is None else merge_insert_absent(target, rows, ["order_id"])
+    return one_per_key(rows, ["order_id"]) if target is None else merge_insert_absent(target, rows, ["order_id"])
 
 
 def order_declared_measures(orders: DataFrame, items: DataFrame, statuses: DataFrame) -> DataFrame:

@@ -62,14 +62,14 @@ def bulk_load(
     test: Mapping[str, Any] = dims.COUPON_TEST,
     calendar: tuple[dt.date, dt.date] | None = None,
 ) -> Warehouse:
-    """Build and store the whole star.  ``calendar`` overrides the purchase date range."""
+    """Build and store the whole star.  ``calendar`` overrides the range of dates in the facts."""
     wh = Warehouse(spark, path)
     customers, orders, items = tables["customers"], tables["orders"], tables["order_items"]
     payments, reviews = tables["order_payments"], tables["order_reviews"]
     stamp = F.lit(run_ts).cast("timestamp_ntz")
 
-    bounds = dims.date_bounds(spark, *calendar) if calendar else dims.purchase_range(orders)
-    dim_date = wh.write("dim_date", dims.build_dim_date(bounds, run_ts=run_ts))
+    bounds = dims.date_bounds(spark, *calendar) if calendar else dims.date_range(orders, reviews)
+    wh.write("dim_date", dims.build_dim_date(bounds, run_ts=run_ts))
     wh.write("dim_order_status", dims.build_dim_order_status(spark))
     customer = wh.write("dim_customer", dims.build_dim_customer(customers, orders, payments, run_ts=run_ts))
     product = wh.write("dim_product", dims.build_dim_product(tables["products"], run_ts=run_ts))
@@ -95,7 +95,7 @@ def bulk_load(
 
     tests, variants = dims.build_ab_dims(spark, test, start_date=run_ts.date(), run_ts=run_ts)
     tests, variants = wh.write("dim_ab_test", tests), wh.write("dim_test_variant", variants)
-    last_day = dim_date.agg(F.max("full_date")).scalar()
+    last_day = dims.purchase_range(orders).select("end_date").scalar()
     events = exposure_events(customer, sales, tests, variants, last_day, test["test_id"])
     wh.write("fact_ab_test_events", row_key(events.withColumn("created_at", stamp), "event_key"))
     return wh

@@ -55,6 +55,44 @@ def scan_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def _versions(spark: SparkSession, path: str) -> list[tuple[int, str]]:
+    """Numbers and folders of the whole versions below ``path``, oldest first."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(root):
+        return []
+    folders = [s.getPath() for s in fs.listStatus(root)]
+    whole = [f for f in folders if f.getName().startswith("v=") and fs.exists(jvm.org.apache.hadoop.fs.Path(f, "_SUCCESS"))]
+    return sorted((int(f.getName()[2:]), f.toString()) for f in whole)
+
+
+def publish(df: DataFrame, path: str, version: int, keep: int = 2) -> str:
+    """Write ``df`` as a version of the table at ``path``; a version that is whole stays as it is.
+
+    Readers take the newest whole version, so they never see a part of one.
+    The ``keep`` newest stay for readers that are still at work.
+    """
+    spark = df.sparkSession
+    if version in dict(_versions(spark, path)):
+        # a stream's batch has to run for its state to be kept
+        df.write.format("noop").mode("overwrite").save()
+    else:
+        sink_overwrite(df, f"{path}/v={version}")
+    for _, old in _versions(spark, path)[:-keep]:
+        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(old)
+        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+    return path
+
+
+def scan_published(spark: SparkSession, path: str) -> DataFrame:
+    """The newest whole version of a published table."""
+    versions = _versions(spark, path)
+    if not versions:
+        raise FileNotFoundError(f"no whole version of {path}")
+    return spark.read.parquet(versions[-1][1])
+
+
 def scan_sql(spark: SparkSession, query: str, args: dict[str, Any], **tables: DataFrame) -> DataFrame:
     """SQL with named parameters (``:name``) over DataFrames passed by keyword (``{table}``)."""
     return spark.sql(query, args=args, **tables)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tillwork.operators.bayes import posterior, save_posterior
 from tillwork.operators.experiment import EVEN_SPLIT, assign_variant
-from tillwork.sources.files import sink_overwrite
+from tillwork.sources.files import publish
 
 
 def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -22,17 +23,14 @@ def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def daily_counts(
-    events: DataFrame, allocations: Mapping[str, float] = EVEN_SPLIT, late: str = "1 day"
+    events: DataFrame, allocations: Mapping[str, float] = EVEN_SPLIT
 ) -> DataFrame:
     """Exposures (views) and conversions (purchases) per variant and day.
 
     Works on a stream and on a static table alike.  State is one row per day
-    and variant; events later than ``late`` behind the newest are dropped in
-    append and update mode.
+    and variant, kept for good: late events still count.
     """
     kinds = events.where(F.col("event_type").isin("view", "purchase"))
-    if events.isStreaming:
-        kinds = kinds.withWatermark("ts", late)
     counted = (
         assign_variant(kinds, "user_id", allocations)
         .groupBy(F.window("ts", "1 day").alias("day"), "variant_id")
@@ -47,14 +45,15 @@ def daily_counts(
 
 
 def stream_ab_counts(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Keep the table at ``path`` equal to the counts so far.  Starts a query.
+    """Keep the published table at ``path`` equal to the counts so far.  Starts a query.
 
-    Complete mode hands over the whole small result each time, so writing it
-    is idempotent: a batch replayed after a failure leaves the same table.
+    Complete mode hands over the whole small result each time, and a batch is
+    published under its number: one replayed after a failure changes nothing,
+    and a reader always finds a whole table (``scan_published``).
     """
 
-    def write(batch: DataFrame, _batch_id: int) -> None:
-        sink_overwrite(batch, path)
+    def write(batch: DataFrame, batch_id: int) -> None:
+        publish(batch, path, batch_id)
 
     return (
         daily_counts(stream)
@@ -66,33 +65,62 @@ def stream_ab_counts(stream: DataFrame, path: str, checkpoint: str) -> Streaming
     )
 
 
+def daily_trials(
+    events: DataFrame, period: dt.date, allocations: Mapping[str, float] = EVEN_SPLIT
+) -> DataFrame:
+    """Users and days of the month of ``period`` with a view or purchase, and whether one bought.
+
+    A user who views or buys on a day is one trial, and a success if there was
+    a purchase, so successes never exceed trials.
+    """
+    first = period.replace(day=1)
+    following = (first + dt.timedelta(days=32)).replace(day=1)
+    in_month = (F.col("ts") >= F.lit(first).cast("timestamp")) & (F.col("ts") < F.lit(following).cast("timestamp"))
+    kinds = events.where(F.col("event_type").isin("view", "purchase") & in_month)
+    return (
+        assign_variant(kinds, "user_id", allocations)
+        .groupBy("user_id", F.window("ts", "1 day").alias("day"), "variant_id")
+        .agg(F.max(F.col("event_type") == "purchase").alias("bought"))
+    )
+
+
 def stream_posteriors(
-    stream: DataFrame, store: DataFrame, test_id: str, period_date, path: str, checkpoint: str
+    stream: DataFrame,
+    store: DataFrame,
+    test_id: str,
+    period_date: dt.date,
+    path: str,
+    checkpoint: str,
+    run_ts: dt.datetime,
 ) -> StreamingQuery:
-    """Keep the store at ``path`` equal to ``store`` with the stream's posterior merged in.
+    """Keep the published store at ``path`` equal to ``store`` with the stream's posterior merged in.
 
-    Each batch starts again from the stored prior and the stream's totals, so
-    nothing is counted twice however often a batch runs.  A user counts once
-    per view as a trial and once per purchase as a success, bounded by trials.
+    Each batch starts again from the stored prior and the totals of the
+    period's month, so nothing is counted twice however often a batch runs.
+    State is one row per user and day of that month.
     """
 
-    def write(batch: DataFrame, _batch_id: int) -> None:
+    def write(batch: DataFrame, batch_id: int) -> None:
         totals = batch.groupBy("variant_id").agg(
-            F.sum("exposures").alias("data_points"), F.sum("conversions").alias("c")
+            F.count(F.lit(1)).alias("data_points"), F.count_if("bought").alias("conversions")
         )
         counts = totals.select(
             F.lit(test_id).alias("test_id"),
             "variant_id",
             F.lit(period_date).alias("period_date"),
             "data_points",
-            F.least("c", "data_points").alias("conversions"),
+            "conversions",
         )
-        prior = store.where((F.col("value_type") == "prior") & (F.col("period_date") == F.lit(period_date)))
-        merged = save_posterior(store, posterior(prior, counts), notes="Streaming posterior update")
-        sink_overwrite(merged, path)
+        prior = store.where(
+            (F.col("value_type") == "prior")
+            & (F.col("period_date") == F.lit(period_date))
+            & (F.col("test_id") == test_id)
+        )
+        merged = save_posterior(store, posterior(prior, counts), run_ts, notes="Streaming posterior update")
+        publish(merged, path, batch_id)
 
     return (
-        daily_counts(stream)
+        daily_trials(stream, period_date)
         .writeStream.outputMode("complete")
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)

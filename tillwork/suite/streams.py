@@ -9,14 +9,15 @@ from pyspark.sql import functions as F
 from tillwork.operators.bayes import chain_as_store, monthly_chain
 from tillwork.plans.facts import build_fact_orders
 from tillwork.session import work_path
-from tillwork.sources.files import scan_table
+from tillwork.sources.files import scan_published
 from tillwork.streaming import daily, experiment
 from tillwork.suite.basics import TEST_ID
 from tillwork.suite.joins_aggs import customer_keys
 from tillwork.suite.parts import arm, date_key, oracle
 from tillwork.suite.registry import query
 
-PERIOD = dt.date(2024, 2, 1)
+PERIOD = dt.date(2024, 1, 1)
+RUN_TS = dt.datetime(2024, 2, 1)
 
 
 @query(
@@ -31,12 +32,12 @@ def stream_ab_counts(r):
     path = work_path(r.spark, "ab-counts")
     stream = experiment.event_stream(r.spark, r.sf_dir)
     experiment.stream_ab_counts(stream, path, work_path(r.spark, "ab-counts-state")).awaitTermination()
-    return scan_table(r.spark, path)
+    return scan_published(r.spark, path)
 
 
 def stored_prior(r):
-    """The prior for February that January's trials lead to."""
-    january = r.trial_counts(TEST_ID).withColumn("period_date", F.lit(dt.date(2024, 1, 1)))
+    """The prior that all trials so far lead to."""
+    january = r.trial_counts(TEST_ID).withColumn("period_date", F.lit(dt.date(2023, 12, 1)))
     chain = monthly_chain(january)
     rows = chain_as_store(chain).where(F.col("value_type") == "posterior")
     return rows.withColumns({"period_date": F.lit(PERIOD), "value_type": F.lit("prior")})
@@ -46,21 +47,22 @@ def stored_prior(r):
     "stream_posterior_update",
     oracle(f"""
     WITH start AS (SELECT variant_id, sum(data_points) AS n0, sum(conversions) AS c0 FROM trial_counts GROUP BY 1),
-    live AS (SELECT {arm('user_id')} AS variant_id, count(*) FILTER (WHERE event_type = 'view') AS n,
-             count(*) FILTER (WHERE event_type = 'purchase') AS c FROM events GROUP BY 1)
+    days AS (SELECT {arm('user_id')} AS variant_id, user_id, CAST(ts AS DATE) AS d, max(CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END) AS bought
+             FROM events WHERE event_type IN ('view', 'purchase') AND ts >= DATE '2024-01-01' AND ts < DATE '2024-02-01' GROUP BY 1, 2, 3),
+    live AS (SELECT variant_id, count(*) AS n, CAST(sum(bought) AS BIGINT) AS c FROM days GROUP BY 1)
     SELECT variant_id, 'prior' AS value_type, CAST(1 + c0 AS DOUBLE) AS alpha_value, CAST(1 + n0 - c0 AS DOUBLE) AS beta_value,
            CAST(n0 AS BIGINT) AS data_points, CAST(c0 AS BIGINT) AS conversions FROM start
     UNION ALL
-    SELECT l.variant_id, 'posterior', CAST(1 + c0 + least(c, n) AS DOUBLE), CAST(1 + n0 - c0 + n - least(c, n) AS DOUBLE),
-           n, least(c, n) FROM live l JOIN start s ON l.variant_id = s.variant_id"""),
+    SELECT l.variant_id, 'posterior', CAST(1 + c0 + c AS DOUBLE), CAST(1 + n0 - c0 + n - c AS DOUBLE),
+           n, c FROM live l JOIN start s ON l.variant_id = s.variant_id"""),
 )
 def stream_posterior_update(r):
     path = work_path(r.spark, "live-store")
     stream = experiment.event_stream(r.spark, r.sf_dir)
     experiment.stream_posteriors(
-        stream, stored_prior(r), TEST_ID, PERIOD, path, work_path(r.spark, "live-store-state")
+        stream, stored_prior(r), TEST_ID, PERIOD, path, work_path(r.spark, "live-store-state"), RUN_TS
     ).awaitTermination()
-    return scan_table(r.spark, path).select(
+    return scan_published(r.spark, path).select(
         "variant_id", "value_type", "alpha_value", "beta_value", "data_points", "conversions"
     )
 
