@@ -196,7 +196,8 @@ def mixed(
     kept = ["doc_id", "size", "source_size", "target"]
     taken = (
         pieces.withColumn("words", inside)
-        .join(uses, ["rank", "block"], "left")
+        # made by exploding a small table, so its size is not known to be large
+        .join(uses.hint("merge"), ["rank", "block"], "left")
         .groupBy("rank", "begin", *kept)
         .agg(F.sum(F.col("words") * F.coalesce("uses", F.lit(0))).alias("taken"))
         .select(*kept, "taken")
