@@ -76,9 +76,27 @@ def test_brute_force(spark, seed):
     assert result(spark, rows) == want
 
 
-def test_no_rounds_same_result(spark):
+@pytest.mark.parametrize("leaders", [(), (1,), (2, 3)])
+def test_rounds_do_not_change_the_result(spark, monkeypatch, leaders):
+    """Also when nearly all groups count as crowded."""
+    monkeypatch.setattr(sj, "PAIRED", 3)
     rows = corpus(7)
-    assert result(spark, rows, leaders=()) == brute(rows)
+    assert result(spark, rows, leaders=leaders) == brute(rows)
+
+
+def test_many_near_copies(spark):
+    """One group of near copies at all distances, some of them beyond the threshold of every other."""
+    rng = random.Random(9)
+    words = [f"w{i}" for i in range(150)]
+    rows = []
+    for i in range(250):
+        copy = list(words)
+        for _ in range(rng.randint(0, 7)):
+            copy[rng.randrange(150)] = f"x{rng.randrange(10**6)}"
+        rows.append((i, " ".join(copy)))
+    want = brute(rows)
+    assert 1 < len({c for *_, c in want}) < 200
+    assert result(spark, rows) == want
 
 
 def test_edges(spark):
@@ -92,9 +110,13 @@ def test_edges(spark):
     assert sorted((tuple(r) for r in odd), key=str) == sorted([(None, 1, 3), (3, 1, 3), (None, 1, None)], key=str)
 
 
-def test_prefixes_meet_under_every_order():
+@pytest.mark.parametrize("full", [0, 1, 40])
+def test_prefixes_meet_under_every_order(full):
+    """Whatever the filter of late tokens lets through."""
     rng = np.random.default_rng(3)
-    rarity = rng.integers(0, 256, sj.SKETCH).astype(np.uint8)
+    last = np.zeros(sj.FILTER_WORDS, np.uint64)
+    for _ in range(full):
+        last |= rng.integers(0, 1 << 64, sj.FILTER_WORDS, dtype=np.uint64) & rng.integers(0, 1 << 64, sj.FILTER_WORDS, dtype=np.uint64)
     for _ in range(300):
         n = int(rng.integers(1, 120))
         a = np.unique(rng.integers(0, 1 << 62, n, dtype=np.uint64))
@@ -102,8 +124,8 @@ def test_prefixes_meet_under_every_order():
         both = len(np.intersect1d(a, b))
         if not len(b) or 100 * both < 90 * (len(a) + len(b) - both):
             continue
-        for order in (1, 2, 3):
-            p, q = (sj.ordered_prefix(s, rarity, order, sj.prefix_length(len(s))) for s in (a, b))
+        for order in range(sj.ORDERS):
+            p, q = (sj.ordered_prefix(s, order, sj.prefix_length(len(s)), last) for s in (a, b))
             assert set(p.tolist()) & set(q.tolist())
 
 

@@ -1,11 +1,12 @@
 """Documents whose word-shingle sets are nearly equal: an exact Jaccard join and its components.
 
 Equal sets are one node.  Two nodes can only reach the threshold if they share a token among the
-first few of each, under any order of all tokens.  Candidates come from one order, in which tokens
-that are frequent in the corpus go last; they must also share prefix tokens under two more orders
-before their sets are compared.  A token of a large group of near copies does not pair them all:
-rounds compare each node with a few leaders of its group, links join components, and only nodes that
-are still apart meet one by one.
+first few of each, under any order of all tokens.  So candidates must share prefix tokens under
+several different orders: pairs of nodes are listed for the tokens of each order, and only pairs that
+every order lists are compared.  Orders are by hash at first; tokens that turn out to be in the
+prefixes of many then go last.  What is left of large groups is near copies, and these are not paired
+off: rounds compare each node with a few leaders of its group, links join components, and only nodes
+that are still apart meet one by one.
 """
 
 from __future__ import annotations
@@ -24,12 +25,14 @@ from tillwork.llm.components import components
 SHINGLE = 3
 #: link when DEN * intersection >= NUM * union
 NUM, DEN = 90, 100
-#: cells of the frequency sketch; any function of a token is a valid order, a coarse one only slower
-SKETCH = 1 << 19
-#: 64-bit words of the filter of nodes with a partner; one that is full only lets more through
-FILTER_WORDS = 1 << 17
+#: 64-bit words of the filters of nodes and tokens; one that is full only lets more through
+FILTER_WORDS = 1 << 18
+#: different orders of the tokens
+ORDERS = 2
+#: tokens that more nodes share are left to the rounds
+PAIRED = 6
 #: leaders of each token's group in the rounds before all that are left are compared
-LEADERS = (1, 4, 8)
+LEADERS = (2, 4, 8)
 #: words whose hashes one Python worker keeps
 REMEMBERED = 500_000
 
@@ -70,7 +73,8 @@ def shingle_set(text: str | None, k: int = SHINGLE) -> np.ndarray:
     mixed = h[:n] * _MULTIPLIERS[0]
     for i in range(1, k):
         mixed = _mixed(mixed + h[i : i + n] * _MULTIPLIERS[i % 3])
-    return np.unique(mixed)
+    mixed.sort()
+    return mixed[np.r_[True, mixed[1:] != mixed[:-1]]]
 
 
 def prefix_length(n: int, num: int = NUM, den: int = DEN) -> int:
@@ -78,13 +82,14 @@ def prefix_length(n: int, num: int = NUM, den: int = DEN) -> int:
     return n - -(-num * n // den) + 1
 
 
-def ordered_prefix(tokens: np.ndarray, rarity: np.ndarray, order: int, length: int) -> np.ndarray:
-    """The first ``length`` tokens: rare cells of the sketch first, then by a hash for each order.
+def ordered_prefix(tokens: np.ndarray, order: int, length: int, last: np.ndarray | None = None) -> np.ndarray:
+    """The first ``length`` tokens by the order's hash; those in the filter ``last`` come after the others.
 
-    The sort key names the token: equal keys are equal tokens but for a chance of 2**-56.
+    The hash names the token; equal hashes are equal tokens but for a chance of 2**-63.
     """
-    cell = (tokens % np.uint64(len(rarity))).astype(np.int64)
-    key = (rarity[cell].astype(np.uint64) << np.uint64(56)) | (_mixed(tokens, order) >> np.uint64(8))
+    key = _mixed(tokens, order) >> np.uint64(1)
+    if last is not None:
+        key |= _passes(last, key).astype(np.uint64) << np.uint64(63)
     return np.partition(key, length - 1)[:length] if length < len(key) else key
 
 
@@ -108,122 +113,188 @@ def _mapped(df: DataFrame, make, schema: str) -> DataFrame:
     return df.mapInArrow(run, whole)
 
 
-def sets_and_sketch(docs: DataFrame) -> DataFrame:
-    """One pass over the texts: (doc_id, n, s1, s2) of each, and (cell, seen) of each task's sketch.
+def sets_and_prefixes(docs: DataFrame) -> DataFrame:
+    """(doc_id, n, s1, s2, tokens) of each row: set size, a 128-bit digest, and prefixes by hash alone."""
 
-    s1 and s2 are a 128-bit digest of the set.  A task sends at most ``SKETCH`` cells.
-    """
-    schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("s1", pa.int64()), ("s2", pa.int64()), ("cell", pa.int64()), ("seen", pa.int64())])
+    def make(batch: pa.RecordBatch) -> dict:
+        sets = [shingle_set(t) for t in batch.column("text").to_pylist()]
+        digest = [divmod(xxhash.xxh3_128_intdigest(s.tobytes()), 1 << 64) for s in sets]
+        s1, s2 = np.array(digest, np.uint64).reshape(-1, 2).view(np.int64).T
+        tokens = [[_long(ordered_prefix(s, o, prefix_length(len(s)))) for o in range(ORDERS)] if len(s) else [] for s in sets]
+        return {"doc_id": batch.column("doc_id"), "n": [len(s) for s in sets], "s1": s1, "s2": s2, "tokens": tokens}
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = np.zeros(SKETCH, np.int64)
-        for batch in batches:
-            for small in (batch.slice(i, 500) for i in range(0, batch.num_rows, 500)):
-                sets = [shingle_set(t) for t in small.column("text").to_pylist()]
-                digest = np.array([divmod(xxhash.xxh3_128_intdigest(s.tobytes()), 1 << 64) for s in sets], np.uint64)
-                digest = digest.reshape(-1, 2).view(np.int64)
-                cells = (np.concatenate(sets) % np.uint64(SKETCH)).astype(np.int64)
-                seen += np.bincount(cells, minlength=SKETCH)
-                none = pa.nulls(len(sets), pa.int64())
-                columns = [small.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), *map(pa.array, digest.T.copy())]
-                yield pa.RecordBatch.from_arrays([*columns, none, none], schema=schema)
-        cells = np.flatnonzero(seen)
-        none = pa.nulls(len(cells), pa.int64())
-        yield pa.RecordBatch.from_arrays([none] * 4 + [pa.array(cells), pa.array(seen[cells])], schema=schema)
-
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
-        run, "doc_id long, n long, s1 long, s2 long, cell long, seen long"
+    return _mapped(
+        docs.select(F.col("doc_id").cast("long"), "text"),
+        make,
+        "doc_id long, n long, s1 long, s2 long, tokens array<array<long>>",
     )
 
 
-def rarity_of(counts: DataFrame) -> np.ndarray:
-    """A byte for each cell of the sketch, the logarithm of its count; ``SKETCH`` bytes in all."""
-    rows = counts.groupBy("cell").agg(F.sum("seen").alias("seen")).toArrow()
-    seen = np.zeros(SKETCH)
-    seen[rows.column("cell").to_numpy()] = rows.column("seen").to_numpy()
-    return np.minimum(255, 12 * np.log2(1 + seen)).astype(np.uint8)
-
+def prefix_rows(docs: DataFrame, last: np.ndarray) -> DataFrame:
+    """(doc_id, n, tokens): prefixes with the tokens in the filter put last, one list an order.
 
-def prefix_rows(docs: DataFrame, rarity: np.ndarray) -> DataFrame:
-    """(doc_id, n, tokens): each text's prefix under the first order; texts without words are left out."""
+    Texts without words are left out.
+    """
 
     def make(batch: pa.RecordBatch) -> dict:
         out = {"doc_id": [], "n": [], "tokens": []}
         for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
             s = shingle_set(text)
             if len(s):
+                p = prefix_length(len(s))
                 out["doc_id"].append(doc_id)
                 out["n"].append(len(s))
-                out["tokens"].append(_long(ordered_prefix(s, rarity, 1, prefix_length(len(s)))))
+                out["tokens"].append([_long(ordered_prefix(s, o, p, last)) for o in range(ORDERS)])
         return out
 
-    return _mapped(docs.select(F.col("doc_id").cast("long"), "text"), make, "doc_id long, n long, tokens array<long>")
+    return _mapped(
+        docs.select(F.col("doc_id").cast("long"), "text"), make, "doc_id long, n long, tokens array<array<long>>"
+    )
 
 
-def _places(node: Column) -> Column:
-    return F.array(*[F.pmod(F.xxhash64(node, F.lit(k)), F.lit(FILTER_WORDS * 64)) for k in range(3)])
+def _token_counts(prefixes: DataFrame) -> DataFrame:
+    return prefixes.select(F.explode(F.flatten("tokens")).alias("token")).groupBy("token").agg(F.count("*").alias("m"))
 
 
-def node_filter(nodes: DataFrame) -> np.ndarray:
-    """A Bloom filter of ``node`` in ``FILTER_WORDS`` words."""
-    bits = nodes.select(F.explode(_places(F.col("node"))).alias("place")).select(
-        F.shiftright("place", 6).alias("word"), F.expr("shiftleft(1L, cast(place & 63 as int))").alias("bit")
-    )
-    rows = bits.groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
+def _spots(values: np.ndarray) -> list[np.ndarray]:
+    """Three bit places of each value in a filter."""
+    return [(_mixed(values, 77 + k) % np.uint64(64 * FILTER_WORDS)).astype(np.int64) for k in range(3)]
+
+
+def bit_filter(df: DataFrame, column: str) -> np.ndarray:
+    """A Bloom filter of a column of longs in ``FILTER_WORDS`` words.
+
+    Each task sends the words that it sets, never more than there are.
+    """
+    schema = pa.schema([("word", pa.int64()), ("bits", pa.int64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = np.zeros(FILTER_WORDS, np.uint64)
+        for batch in batches:
+            for spot in _spots(batch.column(0).to_numpy().view(np.uint64)):
+                np.bitwise_or.at(words, spot >> 6, np.uint64(1) << (spot & 63).astype(np.uint64))
+        used = np.flatnonzero(words)
+        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(words[used].view(np.int64))], schema=schema)
+
+    rows = df.select(column).mapInArrow(run, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
     words = np.zeros(FILTER_WORDS, np.int64)
     words[rows.column("word").to_numpy()] = rows.column("bits").to_numpy()
     return words.view(np.uint64)
 
 
-def full_sets(docs: DataFrame, nodes: DataFrame, rarity: np.ndarray) -> DataFrame:
-    """(node, tokens, second, third): whole sets and further prefixes of at least the documents in ``nodes``.
+def _passes(words: np.ndarray, values: np.ndarray) -> np.ndarray:
+    inside = np.ones(len(values), bool)
+    for spot in _spots(values):
+        inside &= (words[spot >> 6] >> (spot & 63).astype(np.uint64)) & np.uint64(1) == 1
+    return inside
+
 
-    The filter is small whatever the number of nodes, so the texts need not move.
+def shared_tokens(prefixes: DataFrame) -> DataFrame:
+    """(token, o, node, m): prefix tokens that ``m`` > 1 nodes have.
+
+    Most tokens are of one node.  Those of several are found by counting, and a filter of them keeps
+    the rest out of the shuffle that brings the nodes of a token together.
     """
-    words = node_filter(nodes)
+    several = stored(_token_counts(prefixes).where("m > 1"), "shingle-tokens")
+    words = bit_filter(several, "token")
 
     def make(batch: pa.RecordBatch) -> dict:
-        places = np.array(batch.column("places").to_pylist(), np.int64).reshape(-1, 3)
-        inside = (words[places >> 6] >> (places & 63).astype(np.uint64)) & np.uint64(1)
-        some = batch.filter(pa.array(inside.all(axis=1)))
-        sets = [shingle_set(t) for t in some.column("text").to_pylist()]
-        kept = [(i, s) for i, s in zip(some.column("doc_id").to_pylist(), sets, strict=True) if len(s)]
-        further = [[_long(ordered_prefix(s, rarity, o, prefix_length(len(s)))) for _, s in kept] for o in (2, 3)]
-        return {"node": [i for i, _ in kept], "tokens": [_long(s) for _, s in kept], "second": further[0], "third": further[1]}
+        out: list[list[np.ndarray]] = [[np.zeros(0, np.int64)] for _ in range(3)]
+        for i, node in enumerate(batch.column("doc_id").to_pylist()):
+            for o, of in enumerate(batch.column("tokens")[i].values):
+                token = of.values.to_numpy()
+                token = token[_passes(words, token.view(np.uint64))]
+                for column, part in zip(out, (token, np.full(len(token), o), np.full(len(token), node)), strict=True):
+                    column.append(part)
+        token, o, node = (np.concatenate(c) for c in out)
+        return {"token": token, "o": o, "node": node}
+
+    return _mapped(prefixes, make, "token long, o long, node long").join(several, "token")
+
+
+def texts_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(node, text) of the documents in ``nodes``; a filter of them spares the others the shuffle."""
+    words = bit_filter(nodes, "node")
+
+    def make(batch: pa.RecordBatch) -> dict:
+        some = batch.filter(pa.array(_passes(words, batch.column("doc_id").to_numpy().view(np.uint64))))
+        return {"node": some.column("doc_id"), "text": some.column("text")}
 
     known = docs.select(F.col("doc_id").cast("long"), "text").where(F.col("doc_id").isNotNull())
-    return _mapped(
-        known.withColumn("places", _places(F.col("doc_id"))),
-        make,
-        "node long, tokens array<long>, second array<long>, third array<long>",
-    )
+    return _mapped(known, make, "node long, text string").join(nodes, "node", "left_semi")
+
+
+def differences(docs: DataFrame, clusters: DataFrame) -> DataFrame:
+    """(node, n, diff): size of each set, and how it differs from that of its cluster's first node.
+
+    Near copies differ little from each other, so a difference is far smaller than a set, and two
+    sets differ by the difference of their differences.  ``clusters``: node, component.  Texts are
+    moved, not sets, which are larger.
+    """
+    heads = texts_of(docs, clusters.select(F.col("component").alias("node")).distinct())
+    first = heads.groupBy(F.col("node").alias("component")).agg(F.min("text").alias("first"))
+    beside = texts_of(docs, clusters.select("node")).join(clusters, "node").join(first, "component")
 
+    def make(batch: pa.RecordBatch) -> dict:
+        out = {"node": [], "n": [], "diff": []}
+        last, base = None, None
+        for node, text, first in zip(*(batch.column(c).to_pylist() for c in ("node", "text", "first")), strict=True):
+            if base is None or first != last:
+                last, base = first, shingle_set(first)
+            own = shingle_set(text)
+            if len(own):
+                out["node"].append(node)
+                out["n"].append(len(own))
+                out["diff"].append(_long(np.setxor1d(own, base, assume_unique=True)))
+        return out
 
-def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) that share prefix tokens under the further orders and reach the threshold."""
+    return _mapped(beside.select("node", "text", "first"), make, "node long, n long, diff array<long>")
 
-    def beside(df: DataFrame, side: str, columns: list[str]) -> DataFrame:
-        return df.join(sets.select(F.col("node").alias(side), *[F.col(c).alias(f"{side}_{c}") for c in columns]), side)
 
-    filtered = beside(beside(pairs, "a", ["second", "third"]), "b", ["second", "third"]).where(
-        F.arrays_overlap("a_second", "b_second") & F.arrays_overlap("a_third", "b_third")
+def verified(pairs: DataFrame, diffs: DataFrame) -> DataFrame:
+    """The pairs (a, b) of nodes of one cluster whose sets reach the threshold."""
+    left, right = (
+        diffs.select(F.col("node").alias(x), F.col("n").alias(f"{x}_n"), F.col("diff").alias(f"{x}_diff")) for x in "ab"
     )
-    whole = beside(beside(filtered.select("a", "b"), "a", ["tokens"]), "b", ["tokens"])
-    common = F.size(F.array_intersect("a_tokens", "b_tokens"))
-    union = F.size("a_tokens") + F.size("b_tokens") - common
-    return whole.where(common * DEN >= union * NUM).select("a", "b")
+    whole = pairs.select("a", "b").join(left, "a").join(right, "b").where(_sizes_fit("a_n", "b_n"))
+    both = F.col("a_n") + F.col("b_n")
+    apart = F.size("a_diff") + F.size("b_diff") - 2 * F.size(F.array_intersect("a_diff", "b_diff"))
+    # intersection and union are (both - apart) / 2 and (both + apart) / 2
+    return whole.where((both - apart) * DEN >= (both + apart) * NUM).select("a", "b")
+
+
+def listed_pairs(shared: DataFrame) -> DataFrame:
+    """(a, b, o0, o1, ..): pairs of nodes with a token that few share, and which orders list them."""
+    few = shared.where(F.col("m") <= PAIRED)
+    met = few.select("token", "o", F.col("node").alias("a")).join(few.select("token", F.col("node").alias("b")), "token")
+    return met.where("a < b").groupBy("a", "b").agg(*[F.max(F.col("o") == o).alias(f"o{o}") for o in range(ORDERS)])
+
+
+def in_every_order(pairs: DataFrame, crowded: DataFrame) -> DataFrame:
+    """Pairs that share a prefix token under every order, as far as can be told.
+
+    An order that does not list a pair may still join the two in one of its crowded tokens; that
+    can only be if both have one (``crowded``: node, c0, c1, ..).
+    """
+
+    def beside(df: DataFrame, side: str) -> DataFrame:
+        names = [F.col(f"c{o}").alias(f"{side}{o}") for o in range(ORDERS)]
+        return df.join(crowded.select(F.col("node").alias(side), *names), side, "left")
+
+    both = beside(beside(pairs, "a"), "b")
+    for o in range(ORDERS):
+        crowd = F.coalesce(f"a{o}", F.lit(False)) & F.coalesce(f"b{o}", F.lit(False))
+        both = both.where(F.coalesce(f"o{o}", F.lit(False)) | crowd)
+    return both.select("a", "b")
 
 
 def _sizes_fit(x: str, y: str) -> Column:
     return F.least(x, y) * DEN >= F.greatest(x, y) * NUM
 
 
-def _placed(shared: DataFrame, parts: DataFrame | None) -> DataFrame:
-    """``shared`` with each node's component, for the tokens whose nodes are not all in one."""
-    if parts is None:
-        now = shared.withColumn("part", F.col("node"))
-    else:
-        now = shared.join(parts, "node", "left").withColumn("part", F.coalesce("component", "node")).drop("component")
+def _placed(crowd: DataFrame, parts: DataFrame) -> DataFrame:
+    """``crowd`` with each node's component, for the tokens whose nodes are not all in one."""
+    now = crowd.join(parts, "node", "left").withColumn("part", F.coalesce("component", "node")).drop("component")
     apart = now.groupBy("token").agg(F.min("part").alias("x"), F.max("part").alias("y")).where("x <> y").select("token")
     return now.join(apart, "token")
 
@@ -264,35 +335,41 @@ def jaccard_components(docs: DataFrame, leaders: tuple[int, ...] = LEADERS) -> D
     nothing.  Rows that share a doc_id count as one document with several sets.  A null doc_id gets
     the component of its set, null if no other row has that set.  Other columns are left behind.
     """
-    first = stored(sets_and_sketch(docs), "shingle-sets")
-    rows = first.where("cell is null").drop("cell", "seen")
-    rarity = rarity_of(first.where("cell is not null"))
+    first = stored(sets_and_prefixes(docs), "shingle-sets")
+    rows = first.drop("tokens")
+    crowds = bit_filter(_token_counts(first).where(F.col("m") > PAIRED), "token")
     classes = stored(
         rows.where("n > 0").groupBy("s1", "s2").agg(F.min("doc_id").alias("node")).where("node is not null"), "shingle-classes"
     )
-    prefixes = prefix_rows(docs, rarity).join(classes.select(F.col("node").alias("doc_id")), "doc_id", "left_semi")
-    tokens = stored(
-        prefixes.select(F.col("doc_id").alias("node"), "n", F.explode("tokens").alias("token")), "shingle-prefixes"
+    own = classes.select(F.col("node").alias("doc_id"))
+    prefixes = stored(prefix_rows(docs, crowds).join(own, "doc_id", "left_semi"), "shingle-prefixes")
+    shared = stored(shared_tokens(prefixes), "shingle-shared")
+    crowded = stored(
+        shared.where(F.col("m") > PAIRED)
+        .groupBy("node")
+        .agg(*[F.max(F.col("o") == o).alias(f"c{o}") for o in range(ORDERS)]),
+        "shingle-crowded",
+    )
+    listed = stored(listed_pairs(shared), "shingle-listed")
+    pairs = stored(in_every_order(listed, crowded), "shingle-pairs")
+    # any two that link share a token of the first order: if no pair was listed, a crowded one
+    crowd = shared.where((F.col("o") == 0) & (F.col("m") > PAIRED)).select("token", "node").join(
+        prefixes.select(F.col("doc_id").alias("node"), "n"), "node"
     )
-    partners = tokens.groupBy("token").agg(F.count("*").alias("m")).where("m > 1").select("token")
-    shared = stored(tokens.join(partners, "token"), "shingle-shared")
-    nodes = shared.select("node").distinct()
-    sets = stored(full_sets(docs, nodes, rarity), "shingle-full")
-    parts, links = None, None
+    crowd = stored(crowd, "shingle-crowd")
+    stars = crowd.join(crowd.groupBy("token").agg(F.min("node").alias("b")), "token").select(F.col("node").alias("a"), "b")
+    diffs = stored(differences(docs, components(pairs.unionByName(stars))), "shingle-diffs")
+    parts = components(verified(pairs, diffs))
     for r in range(len(leaders) + 1):
-        now = stored(_placed(shared, parts), "shingle-open")
+        now = stored(_placed(crowd, parts), "shingle-open")
         if now.isEmpty():
             break
-        pairs = leader_pairs(now, leaders[r], r) if r < len(leaders) else remaining_pairs(now)
-        new = verified(pairs, sets)
+        met = leader_pairs(now, leaders[r], r) if r < len(leaders) else remaining_pairs(now)
+        met = in_every_order(met.join(listed.drop("o0"), ["a", "b"], "left").withColumn("o0", F.lit(True)), crowded)
         # earlier components stand for the links behind them
-        links = stored(new if parts is None else new.unionByName(parts.select(F.col("node").alias("a"), F.col("component").alias("b"))), "shingle-links")
-        parts = components(links)
-    known = rows.join(classes, ["s1", "s2"], "left")
-    if parts is not None:
-        known = known.join(parts, "node", "left")
-    else:
-        known = known.withColumn("component", F.lit(None).cast("long"))
+        before = parts.select(F.col("node").alias("a"), F.col("component").alias("b"))
+        parts = components(verified(met, diffs).unionByName(before))
+    known = rows.join(classes, ["s1", "s2"], "left").join(parts, "node", "left")
     return known.select(
         "doc_id",
         F.col("n").alias("n_shingles"),
