@@ -38,8 +38,8 @@ def frame(spark, rows):
     )
 
 
-def result(spark, rows, **how):
-    return sorted(tuple(r) for r in sj.jaccard_components(frame(spark, rows), **how).collect())
+def result(spark, rows):
+    return sorted(tuple(r) for r in sj.jaccard_components(frame(spark, rows)).collect())
 
 
 def test_query(same):
@@ -76,12 +76,13 @@ def test_brute_force(spark, seed):
     assert result(spark, rows) == want
 
 
-@pytest.mark.parametrize("leaders", [(), (1,), (2, 3)])
-def test_rounds_do_not_change_the_result(spark, monkeypatch, leaders):
-    """Also when nearly all groups count as crowded."""
-    monkeypatch.setattr(sj, "PAIRED", 3)
+@pytest.mark.parametrize("paired, block", [(1, 3), (1000, 64)])
+def test_how_the_work_is_cut_does_not_change_the_result(spark, monkeypatch, paired, block):
+    """With nearly all groups as clusters in small blocks, and with none."""
+    monkeypatch.setattr(sj, "PAIRED", paired)
+    monkeypatch.setattr(sj, "BLOCK", block)
     rows = corpus(7)
-    assert result(spark, rows, leaders=leaders) == brute(rows)
+    assert result(spark, rows) == brute(rows)
 
 
 def test_many_near_copies(spark):

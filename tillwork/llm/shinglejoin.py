@@ -4,9 +4,9 @@ Equal sets are one node.  Two nodes can only reach the threshold if they share a
 first few of each, under any order of all tokens.  So candidates must share prefix tokens under
 several different orders: pairs of nodes are listed for the tokens of each order, and only pairs that
 every order lists are compared.  Orders are by hash at first; tokens that turn out to be in the
-prefixes of many then go last.  What is left of large groups is near copies, and these are not paired
-off: rounds compare each node with a few leaders of its group, links join components, and only nodes
-that are still apart meet one by one.
+prefixes of many then go last.  What still shares many tokens is near copies.  These form clusters,
+and a cluster is compared in blocks that report only the links that join something; its pairs are
+never listed.
 """
 
 from __future__ import annotations
@@ -29,6 +29,14 @@ NUM, DEN = 90, 100
 FILTER_WORDS = 1 << 18
 #: different orders of the tokens
 ORDERS = 2
+#: tokens in the prefixes of more texts go last
+PAIRED = 6
+#: nodes of a cluster that are compared together with as many others
+BLOCK = 64
+#: 64-bit words of the filters of nodes and tokens; one that is full only lets more through
+FILTER_WORDS = 1 << 18
+#: different orders of the tokens
+ORDERS = 2
 #: tokens that more nodes share are left to the rounds
 PAIRED = 6
 #: leaders of each token's group in the rounds before all that are left are compared
@@ -190,7 +198,7 @@ def _passes(words: np.ndarray, values: np.ndarray) -> np.ndarray:
 
 
 def shared_tokens(prefixes: DataFrame) -> DataFrame:
-    """(token, o, node, m): prefix tokens that ``m`` > 1 nodes have.
+    """(token, o, node, n, m): prefix tokens that ``m`` > 1 nodes have.
 
     Most tokens are of one node.  Those of several are found by counting, and a filter of them keeps
     the rest out of the shuffle that brings the nodes of a token together.
@@ -199,17 +207,18 @@ def shared_tokens(prefixes: DataFrame) -> DataFrame:
     words = bit_filter(several, "token")
 
     def make(batch: pa.RecordBatch) -> dict:
-        out: list[list[np.ndarray]] = [[np.zeros(0, np.int64)] for _ in range(3)]
+        out: list[list[np.ndarray]] = [[np.zeros(0, np.int64)] for _ in range(4)]
+        sizes = batch.column("n").to_pylist()
         for i, node in enumerate(batch.column("doc_id").to_pylist()):
             for o, of in enumerate(batch.column("tokens")[i].values):
                 token = of.values.to_numpy()
                 token = token[_passes(words, token.view(np.uint64))]
-                for column, part in zip(out, (token, np.full(len(token), o), np.full(len(token), node)), strict=True):
+                same = (np.full(len(token), x) for x in (o, node, sizes[i]))
+                for column, part in zip(out, (token, *same), strict=True):
                     column.append(part)
-        token, o, node = (np.concatenate(c) for c in out)
-        return {"token": token, "o": o, "node": node}
+        return dict(zip(("token", "o", "node", "n"), map(np.concatenate, out), strict=True))
 
-    return _mapped(prefixes, make, "token long, o long, node long").join(several, "token")
+    return _mapped(prefixes, make, "token long, o long, node long, n long").join(several, "token")
 
 
 def texts_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -224,109 +233,123 @@ def texts_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     return _mapped(known, make, "node long, text string").join(nodes, "node", "left_semi")
 
 
-def differences(docs: DataFrame, clusters: DataFrame) -> DataFrame:
-    """(node, n, diff): size of each set, and how it differs from that of its cluster's first node.
-
-    Near copies differ little from each other, so a difference is far smaller than a set, and two
-    sets differ by the difference of their differences.  ``clusters``: node, component.  Texts are
-    moved, not sets, which are larger.
-    """
-    heads = texts_of(docs, clusters.select(F.col("component").alias("node")).distinct())
-    first = heads.groupBy(F.col("node").alias("component")).agg(F.min("text").alias("first"))
-    beside = texts_of(docs, clusters.select("node")).join(clusters, "node").join(first, "component")
-
-    def make(batch: pa.RecordBatch) -> dict:
-        out = {"node": [], "n": [], "diff": []}
-        last, base = None, None
-        for node, text, first in zip(*(batch.column(c).to_pylist() for c in ("node", "text", "first")), strict=True):
-            if base is None or first != last:
-                last, base = first, shingle_set(first)
-            own = shingle_set(text)
-            if len(own):
-                out["node"].append(node)
-                out["n"].append(len(own))
-                out["diff"].append(_long(np.setxor1d(own, base, assume_unique=True)))
-        return out
+def _sizes_fit(x: str, y: str) -> Column:
+    return F.least(x, y) * DEN >= F.greatest(x, y) * NUM
 
-    return _mapped(beside.select("node", "text", "first"), make, "node long, n long, diff array<long>")
 
+def near_copy_clusters(shared: DataFrame) -> DataFrame:
+    """(node, cluster) of nodes that share much of their prefix with the first node of their tokens.
 
-def verified(pairs: DataFrame, diffs: DataFrame) -> DataFrame:
-    """The pairs (a, b) of nodes of one cluster whose sets reach the threshold."""
-    left, right = (
-        diffs.select(F.col("node").alias(x), F.col("n").alias(f"{x}_n"), F.col("diff").alias(f"{x}_diff")) for x in "ab"
-    )
-    whole = pairs.select("a", "b").join(left, "a").join(right, "b").where(_sizes_fit("a_n", "b_n"))
-    both = F.col("a_n") + F.col("b_n")
-    apart = F.size("a_diff") + F.size("b_diff") - 2 * F.size(F.array_intersect("a_diff", "b_diff"))
-    # intersection and union are (both - apart) / 2 and (both + apart) / 2
-    return whole.where((both - apart) * DEN >= (both + apart) * NUM).select("a", "b")
+    Only how the work is cut depends on the clusters, not the result.
+    """
+    many = shared.where(F.col("m") > PAIRED).select("token", "node", "n")
+    first = many.groupBy("token").agg(F.min("node").alias("first"))
+    met = many.join(first, "token").where("node <> first").groupBy("node", "first").agg(F.count("*").alias("c"), F.max("n").alias("n"))
+    # as many tokens as half of a prefix, counted over all orders
+    close = met.where(F.col("c") * 2 * DEN >= F.col("n") * (DEN - NUM))
+    return components(close.select(F.col("node").alias("a"), F.col("first").alias("b"))).withColumnRenamed("component", "cluster")
 
 
-def listed_pairs(shared: DataFrame) -> DataFrame:
-    """(a, b, o0, o1, ..): pairs of nodes with a token that few share, and which orders list them."""
-    few = shared.where(F.col("m") <= PAIRED)
-    met = few.select("token", "o", F.col("node").alias("a")).join(few.select("token", F.col("node").alias("b")), "token")
-    return met.where("a < b").groupBy("a", "b").agg(*[F.max(F.col("o") == o).alias(f"o{o}") for o in range(ORDERS)])
+def _near(sets: list[np.ndarray]) -> np.ndarray:
+    """Which of the sets reach the threshold with each other."""
+    tokens, column = np.unique(np.concatenate(sets), return_inverse=True)
+    has = np.zeros((len(sets), len(tokens)), np.float32)
+    sizes = np.array([len(s) for s in sets])
+    has[np.repeat(np.arange(len(sets)), sizes), column] = 1
+    common = np.rint(has @ has.T).astype(np.int64)
+    return common * DEN >= (sizes[:, None] + sizes - common) * NUM
 
 
-def in_every_order(pairs: DataFrame, crowded: DataFrame) -> DataFrame:
-    """Pairs that share a prefix token under every order, as far as can be told.
+def cluster_links(texts: DataFrame, clusters: DataFrame) -> DataFrame:
+    """(a, b): links within each cluster, enough to join all that its links join.
 
-    An order that does not list a pair may still join the two in one of its crowded tokens; that
-    can only be if both have one (``crowded``: node, c0, c1, ..).
+    A cluster's nodes are dealt to blocks, and every two blocks meet.
     """
+    sized = clusters.join(
+        clusters.groupBy("cluster").agg(F.ceil(F.count("*") / BLOCK).alias("blocks")), "cluster"
+    ).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
+    dealt = sized.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).select(
+        "node", "cluster", "block", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi")
+    )
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
-    def beside(df: DataFrame, side: str) -> DataFrame:
-        names = [F.col(f"c{o}").alias(f"{side}{o}") for o in range(ORDERS)]
-        return df.join(crowded.select(F.col("node").alias(side), *names), side, "left")
+    def compare(group: pa.Table) -> pa.Table:
+        nodes, sets = [], []
+        for node, text in zip(group.column("node").to_pylist(), group.column("text").to_pylist(), strict=True):
+            s = shingle_set(text)
+            if len(s):
+                nodes.append(node)
+                sets.append(s)
+        out: list[tuple[int, int]] = []
+        if sets:
+            root = list(range(len(nodes)))
 
-    both = beside(beside(pairs, "a"), "b")
-    for o in range(ORDERS):
-        crowd = F.coalesce(f"a{o}", F.lit(False)) & F.coalesce(f"b{o}", F.lit(False))
-        both = both.where(F.coalesce(f"o{o}", F.lit(False)) | crowd)
-    return both.select("a", "b")
+            def top(i: int) -> int:
+                while root[i] != i:
+                    root[i] = root[root[i]]
+                    i = root[i]
+                return i
 
+            for i, j in np.argwhere(np.triu(_near(sets), 1)).tolist():
+                x, y = top(i), top(j)
+                if x != y:
+                    root[y] = x
+                    out.append((nodes[i], nodes[j]))
+        return pa.table([pa.array([p[k] for p in out], pa.int64()) for k in (0, 1)], schema=schema)
 
-def _sizes_fit(x: str, y: str) -> Column:
-    return F.least(x, y) * DEN >= F.greatest(x, y) * NUM
+    return texts.join(dealt, "node").groupBy("cluster", "lo", "hi").applyInArrow(compare, "a long, b long")
 
 
-def _placed(crowd: DataFrame, parts: DataFrame) -> DataFrame:
-    """``crowd`` with each node's component, for the tokens whose nodes are not all in one."""
-    now = crowd.join(parts, "node", "left").withColumn("part", F.coalesce("component", "node")).drop("component")
-    apart = now.groupBy("token").agg(F.min("part").alias("x"), F.max("part").alias("y")).where("x <> y").select("token")
-    return now.join(apart, "token")
+def listed_pairs(shared: DataFrame, clusters: DataFrame) -> DataFrame:
+    """(a, b): pairs of nodes that share enough prefix tokens under every order and fit in size.
 
+    Pairs within a cluster are left to the blocks.
+    """
+    rows = shared.drop("m").join(clusters, "node", "left").withColumn("cluster", F.coalesce("cluster", "node"))
+    # a token whose nodes are all in one cluster has nothing to list
+    mixed = rows.groupBy("token").agg(F.min("cluster").alias("x"), F.max("cluster").alias("y")).where("x <> y").select("token")
+    rows = rows.join(mixed, "token")
+    left = rows.select("token", "o", F.col("node").alias("a"), F.col("n").alias("a_n"), F.col("cluster").alias("a_c"))
+    right = rows.select("token", F.col("node").alias("b"), F.col("n").alias("b_n"), F.col("cluster").alias("b_c"))
+    met = left.join(right, "token").where((F.col("a") < F.col("b")) & (F.col("a_c") != F.col("b_c")) & _sizes_fit("a_n", "b_n"))
+    counted = met.groupBy("a", "b", "a_n", "b_n").agg(*[F.count_if(F.col("o") == o).alias(f"c{o}") for o in range(ORDERS)])
+
+    def rest(n: str) -> Column:
+        """The tokens behind the prefix of a set."""
+        return F.ceil(F.col(n) * NUM / DEN) - 1
+
+    # of the two, take the one whose prefix ends first: what it shares beyond its prefix is no more
+    # than the rest of it, and its prefix can only meet the other's prefix
+    overlap = F.ceil((F.col("a_n") + F.col("b_n")) * NUM / (NUM + DEN))
+    needed = F.greatest(F.lit(1), overlap - F.greatest(rest("a_n"), rest("b_n")))
+    for o in range(ORDERS):
+        counted = counted.where(F.col(f"c{o}") >= needed)
+    return counted.select("a", "b").distinct()
 
-def leader_pairs(now: DataFrame, leaders: int, salt: int) -> DataFrame:
-    """Each node with up to ``leaders`` nodes of its token groups that are in another component."""
-    first = [
-        F.min(F.struct(F.xxhash64("node", F.lit(salt * 100 + k)).alias("h"), "node", "n", "part")).alias(f"l{k}")
-        for k in range(leaders)
-    ]
-    chosen = now.groupBy("token").agg(*first).select("token", F.array(*[f"l{k}" for k in range(leaders)]).alias("leaders"))
-    met = now.join(chosen, "token").withColumn("leader", F.explode("leaders")).where(
-        (F.col("part") != F.col("leader.part")) & _sizes_fit("n", "leader.n")
-    )
-    return met.select(F.least("node", "leader.node").alias("a"), F.greatest("node", "leader.node").alias("b")).distinct()
 
+def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose sets reach the threshold."""
+    left = texts.select(F.col("node").alias("a"), F.col("text").alias("a_text"))
+    right = texts.select(F.col("node").alias("b"), F.col("text").alias("b_text"))
 
-def remaining_pairs(now: DataFrame) -> DataFrame:
-    """All pairs of a token's nodes in different components.
+    def make(batch: pa.RecordBatch) -> dict:
+        out = {"a": [], "b": []}
+        last, own = None, None
+        for a, b, x, y in zip(*(batch.column(c).to_pylist() for c in ("a", "b", "a_text", "b_text")), strict=True):
+            if y != last:
+                last, own = y, shingle_set(y)
+            other = shingle_set(x)
+            common = len(np.intersect1d(own, other, assume_unique=True))
+            if common * DEN >= (len(own) + len(other) - common) * NUM and common:
+                out["a"].append(a)
+                out["b"].append(b)
+        return out
 
-    Nodes of the token's largest component only meet the others.
-    """
-    sizes = now.groupBy("token", "part").agg(F.count("*").alias("m"))
-    main = sizes.groupBy("token").agg(F.max(F.struct("m", "part")).alias("x")).select("token", F.col("x.part").alias("main"))
-    rest = now.join(main, "token").where("part <> main").select(
-        "token", F.col("node").alias("node2"), F.col("n").alias("n2"), F.col("part").alias("part2")
-    )
-    met = now.join(rest, "token").where((F.col("part") != F.col("part2")) & _sizes_fit("n", "n2"))
-    return met.select(F.least("node", "node2").alias("a"), F.greatest("node", "node2").alias("b")).distinct()
+    whole = pairs.join(left, "a").join(right, "b").select("a", "b", "a_text", "b_text")
+    return _mapped(whole, make, "a long, b long")
 
 
-def jaccard_components(docs: DataFrame, leaders: tuple[int, ...] = LEADERS) -> DataFrame:
+def jaccard_components(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id) for each row of ``docs`` (doc_id, text).
 
     Two documents link when 100 * intersection >= 90 * union of their sets of distinct 3-word
@@ -344,31 +367,11 @@ def jaccard_components(docs: DataFrame, leaders: tuple[int, ...] = LEADERS) -> D
     own = classes.select(F.col("node").alias("doc_id"))
     prefixes = stored(prefix_rows(docs, crowds).join(own, "doc_id", "left_semi"), "shingle-prefixes")
     shared = stored(shared_tokens(prefixes), "shingle-shared")
-    crowded = stored(
-        shared.where(F.col("m") > PAIRED)
-        .groupBy("node")
-        .agg(*[F.max(F.col("o") == o).alias(f"c{o}") for o in range(ORDERS)]),
-        "shingle-crowded",
-    )
-    listed = stored(listed_pairs(shared), "shingle-listed")
-    pairs = stored(in_every_order(listed, crowded), "shingle-pairs")
-    # any two that link share a token of the first order: if no pair was listed, a crowded one
-    crowd = shared.where((F.col("o") == 0) & (F.col("m") > PAIRED)).select("token", "node").join(
-        prefixes.select(F.col("doc_id").alias("node"), "n"), "node"
-    )
-    crowd = stored(crowd, "shingle-crowd")
-    stars = crowd.join(crowd.groupBy("token").agg(F.min("node").alias("b")), "token").select(F.col("node").alias("a"), "b")
-    diffs = stored(differences(docs, components(pairs.unionByName(stars))), "shingle-diffs")
-    parts = components(verified(pairs, diffs))
-    for r in range(len(leaders) + 1):
-        now = stored(_placed(crowd, parts), "shingle-open")
-        if now.isEmpty():
-            break
-        met = leader_pairs(now, leaders[r], r) if r < len(leaders) else remaining_pairs(now)
-        met = in_every_order(met.join(listed.drop("o0"), ["a", "b"], "left").withColumn("o0", F.lit(True)), crowded)
-        # earlier components stand for the links behind them
-        before = parts.select(F.col("node").alias("a"), F.col("component").alias("b"))
-        parts = components(verified(met, diffs).unionByName(before))
+    clusters = stored(near_copy_clusters(shared), "shingle-clusters")
+    pairs = stored(listed_pairs(shared, clusters), "shingle-pairs")
+    nodes = clusters.select("node").union(pairs.select("a")).union(pairs.select("b")).distinct()
+    texts = stored(texts_of(docs, nodes), "shingle-texts")
+    parts = components(cluster_links(texts, clusters).unionByName(verified(pairs, texts)))
     known = rows.join(classes, ["s1", "s2"], "left").join(parts, "node", "left")
     return known.select(
         "doc_id",
@@ -377,12 +380,12 @@ def jaccard_components(docs: DataFrame, leaders: tuple[int, ...] = LEADERS) -> D
     )
 
 
-def one_of_each(docs: DataFrame, **how) -> DataFrame:
+def one_of_each(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose doc_id is the smallest of its component, one row each.
 
     Rows with a null doc_id are in no component and stay.
     """
-    keep = jaccard_components(docs, **how).where("doc_id = component_id").select(F.col("doc_id").alias("_keep")).distinct()
+    keep = jaccard_components(docs).where("doc_id = component_id").select(F.col("doc_id").alias("_keep")).distinct()
     kept = docs.join(keep, F.col("doc_id") == F.col("_keep"), "left_semi")
     return kept.unionByName(docs.where("doc_id is null"))
 
