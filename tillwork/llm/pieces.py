@@ -30,7 +30,7 @@ SEED = 7
 #: texts are dealt to so many keys, so that a word is cut differently in different texts
 VARIANTS = 2
 #: words whose ids one worker keeps; others are cut again, with the same result
-REMEMBERED = 900_000
+REMEMBERED = 300_000
 _MASK = (1 << 64) - 1
 
 

@@ -42,7 +42,7 @@ PAIRED = 6
 #: leaders of each token's group in the rounds before all that are left are compared
 LEADERS = (2, 4, 8)
 #: words whose hashes one Python worker keeps
-REMEMBERED = 500_000
+REMEMBERED = 200_000
 
 _MULTIPLIERS = [np.uint64(m) for m in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
 
