@@ -113,3 +113,18 @@ def test_empty_and_copies(spark):
     assert mixed.columns == docs(spark, []).columns
     n = Counter(r.source for r in mixed.collect())
     assert n["a"] > 1.5 * n["b"] > 0
+
+
+def test_whole_documents_come_near_the_targets(spark):
+    """Long documents of a source with a small target too, with and without ids."""
+    rng = random.Random(3)
+    rows = [(i if i % 3 else None, f"t{i} " * rng.randint(200, 900), s) for i, s in enumerate(["a", "b", "c"] * 500)]
+    df = docs(spark, rows)
+    target = {r.source: r.target for r in mixing.source_targets(mixing.document_sizes(df)).collect()}
+    kept = mixing.mixed_documents(df).collect()
+    words = Counter()
+    for r in kept:
+        words[r.source] += len(r.text.split())
+    for s, t in target.items():
+        assert abs(words[s] - t) <= 0.15 * t, (s, t, words[s])
+    assert sorted(kept, key=str) == sorted(mixing.mixed_documents(df).collect(), key=str)

@@ -170,20 +170,10 @@ def laid_out(sizes: DataFrame, targets: DataFrame) -> DataFrame:
     )
 
 
-def mixed(
-    docs: DataFrame,
-    weights: tuple[int, ...] = WEIGHTS,
-    most_times: int = MOST_TIMES,
-    block_words: int = BLOCK_WORDS,
-    shard_slots: int = SHARD_SLOTS,
-    seed: int = SEED,
-) -> DataFrame:
-    """For each document how many of its words the mix takes, repeats counted.
-
-    Input: doc_id, source, text; other columns are left behind.  Null sources are a source of their
-    own.  A document without words takes no part (taken 0).  Repeated rows count as often as they
-    are there.  Result: doc_id, size, source_size, target, taken.  The same rows give the same mix.
-    """
+def _placed_takings(
+    docs: DataFrame, weights: tuple[int, ...], most_times: int, block_words: int, shard_slots: int, seed: int
+) -> tuple[DataFrame, DataFrame]:
+    """(rank, doc_id, size, source_size, target, taken) of each row of ``docs``, and the targets."""
     sizes = stored(document_sizes(docs), "mix-sizes")
     targets = stored(source_targets(sizes, weights, most_times), "mix-targets")
     uses = mix_slots(targets, block_words, shard_slots, most_times, seed).groupBy("rank", "block").agg(F.count("*").alias("uses"))
@@ -193,32 +183,72 @@ def mixed(
     inside = F.least((F.col("block") + 1) * block_words, F.col("begin") + F.col("size")) - F.greatest(
         F.col("block") * block_words, F.col("begin")
     )
-    kept = ["doc_id", "size", "source_size", "target"]
+    kept = ["rank", "doc_id", "size", "source_size", "target"]
     taken = (
         pieces.withColumn("words", inside)
         # made by exploding a small table, so its size is not known to be large
         .join(uses.hint("merge"), ["rank", "block"], "left")
-        .groupBy("rank", "begin", *kept)
+        .groupBy("begin", *kept)
         .agg(F.sum(F.col("words") * F.coalesce("uses", F.lit(0))).alias("taken"))
         .select(*kept, "taken")
     )
     empty = sizes.where("size = 0").join(
         targets.withColumnRenamed("source", "_source"), F.col("source").eqNullSafe(F.col("_source"))
     )
-    return taken.unionByName(empty.select(*kept, F.lit(0).cast("long").alias("taken")))
+    return taken.unionByName(empty.select(*kept, F.lit(0).cast("long").alias("taken"))), targets
+
+
+def mixed(
+    docs: DataFrame,
+    weights: tuple[int, ...] = WEIGHTS,
+    most_times: int = MOST_TIMES,
+    block_words: int = BLOCK_WORDS,
+    shard_slots: int = SHARD_SLOTS,
+    seed: int = SEED,
+) -> DataFrame:
+    """For each document how many of its words the mix takes, repeats counted.
 
+    Input: doc_id, source, text; other columns are left behind.  Null sources are a source of their
+    own.  A document without words takes no part (taken 0).  Repeated rows count as often as they
+    are there.  Result: doc_id, size, source_size, target, taken.  The same rows give the same mix.
+    """
+    return _placed_takings(docs, weights, most_times, block_words, shard_slots, seed)[0].drop("rank")
 
-def mixed_documents(docs: DataFrame, **how) -> DataFrame:
-    """The mix in whole documents: each row as often as the mix takes its words, rounded.
 
-    Rows that share a doc_id share their number of copies.  Columns are those of ``docs``.
+def mixed_documents(
+    docs: DataFrame,
+    weights: tuple[int, ...] = WEIGHTS,
+    most_times: int = MOST_TIMES,
+    block_words: int = BLOCK_WORDS,
+    shard_slots: int = SHARD_SLOTS,
+    seed: int = SEED,
+) -> DataFrame:
+    """The mix in whole documents: each row so often that a source's words come near its target.
+
+    A row of which the mix takes ``taken`` of ``size`` words is there floor(taken / size) times, and
+    once more if a hash of seed, doc_id and text is below the fraction left over.  Rows that agree
+    in doc_id, source and size share taken / size.  Columns are those of ``docs``.
     """
-    times = mixed(docs, **how).groupBy(F.col("doc_id").alias("_doc_id")).agg(
-        F.round(F.sum("taken") / F.greatest(F.sum("size"), F.lit(1))).cast("int").alias("_times")
+    rows, targets = _placed_takings(docs, weights, most_times, block_words, shard_slots, seed)
+    times = (
+        rows.where("taken > 0")
+        .groupBy("rank", F.col("doc_id").alias("_doc_id"), F.col("size").alias("_size"))
+        .agg((F.sum("taken") / F.sum("size")).alias("_times"))
+        .join(targets.select("rank", F.col("source").alias("_source")), "rank")
+        .drop("rank")
+    )
+    same = (
+        F.col("doc_id").eqNullSafe(F.col("_doc_id"))
+        & F.col("source").eqNullSafe(F.col("_source"))
+        & (word_count(F.col("text")) == F.col("_size"))
     )
+    coin = F.pmod(F.xxhash64(F.lit(seed), "doc_id", "text"), F.lit(1 << 52)) / float(1 << 52)
+    copies = F.floor("_times") + F.when(coin < F.col("_times") - F.floor("_times"), 1).otherwise(0)
     return (
-        docs.join(times.where("_times > 0"), F.col("doc_id").eqNullSafe(F.col("_doc_id")))
-        .withColumn("_copy", F.explode(F.sequence(F.lit(1), "_times")))
+        docs.join(times, same)
+        .withColumn("_copies", copies.cast("int"))
+        .where("_copies > 0")
+        .withColumn("_copy", F.explode(F.sequence(F.lit(1), "_copies")))
         .select(docs.columns)
     )
 
