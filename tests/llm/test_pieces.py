@@ -80,3 +80,31 @@ def test_query_and_frames(spark):
     assert pieces.encoded(df.limit(0), PARTS).collect() == []
     other = pieces.encoded(df, PARTS, seed=8).collect()
     assert any(a.ids != b.ids for a, b in zip(sorted(ids.collect(), key=str), sorted(other, key=str), strict=True))
+
+
+def test_each_occurrence_is_cut_anew(spark, codec):
+    """A word has many segmentations over documents, and over its repeats in one."""
+    word = " internationalization"
+    df = spark.createDataFrame([(i, word[1:]) for i in range(300)] + [(None, f"{word[1:]} {i}") for i in range(300)], "doc_id long, text string")
+    rows = pieces.encoded(df, PARTS).collect()
+    assert len({tuple(r.ids) for r in rows if r.doc_id is not None}) > 10
+    words = {codec.decode(pieces.np.array(r.ids, "<u4").tobytes()).split()[0] for r in rows}
+    assert words == {word[1:]} and len({tuple(r.ids[:3]) for r in rows if r.doc_id is None}) > 10
+    one = pieces.encoded(spark.createDataFrame([(1, word[1:] + word * 299)], "doc_id long, text string"), PARTS).first().ids
+    cuts, cut = set(), []
+    for i in one:
+        if codec.bytes[i].startswith(b" ") and cut:
+            cuts.add(tuple(cut))
+            cut = []
+        cut.append(i)
+    assert len(cuts) > 10
+
+
+def test_what_is_remembered_does_not_change_the_ids(monkeypatch):
+    texts = [" ".join(random.Random(i).choices(["information", "a1b2/c3-d4", "naïve", "x" * 70, "of\nthe"], k=60)) for i in range(40)]
+    some = pieces.Codec(*PARTS, dropout=0.3)
+    want = [some.encode(t, i) for i, t in enumerate(texts)]
+    assert want == [some.encode(t, i) for i, t in enumerate(texts)]
+    monkeypatch.setattr(pieces, "REMEMBERED", 0)
+    none = pieces.Codec(*PARTS, dropout=0.3)
+    assert want == [none.encode(t, i) for i, t in enumerate(texts)]

@@ -2,8 +2,10 @@
 
 Encoding follows the model's merges from an agenda of adjacent pairs, best score first and leftmost
 among equals.  Each candidate that comes up is skipped with a given probability, decided by a keyed
-hash of its place: the same seed gives the same pieces anywhere, another seed gives others.  Decoding
-gives back every text exactly, whichever merges were skipped.
+hash of its place in the document: the same seed and document give the same pieces anywhere, another
+document or a repeat of a word gives others.  What is remembered of a word is how it is cut for a
+given pattern of skips, whatever the key.  Decoding gives back every text exactly, whichever merges
+were skipped.
 """
 
 from __future__ import annotations
@@ -11,7 +13,6 @@ from __future__ import annotations
 import re
 import zlib
 from array import array
-from collections import defaultdict
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 from heapq import heapify, heappop, heappush
@@ -27,11 +28,29 @@ from tillwork.llm.common import query, table
 
 DROPOUT = 0.1
 SEED = 7
-#: texts are dealt to so many keys, so that a word is cut differently in different texts
-VARIANTS = 2
-#: words whose ids one worker keeps; others are cut again, with the same result
+#: cuts of words that one worker keeps; others are made again, with the same result
 REMEMBERED = 300_000
-_MASK = (1 << 64) - 1
+#: draws for each character: a part of n characters has fewer than 3 * n candidates
+DRAWS = 4
+
+
+def _draws(key: int, n: int, limit: int) -> bytes:
+    """For each of ``n`` characters ``DRAWS`` bytes, 1 where a candidate is skipped.
+
+    The draws are halves of the numbers of a splitmix generator that begins at ``key``.
+    """
+    out = []
+    for lo in range(0, n * DRAWS // 2, 1 << 15):
+        h = np.arange(lo + 1, min(n * DRAWS // 2, lo + (1 << 15)) + 1, dtype=np.uint64)
+        h *= np.uint64(0x9E3779B97F4A7C15)
+        h += np.uint64(key)
+        h ^= h >> np.uint64(30)
+        h *= np.uint64(0xBF58476D1CE4E5B9)
+        h ^= h >> np.uint64(27)
+        h *= np.uint64(0x94D049BB133111EB)
+        h ^= h >> np.uint64(31)
+        out.append((h.view(np.uint32) <= np.uint32(limit - 1)).tobytes())
+    return b"".join(out)
 
 
 class Codec:
@@ -69,15 +88,24 @@ class Codec:
         inner = any(" " in t.lstrip(" ") for t in self.ids)
         line = "" if any("\n" in t for t in self.rank) else r"\n"
         self.chunk = re.compile(r"[\s\S]+" if inner else rf" *[^ {line}]+| +" + (r"|\n" if line else ""))
-        self.known: dict[int, dict[str, bytes]] = defaultdict(dict)
-
-    def spans(self, text: str, key: int) -> Iterator[str]:
-        """The pieces of ``text`` after all merges that are not skipped.
-
-        A candidate is a number made of its piece's place in the order and where it begins.  It is
-        out of date unless the two symbols that begin there now are as long as that piece.
+        # chunks of several parts; ids and number of candidates of a part without skips, then with
+        self.parted: dict[str, list[str]] = {}
+        self.whole: dict[str, tuple[bytes, int]] = {}
+        self.skipped: dict[tuple, tuple[bytes, int]] = {}
+
+    def spans(self, text: str, key: int) -> list[str]:
+        """The pieces of ``text`` after all merges that are not skipped."""
+        return self._merged(text, _draws(key, len(text), self.limit) if self.limit else b"", 0)[0]
+
+    def _merged(self, text: str, draws: bytes, base: int) -> tuple[list[str], int]:
+        """The pieces of ``text`` and the number of candidates that came up.
+
+        The candidate that comes up as number t is skipped if ``draws[base + t]`` is 1; no draws
+        skip none.  A candidate is a number made of its piece's place in the order and where it
+        begins.  It is out of date unless the two symbols that begin there now are as long as that
+        piece.
         """
-        rank, n, limit = self.rank, len(text), self.limit
+        rank, n, tested = self.rank, len(text), 0
         width = n + 1  # lengths and begins are below it
         square = width * width
         stop = list(range(1, n + 1))  # the end of the symbol that begins here; 0 once it is merged
@@ -93,11 +121,9 @@ class Codec:
             end = stop[mid]
             if end - start != length:
                 continue
-            if limit:
-                h = (key ^ candidate) * 0x9E3779B97F4A7C15 & _MASK
-                h = (h ^ h >> 29) * 0xBF58476D1CE4E5B9 & _MASK
-                if h >> 32 < limit:
-                    continue
+            tested += 1
+            if draws and draws[base + tested - 1]:
+                continue
             stop[start], stop[mid] = end, 0
             before[end] = start
             if start:
@@ -108,21 +134,51 @@ class Codec:
                 right = stop[end]
                 if (r := rank.get(text[start:right])) is not None:
                     heappush(agenda, r * square + start * width + right - start)
-        at = 0
+        out, at = [], 0
         while at < n:
-            yield text[at : stop[at]]
+            out.append(text[at : stop[at]])
             at = stop[at]
+        return out, tested
 
-    def _cut(self, part: str, key: int) -> bytes:
-        """The ids of a part that merges may span as a whole."""
+    def _ids(self, part: str, draws: bytes, base: int) -> tuple[bytes, int]:
+        """The ids of a part that merges may span as a whole, and the number of its candidates."""
+        pieces, tested = self._merged(part, draws, base)
         out = array("I")
-        for piece in self.spans(part, xxhash.xxh64_intdigest(part.encode(), key)):
+        for piece in pieces:
             known = self.ids.get(piece)
             if known is not None:
                 out.append(known)
             else:
                 out.extend([self.byte_ids[b] for b in piece.encode()])
-        return out.tobytes()
+        return out.tobytes(), tested
+
+    def _cut(self, part: str, draws: bytes, base: int) -> bytes:
+        """The ids of a part whose draws begin at ``base``."""
+        cut = self.whole.get(part)
+        if cut is None:
+            if not self._room(part):
+                return self._ids(part, draws, base)[0]
+            cut = self.whole[part] = self._ids(part, b"", 0)
+        if not draws:
+            return cut[0]
+        # a cut holds until its next skip; there, another cut takes over
+        skips: tuple[int, ...] = ()
+        at = draws.find(1, base, base + cut[1])
+        while at >= 0:
+            skips += (at - base,)
+            cut = self.skipped.get((part, skips))
+            if cut is None:
+                if not self._room(part):
+                    return self._ids(part, draws, base)[0]
+                pattern = bytearray(DRAWS * len(part))
+                for t in skips:
+                    pattern[t] = 1
+                cut = self.skipped[part, skips] = self._ids(part, bytes(pattern), 0)
+            at = draws.find(1, at + 1, base + cut[1])
+        return cut[0]
+
+    def _room(self, part: str) -> bool:
+        return len(part) < 64 and len(self.parted) + len(self.whole) + len(self.skipped) < REMEMBERED
 
     def _parts(self, chunk: str) -> list[str]:
         inside, cuts = self.inside, [0]
@@ -130,25 +186,30 @@ class Codec:
         return [chunk[a:b] for a, b in pairwise([*cuts, len(chunk)])]
 
     def encode(self, text: str, key: int = 0) -> bytes:
-        """Little-endian unsigned 32-bit ids; an empty text has none."""
+        """Little-endian unsigned 32-bit ids; an empty text has none.
+
+        The draws of a candidate are those of its part's place in the text.
+        """
         if not text:
             return b""
-        out, known = [], self.known[key]
-        for chunk in self.chunk.findall(" " + text):
-            ids = known.get(chunk)
-            if ids is None:
+        text = " " + text
+        draws = _draws(key, len(text), self.limit) if self.limit else b""
+        out, at = [], 0
+        for chunk in self.chunk.findall(text):
+            if chunk in self.whole:
+                out.append(self._cut(chunk, draws, at * DRAWS))
+                at += len(chunk)
+                continue
+            parts = self.parted.get(chunk)
+            if parts is None:
                 parts = self._parts(chunk)
-                ids = b"".join([known.get(p) or self._kept(known, p, self._cut(p, key)) for p in parts])
-                if len(parts) > 1:
-                    self._kept(known, chunk, ids)
-            out.append(ids)
+                if len(parts) > 1 and self._room(chunk):
+                    self.parted[chunk] = parts
+            for part in parts:
+                out.append(self._cut(part, draws, at * DRAWS))
+                at += len(part)
         return b"".join(out)
 
-    def _kept(self, known: dict[str, bytes], chunk: str, ids: bytes) -> bytes:
-        if len(chunk) < 64 and sum(map(len, self.known.values())) < REMEMBERED:
-            known[chunk] = ids
-        return ids
-
     def decode(self, ids: bytes) -> str:
         return b"".join(map(self.bytes.__getitem__, np.frombuffer(ids, "<u4").tolist()))[1:].decode()
 
@@ -169,9 +230,10 @@ def model_parts(path: str) -> tuple:
     return tuple((model.id_to_piece(i), model.get_score(i)) for i in ids), byte_ids, skip
 
 
-def _key(seed: int, doc_id: int | None) -> int:
-    """The key of a document's variant."""
-    return xxhash.xxh64_intdigest(f"{seed}:{xxhash.xxh32_intdigest(str(doc_id)) % VARIANTS}")
+def _key(seed: int, doc_id: int | None, text: str) -> int:
+    """The key of a document; one without an id has that of its text."""
+    name = doc_id if doc_id is not None else f"text {xxhash.xxh64_hexdigest(text.encode())}"
+    return xxhash.xxh64_intdigest(f"{seed}:{name}")
 
 
 def _mapped(docs: DataFrame, codec: tuple, make: Callable[..., dict], schema: str) -> DataFrame:
@@ -210,7 +272,7 @@ def encoded(docs: DataFrame, parts: tuple, dropout: float = DROPOUT, seed: int =
             # a few documents at a time: their ids are far larger than their text
             for small in (batch.slice(i, 500) for i in range(0, batch.num_rows, 500)):
                 rows = zip(small.column("doc_id").to_pylist(), small.column("text").to_pylist(), strict=True)
-                made = [None if text is None else codec.encode(text, _key(seed, i)) for i, text in rows]
+                made = [None if text is None else codec.encode(text, _key(seed, i, text)) for i, text in rows]
                 ends = np.cumsum([0, *[len(m or b"") // 4 for m in made]])
                 values = np.frombuffer(b"".join(m or b"" for m in made), "<i4")
                 missing = pa.array([m is None for m in made])
@@ -237,7 +299,7 @@ def round_trip(docs: DataFrame, parts: tuple, dropout: float = DROPOUT, seed: in
     """
 
     def one(codec: Codec, doc_id: int | None, text: str | None) -> dict:
-        ids = codec.encode(text or "", _key(seed, doc_id))
+        ids = codec.encode(text or "", _key(seed, doc_id, text or ""))
         return {"n_ids": len(ids) // 4, "ids_crc32": zlib.crc32(ids), "lossless": codec.decode(ids) == (text or "")}
 
     columns = "n_ids long, ids_crc32 long, lossless boolean"
