@@ -147,3 +147,26 @@ def test_one_of_each(spark):
     kept = sj.one_of_each(frame(spark, rows))
     assert kept.columns == frame(spark, []).columns
     assert sorted([r.doc_id for r in kept.collect()], key=str) == [2, 2, 7, 9, None]
+
+
+def linked(rows, k, share):
+    """Smallest id of each component, by all pairs."""
+    sets = {}
+    for i, t in rows:
+        w = t.lower().split()
+        sets[i] = {tuple(w)} if len(w) < k else {tuple(w[j : j + k]) for j in range(len(w) - k + 1)}
+    label = {i: i for i in sets}
+    links = [(a, b) for a, b in combinations(sets, 2) if 100 * len(sets[a] & sets[b]) >= share * len(sets[a] | sets[b])]
+    for _ in sets:
+        for a, b in links:
+            label[a] = label[b] = min(label[a], label[b])
+    return label
+
+
+def test_the_stage_links_five_words_at_four_fifths(spark):
+    rows = [(i, t) for i, t in corpus(4) if t.split()]
+    want, other = linked(rows, 5, 80), linked(rows, 3, 90)
+    assert want != other
+    got = {r.doc_id: r.component_id for r in sj.jaccard_components(frame(spark, rows), sj.STAGE).collect()}
+    assert got == want
+    assert sorted(r.doc_id for r in sj.one_of_each(frame(spark, rows)).collect()) == sorted(set(want.values()))

@@ -12,6 +12,7 @@ never listed.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -22,9 +23,17 @@ from pyspark.sql import functions as F
 from tillwork.llm.common import query, stored, table
 from tillwork.llm.components import components
 
-SHINGLE = 3
-#: link when DEN * intersection >= NUM * union
-NUM, DEN = 90, 100
+
+class Rule(NamedTuple):
+    """Words of a shingle; sets link when ``den`` * intersection >= ``num`` * union."""
+
+    shingle: int = 3
+    num: int = 90
+    den: int = 100
+
+
+#: the contract of op6_jaccard_join, and what stages on word shingles take
+EXACT, STAGE = Rule(), Rule(5, 80, 100)
 #: 64-bit words of the filters of nodes and tokens; one that is full only lets more through
 FILTER_WORDS = 1 << 18
 #: different orders of the tokens
@@ -66,7 +75,7 @@ class _Words(dict):
 _words = _Words()
 
 
-def shingle_set(text: str | None, k: int = SHINGLE) -> np.ndarray:
+def shingle_set(text: str | None, k: int = EXACT.shingle) -> np.ndarray:
     """Sorted 64-bit hashes of the distinct runs of ``k`` words; of all words if there are fewer.
 
     Words are runs of anything but ASCII white space, A-Z in lower case.
@@ -85,7 +94,7 @@ def shingle_set(text: str | None, k: int = SHINGLE) -> np.ndarray:
     return mixed[np.r_[True, mixed[1:] != mixed[:-1]]]
 
 
-def prefix_length(n: int, num: int = NUM, den: int = DEN) -> int:
+def prefix_length(n: int, num: int = EXACT.num, den: int = EXACT.den) -> int:
     """So many tokens of a set of ``n`` hold one of any set that links with it, in any order."""
     return n - -(-num * n // den) + 1
 
@@ -121,14 +130,14 @@ def _mapped(df: DataFrame, make, schema: str) -> DataFrame:
     return df.mapInArrow(run, whole)
 
 
-def sets_and_prefixes(docs: DataFrame) -> DataFrame:
+def sets_and_prefixes(docs: DataFrame, rule: Rule = EXACT) -> DataFrame:
     """(doc_id, n, s1, s2, tokens) of each row: set size, a 128-bit digest, and prefixes by hash alone."""
 
     def make(batch: pa.RecordBatch) -> dict:
-        sets = [shingle_set(t) for t in batch.column("text").to_pylist()]
+        sets = [shingle_set(t, rule.shingle) for t in batch.column("text").to_pylist()]
         digest = [divmod(xxhash.xxh3_128_intdigest(s.tobytes()), 1 << 64) for s in sets]
         s1, s2 = np.array(digest, np.uint64).reshape(-1, 2).view(np.int64).T
-        tokens = [[_long(ordered_prefix(s, o, prefix_length(len(s)))) for o in range(ORDERS)] if len(s) else [] for s in sets]
+        tokens = [[_long(ordered_prefix(s, o, prefix_length(len(s), rule.num, rule.den))) for o in range(ORDERS)] if len(s) else [] for s in sets]
         return {"doc_id": batch.column("doc_id"), "n": [len(s) for s in sets], "s1": s1, "s2": s2, "tokens": tokens}
 
     return _mapped(
@@ -138,7 +147,7 @@ def sets_and_prefixes(docs: DataFrame) -> DataFrame:
     )
 
 
-def prefix_rows(docs: DataFrame, last: np.ndarray) -> DataFrame:
+def prefix_rows(docs: DataFrame, last: np.ndarray, rule: Rule = EXACT) -> DataFrame:
     """(doc_id, n, tokens): prefixes with the tokens in the filter put last, one list an order.
 
     Texts without words are left out.
@@ -147,9 +156,9 @@ def prefix_rows(docs: DataFrame, last: np.ndarray) -> DataFrame:
     def make(batch: pa.RecordBatch) -> dict:
         out = {"doc_id": [], "n": [], "tokens": []}
         for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
-            s = shingle_set(text)
+            s = shingle_set(text, rule.shingle)
             if len(s):
-                p = prefix_length(len(s))
+                p = prefix_length(len(s), rule.num, rule.den)
                 out["doc_id"].append(doc_id)
                 out["n"].append(len(s))
                 out["tokens"].append([_long(ordered_prefix(s, o, p, last)) for o in range(ORDERS)])
@@ -233,11 +242,11 @@ def texts_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     return _mapped(known, make, "node long, text string").join(nodes, "node", "left_semi")
 
 
-def _sizes_fit(x: str, y: str) -> Column:
-    return F.least(x, y) * DEN >= F.greatest(x, y) * NUM
+def _sizes_fit(x: str, y: str, rule: Rule) -> Column:
+    return F.least(x, y) * rule.den >= F.greatest(x, y) * rule.num
 
 
-def near_copy_clusters(shared: DataFrame) -> DataFrame:
+def near_copy_clusters(shared: DataFrame, rule: Rule = EXACT) -> DataFrame:
     """(node, cluster) of nodes that share much of their prefix with the first node of their tokens.
 
     Only how the work is cut depends on the clusters, not the result.
@@ -246,21 +255,21 @@ def near_copy_clusters(shared: DataFrame) -> DataFrame:
     first = many.groupBy("token").agg(F.min("node").alias("first"))
     met = many.join(first, "token").where("node <> first").groupBy("node", "first").agg(F.count("*").alias("c"), F.max("n").alias("n"))
     # as many tokens as half of a prefix, counted over all orders
-    close = met.where(F.col("c") * 2 * DEN >= F.col("n") * (DEN - NUM))
+    close = met.where(F.col("c") * 2 * rule.den >= F.col("n") * (rule.den - rule.num))
     return components(close.select(F.col("node").alias("a"), F.col("first").alias("b"))).withColumnRenamed("component", "cluster")
 
 
-def _near(sets: list[np.ndarray]) -> np.ndarray:
+def _near(sets: list[np.ndarray], rule: Rule) -> np.ndarray:
     """Which of the sets reach the threshold with each other."""
     tokens, column = np.unique(np.concatenate(sets), return_inverse=True)
     has = np.zeros((len(sets), len(tokens)), np.float32)
     sizes = np.array([len(s) for s in sets])
     has[np.repeat(np.arange(len(sets)), sizes), column] = 1
     common = np.rint(has @ has.T).astype(np.int64)
-    return common * DEN >= (sizes[:, None] + sizes - common) * NUM
+    return common * rule.den >= (sizes[:, None] + sizes - common) * rule.num
 
 
-def cluster_links(texts: DataFrame, clusters: DataFrame) -> DataFrame:
+def cluster_links(texts: DataFrame, clusters: DataFrame, rule: Rule = EXACT) -> DataFrame:
     """(a, b): links within each cluster, enough to join all that its links join.
 
     A cluster's nodes are dealt to blocks, and every two blocks meet.
@@ -276,7 +285,7 @@ def cluster_links(texts: DataFrame, clusters: DataFrame) -> DataFrame:
     def compare(group: pa.Table) -> pa.Table:
         nodes, sets = [], []
         for node, text in zip(group.column("node").to_pylist(), group.column("text").to_pylist(), strict=True):
-            s = shingle_set(text)
+            s = shingle_set(text, rule.shingle)
             if len(s):
                 nodes.append(node)
                 sets.append(s)
@@ -290,7 +299,7 @@ def cluster_links(texts: DataFrame, clusters: DataFrame) -> DataFrame:
                     i = root[i]
                 return i
 
-            for i, j in np.argwhere(np.triu(_near(sets), 1)).tolist():
+            for i, j in np.argwhere(np.triu(_near(sets, rule), 1)).tolist():
                 x, y = top(i), top(j)
                 if x != y:
                     root[y] = x
@@ -300,7 +309,7 @@ def cluster_links(texts: DataFrame, clusters: DataFrame) -> DataFrame:
     return texts.join(dealt, "node").groupBy("cluster", "lo", "hi").applyInArrow(compare, "a long, b long")
 
 
-def listed_pairs(shared: DataFrame, clusters: DataFrame) -> DataFrame:
+def listed_pairs(shared: DataFrame, clusters: DataFrame, rule: Rule = EXACT) -> DataFrame:
     """(a, b): pairs of nodes that share enough prefix tokens under every order and fit in size.
 
     Pairs within a cluster are left to the blocks.
@@ -311,23 +320,23 @@ def listed_pairs(shared: DataFrame, clusters: DataFrame) -> DataFrame:
     rows = rows.join(mixed, "token")
     left = rows.select("token", "o", F.col("node").alias("a"), F.col("n").alias("a_n"), F.col("cluster").alias("a_c"))
     right = rows.select("token", F.col("node").alias("b"), F.col("n").alias("b_n"), F.col("cluster").alias("b_c"))
-    met = left.join(right, "token").where((F.col("a") < F.col("b")) & (F.col("a_c") != F.col("b_c")) & _sizes_fit("a_n", "b_n"))
+    met = left.join(right, "token").where((F.col("a") < F.col("b")) & (F.col("a_c") != F.col("b_c")) & _sizes_fit("a_n", "b_n", rule))
     counted = met.groupBy("a", "b", "a_n", "b_n").agg(*[F.count_if(F.col("o") == o).alias(f"c{o}") for o in range(ORDERS)])
 
     def rest(n: str) -> Column:
         """The tokens behind the prefix of a set."""
-        return F.ceil(F.col(n) * NUM / DEN) - 1
+        return F.ceil(F.col(n) * rule.num / rule.den) - 1
 
     # of the two, take the one whose prefix ends first: what it shares beyond its prefix is no more
     # than the rest of it, and its prefix can only meet the other's prefix
-    overlap = F.ceil((F.col("a_n") + F.col("b_n")) * NUM / (NUM + DEN))
+    overlap = F.ceil((F.col("a_n") + F.col("b_n")) * rule.num / (rule.num + rule.den))
     needed = F.greatest(F.lit(1), overlap - F.greatest(rest("a_n"), rest("b_n")))
     for o in range(ORDERS):
         counted = counted.where(F.col(f"c{o}") >= needed)
     return counted.select("a", "b").distinct()
 
 
-def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+def verified(pairs: DataFrame, texts: DataFrame, rule: Rule = EXACT) -> DataFrame:
     """The pairs (a, b) whose sets reach the threshold."""
     left = texts.select(F.col("node").alias("a"), F.col("text").alias("a_text"))
     right = texts.select(F.col("node").alias("b"), F.col("text").alias("b_text"))
@@ -337,10 +346,10 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
         last, own = None, None
         for a, b, x, y in zip(*(batch.column(c).to_pylist() for c in ("a", "b", "a_text", "b_text")), strict=True):
             if y != last:
-                last, own = y, shingle_set(y)
-            other = shingle_set(x)
+                last, own = y, shingle_set(y, rule.shingle)
+            other = shingle_set(x, rule.shingle)
             common = len(np.intersect1d(own, other, assume_unique=True))
-            if common * DEN >= (len(own) + len(other) - common) * NUM and common:
+            if common * rule.den >= (len(own) + len(other) - common) * rule.num and common:
                 out["a"].append(a)
                 out["b"].append(b)
         return out
@@ -349,29 +358,29 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return _mapped(whole, make, "a long, b long")
 
 
-def jaccard_components(docs: DataFrame) -> DataFrame:
+def jaccard_components(docs: DataFrame, rule: Rule = EXACT) -> DataFrame:
     """(doc_id, n_shingles, component_id) for each row of ``docs`` (doc_id, text).
 
-    Two documents link when 100 * intersection >= 90 * union of their sets of distinct 3-word
-    shingles; component_id is the smallest doc_id that links reach.  A text with one or two words
-    has them as its only shingle; null texts and those without words have none and link with
+    Two documents link when their sets of distinct shingles reach the threshold of ``rule``;
+    component_id is the smallest doc_id that links reach.  A text with fewer words than a shingle
+    has them as its only one; null texts and those without words have none and link with
     nothing.  Rows that share a doc_id count as one document with several sets.  A null doc_id gets
     the component of its set, null if no other row has that set.  Other columns are left behind.
     """
-    first = stored(sets_and_prefixes(docs), "shingle-sets")
+    first = stored(sets_and_prefixes(docs, rule), "shingle-sets")
     rows = first.drop("tokens")
     crowds = bit_filter(_token_counts(first).where(F.col("m") > PAIRED), "token")
     classes = stored(
         rows.where("n > 0").groupBy("s1", "s2").agg(F.min("doc_id").alias("node")).where("node is not null"), "shingle-classes"
     )
     own = classes.select(F.col("node").alias("doc_id"))
-    prefixes = stored(prefix_rows(docs, crowds).join(own, "doc_id", "left_semi"), "shingle-prefixes")
+    prefixes = stored(prefix_rows(docs, crowds, rule).join(own, "doc_id", "left_semi"), "shingle-prefixes")
     shared = stored(shared_tokens(prefixes), "shingle-shared")
-    clusters = stored(near_copy_clusters(shared), "shingle-clusters")
-    pairs = stored(listed_pairs(shared, clusters), "shingle-pairs")
+    clusters = stored(near_copy_clusters(shared, rule), "shingle-clusters")
+    pairs = stored(listed_pairs(shared, clusters, rule), "shingle-pairs")
     nodes = clusters.select("node").union(pairs.select("a")).union(pairs.select("b")).distinct()
     texts = stored(texts_of(docs, nodes), "shingle-texts")
-    parts = components(cluster_links(texts, clusters).unionByName(verified(pairs, texts)))
+    parts = components(cluster_links(texts, clusters, rule).unionByName(verified(pairs, texts, rule)))
     known = rows.join(classes, ["s1", "s2"], "left").join(parts, "node", "left")
     return known.select(
         "doc_id",
@@ -380,12 +389,12 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     )
 
 
-def one_of_each(docs: DataFrame) -> DataFrame:
+def one_of_each(docs: DataFrame, rule: Rule = STAGE) -> DataFrame:
     """The rows of ``docs`` whose doc_id is the smallest of its component, one row each.
 
     Rows with a null doc_id are in no component and stay.
     """
-    keep = jaccard_components(docs).where("doc_id = component_id").select(F.col("doc_id").alias("_keep")).distinct()
+    keep = jaccard_components(docs, rule).where("doc_id = component_id").select(F.col("doc_id").alias("_keep")).distinct()
     kept = docs.join(keep, F.col("doc_id") == F.col("_keep"), "left_semi")
     return kept.unionByName(docs.where("doc_id is null"))
 
