@@ -13,7 +13,7 @@ from tillwork.llm.common import stored, table
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a letter go; a missing language is filled in."""
+    """Documents without a letter or in no known language go; a missing language is filled in."""
     return langid.with_known_language(docs)
 
 

@@ -74,3 +74,18 @@ def test_edges(spark, folder):
     blank = df.selectExpr("doc_id", "text", "cast(null as string) lang")
     assert {r.lang_pred for r in langid.identified(blank).collect()} == {"und"}
     assert langid.identified(df.limit(0)).collect() == []
+
+
+def test_rows_without_a_model_stay(spark):
+    docs = spark.createDataFrame([(1, "some words", None), (2, "12 !?", None), (3, None, None)], "doc_id long, text string, lang string")
+    assert [tuple(r) for r in langid.with_known_language(docs).collect()] == [(1, "some words", None)]
+
+
+def test_unknown_text_goes_and_held_out_text_stays(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    odd = ["xqzj kkwv zzpt qqqq vvvx jjkz", "Все люди рождаются свободными и равными в своем достоинстве и правах.", "Minden emberi lény szabadon születik és egyenlő méltósága és joga van.", "Tämä on suomenkielinen teksti, jossa kerrotaan talvesta ja lumesta."]
+    more = spark.createDataFrame([(10**6 + i, t, None, None, None) for i, t in enumerate(odd)], docs.schema)
+    kept = {r.doc_id for r in langid.with_known_language(docs.unionByName(more)).collect()}
+    held = {r.doc_id for r in docs.where(langid.is_held_out(docs.doc_id) & docs.text.rlike(r"\p{L}")).collect()}
+    assert len(held & kept) >= 0.995 * len(held) > 200
+    assert any(10**6 + i not in kept for i in range(len(odd)))

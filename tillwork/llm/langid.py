@@ -28,6 +28,9 @@ STEPS = 450
 BATCH = 128
 TRAIN_BYTES = 96
 UNKNOWN = "und"
+#: of the way from chance (one over the number of languages) to 1, what the score of a text in a known
+#: language reaches: a score of 0.5 with four languages
+LEAST_EVIDENCE = 1 / 3
 
 
 class ByteGRU:
@@ -255,10 +258,25 @@ def identified(docs: DataFrame) -> DataFrame:
     return named.select("doc_id", "held_out", "p.lang_pred", "p.score")
 
 
+def least_score(n_labels: int) -> float:
+    """The score below which a text is in none of ``n_labels`` languages; one label cannot reject."""
+    return 1 / n_labels + LEAST_EVIDENCE * (1 - 1 / n_labels)
+
+
 def with_known_language(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` in a language that the model knows; a missing ``lang`` is filled in."""
+    """The rows of ``docs`` in a language that the model knows; a missing ``lang`` is filled in.
+
+    A text without letters or with a score below ``least_score`` is in none.  Without a labelled row
+    there is no model: then all rows with a letter stay as they are.
+    """
+    model = learned(docs)
+    if model is None:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
     columns = [c for c in docs.columns if c != "lang"]
-    named = docs.withColumn("_p", language_of(learned(docs))(F.col("text"))).where(F.col("_p.lang_pred") != UNKNOWN)
+    is_known = (F.col("_p.lang_pred") != UNKNOWN) & (
+        (F.col("_p.score") >= least_score(len(model.labels))) | F.lit(len(model.labels) == 1)
+    )
+    named = docs.withColumn("_p", language_of(model)(F.col("text"))).where(is_known)
     return named.select(*columns, F.coalesce("lang", "_p.lang_pred").alias("lang")).select(docs.columns)
 
 
