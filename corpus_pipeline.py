@@ -18,7 +18,7 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents that the Jaccard join links, the one with the smallest id stays."""
+    """Of rows that the Jaccard join links by their texts, one with the smallest id stays."""
     return shinglejoin.one_of_each(docs)
 
 

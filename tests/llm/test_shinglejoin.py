@@ -170,3 +170,13 @@ def test_the_stage_links_five_words_at_four_fifths(spark):
     got = {r.doc_id: r.component_id for r in sj.jaccard_components(frame(spark, rows), sj.STAGE).collect()}
     assert got == want
     assert sorted(r.doc_id for r in sj.one_of_each(frame(spark, rows)).collect()) == sorted(set(want.values()))
+
+
+def test_one_row_of_each_group_stays(spark):
+    """Repeated rows, rows without an id that copy others, and groups without any id."""
+    a, b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")
+    near = lambda t: t + " end"
+    rows = [(2, a), (2, a), (5, a), (None, a), (None, near(a)), (None, b), (None, b), (None, near(b)), (8, near(c)), (None, c), (8, "only here"), (7, None)]
+    kept = [(r.doc_id, r.text) for r in sj.one_of_each(frame(spark, rows)).collect()]
+    assert len(kept) == 5 and {(2, a), (8, near(c)), (8, "only here"), (7, None)} < set(kept)
+    assert [i for i, t in kept if t in (b, near(b))] == [None]

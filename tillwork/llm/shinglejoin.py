@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillwork.llm.common import query, stored, table
+from tillwork.llm.common import WORD, query, stored, table
 from tillwork.llm.components import components
 
 
@@ -390,13 +390,26 @@ def jaccard_components(docs: DataFrame, rule: Rule = EXACT) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame, rule: Rule = STAGE) -> DataFrame:
-    """The rows of ``docs`` whose doc_id is the smallest of its component, one row each.
+    """One row of each group of equal or near texts: that with the smallest doc_id, null last.
 
-    Rows with a null doc_id are in no component and stay.
+    Texts are the nodes, named by a 64-bit hash, so that rows without an id take part and repeated
+    rows are one; two different texts have the same name with a chance of 2**-64.  Among rows of a
+    group with the same doc_id, the smallest hash of the text stays, then the smallest row.  Rows
+    that share a doc_id but not a text are not linked by it.  Texts without words link with nothing;
+    of equal rows without words one stays.  All columns must be of types that can be ordered.
     """
-    keep = jaccard_components(docs, rule).where("doc_id = component_id").select(F.col("doc_id").alias("_keep")).distinct()
-    kept = docs.join(keep, F.col("doc_id") == F.col("_keep"), "left_semi")
-    return kept.unionByName(docs.where("doc_id is null"))
+    has_words = F.coalesce(F.col("text").rlike(WORD), F.lit(False))
+    keyed = docs.where(has_words).withColumn("_text", F.xxhash64("text"))
+    # a third of the rows can be copies of one text: minima before anything meets in a join
+    ids = keyed.groupBy("_text").agg(F.min("doc_id").alias("_id"))
+    texts = keyed.select(F.col("_text").alias("doc_id"), "text")
+    groups = jaccard_components(texts, rule).select(F.col("doc_id").alias("_text"), "component_id").distinct()
+    order = F.struct(F.col("_id").isNull().alias("none"), F.col("_id").alias("id"), F.col("_text").alias("text"))
+    kept = ids.join(groups, "_text").groupBy("component_id").agg(F.min(order)["text"].alias("_text"))
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    row = F.struct(F.col("doc_id").isNull().alias("_none"), "doc_id", "text", *others)
+    best = keyed.groupBy("_text").agg(F.min(row).alias("_row")).join(kept, "_text", "left_semi")
+    return best.select("_row.*").select(docs.columns).unionByName(docs.where(~has_words).distinct())
 
 
 SQL = r"""
