@@ -112,3 +112,15 @@ def test_masking(spark):
     assert sorted((tuple(r)[:3] for r in got.collect()), key=str) == sorted(
         [(1, "mail [EMAIL] or [PHONE], ip [IP]", 32), (2, "clean", 5), (3, None, None), (1, "other", 5), (None, "[EMAIL]", 7)], key=str
     )
+
+
+def test_seeds_and_values_of_any_shape(spark):
+    """Emails without a digit, phones with brackets, cards with spaces; letters-only and short values."""
+    names = ["bob", "ann", "eve", "joe", "kim"]
+    seeds = [f"Contact: {n}@example.com." for n in names]
+    seeds += [f"tel: +1 (743) 555-382{i}" for i in range(5)]
+    seeds += [f"card# {c}" for c in ("4539 1488 0343 6467", "4111 1111 1111 1111", "5500 0000 0000 0004", "3400 0000 0000 009")]
+    other = ["contact: bobby_at_home, later", "tel: 5551", "card# none-x", "note: letters", "see: x1"]
+    rows = list(enumerate(seeds + other))
+    more = check(rows, pii.personal_data(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert [v for values in more.values() for v in values] == ["bobby_at_home", "5551", "none-x"]

@@ -33,11 +33,12 @@ KINDS = {
 }
 RANK = {kind: i for i, kind in enumerate([*KINDS, "context"])}
 
-#: a value that a pattern may point at: a run of these characters with a digit in it
-_VALUE_CHARS = "A-Za-z0-9._@+-"
-VALUE = rf"(?<![{_VALUE_CHARS}])(?=[A-Za-z._@+-]*+[0-9])[{_VALUE_CHARS}]{{6,}}+"
 #: a lexical pattern: a label, a delimiter, maybe an opening mark, right before the value
-LABEL = r"""([\p{L}][\p{L}0-9_-]{0,30}\s{0,2}[:=#]\s{0,2}["'(<\[]?)$"""
+_LABEL = r"""[\p{L}][\p{L}0-9_-]{0,30}\s{0,2}[:=#]\s{0,2}["'(<\[]?"""
+LABEL = rf"({_LABEL})$"
+#: a value that a pattern may point at: the token after its delimiter, of whatever characters; what
+#: encloses, ends or begins another field does not belong to it
+TOKEN = rf"""(?<![\p{{L}}0-9_-]){_LABEL}[^\s"'()<>\[\]{{}},;:=#]++"""
 LABEL_REACH = 40
 #: keys and digests: long, with letters and digits mixed
 KEY_SHAPE = r"^(?=[0-9]*[A-Za-z])(?=[A-Za-z]*[0-9])[A-Za-z0-9]{20,}$"
@@ -155,31 +156,46 @@ def base_spans(text: Column) -> Column:
 _CANDIDATE = "array<struct<start:int,stop:int,value:string,pattern:string>>"
 
 
+def _pattern(label: Column) -> Column:
+    return F.lower(F.regexp_replace(label, r"\s+", " "))
+
+
 def labelled_values(text: Column) -> Column:
-    """Values with a label in front: start, stop, value, pattern."""
+    """Tokens with a label in front: start, stop, value, pattern."""
 
-    def make(start: Column, run: Column, before: Column) -> Column:
-        edge = F.lit("._@+-")
-        left = start + F.length(run) - F.length(F.ltrim(run, edge))
-        value = F.trim(run, edge)
-        label = F.regexp_extract(F.right(before, F.lit(LABEL_REACH)), LABEL, 1)
+    def make(start: Column, run: Column, _: Column) -> Column:
+        label = F.regexp_extract(run, rf"^({_LABEL})", 1)
+        # a sentence's mark behind a token is not part of it
+        value = F.rtrim(F.substring(run, F.length(label) + 1, F.length(run)), F.lit(".!?"))
+        left = start + F.length(label)
         return F.struct(
-            left.alias("start"),
-            (left + F.length(value)).alias("stop"),
-            value.alias("value"),
-            F.lower(F.regexp_replace(label, r"\s+", " ")).alias("pattern"),
+            left.alias("start"), (left + F.length(value)).alias("stop"), value.alias("value"), _pattern(label).alias("pattern")
         )
 
-    found = F.when(text.rlike("[:=#]") & text.rlike("[0-9]"), matches(text, VALUE, make))
-    return F.filter(_or_empty(found, _CANDIDATE), lambda c: c["pattern"] != "")
+    found = F.when(text.rlike("[:=#]"), matches(text, TOKEN, make))
+    return F.filter(_or_empty(found, _CANDIDATE), lambda c: c["value"] != "")
+
+
+def labelled_base(text: Column, base: Column) -> Column:
+    """Base spans with a label in front, whatever their characters: pattern, value."""
+
+    def make(s: Column) -> Column:
+        at = F.greatest(s["start"] - LABEL_REACH, F.lit(0))
+        label = F.regexp_extract(F.substring(text, at + 1, s["start"] - at), LABEL, 1)
+        return F.struct(_pattern(label).alias("pattern"), F.substring(text, s["start"] + 1, s["stop"] - s["start"]).alias("value"))
+
+    found = F.when(text.rlike("[:=#]"), F.transform(base, make))
+    return F.filter(_or_empty(found, "array<struct<pattern:string,value:string>>"), lambda c: c["pattern"] != "")
 
 
 def found_in(docs: DataFrame) -> DataFrame:
-    """doc_id, a hash of the text, base spans and labelled values, from one pass over the texts."""
-    return docs.select(
+    """doc_id, a hash of the text, base spans, those with labels, and labelled values."""
+    spans = docs.select("doc_id", "text", base_spans(F.col("text")).alias("base"))
+    return spans.select(
         "doc_id",
         F.xxhash64("text").alias("text_hash"),
-        base_spans(F.col("text")).alias("base"),
+        "base",
+        labelled_base(F.col("text"), F.col("base")).alias("seeds"),
         labelled_values(F.col("text")).alias("values"),
     )
 
@@ -190,9 +206,10 @@ def _in_base(c: Column) -> Column:
 
 def pattern_graph(found: DataFrame) -> DataFrame:
     """Distinct (pattern, value, seed): which pattern stands before which value."""
-    each = found.where(F.size("values") > 0).select("base", F.explode("values").alias("c"))
-    seed = _in_base(F.col("c")) | F.col("c.value").rlike(KEY_SHAPE)
-    return each.select("c.pattern", "c.value", seed.alias("seed")).groupBy("pattern", "value").agg(F.max("seed").alias("seed"))
+    each = found.where(F.size("values") > 0).select("base", F.explode("values").alias("c")).where(~_in_base(F.col("c")))
+    others = each.select("c.pattern", "c.value", F.col("c.value").rlike(KEY_SHAPE).alias("seed"))
+    seeds = found.select(F.explode("seeds").alias("c")).select("c.pattern", "c.value", F.lit(True).alias("seed"))
+    return others.unionByName(seeds).groupBy("pattern", "value").agg(F.max("seed").alias("seed"))
 
 
 def trusted_patterns(
