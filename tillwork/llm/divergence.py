@@ -23,6 +23,8 @@ UNIT = 1_000_000_000
 REMEMBERED = 200_000
 #: cells of a language that are compared at a time
 PACK = 2048
+#: most (lang, source) that are broadcast; more meet the cells in shuffled joins
+BROADCAST_GROUPS = 200_000
 
 # a term is a run of ASCII letters and characters beyond ASCII; in UTF-8 those are bytes from 0x80 up
 _TERM_BYTES = bytes(
@@ -126,12 +128,16 @@ def _shares(counts: np.ndarray, totals: np.ndarray) -> np.ndarray:
     return out + 1
 
 
-def source_pairs(own: DataFrame, langs: DataFrame, groups: DataFrame) -> DataFrame:
+def source_pairs(own: DataFrame, langs: DataFrame, groups: DataFrame, n_groups: int) -> DataFrame:
     """(lang, source, item, value): the distance of every two sources of a language over its kept terms.
 
     Terms with the same counts in all sources are one cell.  Cells travel in packs, and each pack
     meets the sources of its language once; the sums of a task are one number for two sources.
     """
+
+    def small(df: DataFrame) -> DataFrame:
+        return F.broadcast(df) if n_groups <= BROADCAST_GROUPS else df
+
     numbered = groups.withColumn("at", F.row_number().over(Window.partitionBy("lang").orderBy("source")) - 1)
     lists = numbered.groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("at", "total"))).alias("sources"))
     sources = lists.join(langs.select("lang", "v"), "lang", "left").select(
@@ -139,21 +145,21 @@ def source_pairs(own: DataFrame, langs: DataFrame, groups: DataFrame) -> DataFra
     )
     # a term has at most one count from each source
     vectors = (
-        own.join(numbered.select("lang", "source", "at"), ["lang", "source"])
+        own.join(small(numbered.select("lang", "source", "at")), ["lang", "source"])
         .groupBy("lang", "term")
         .agg(F.sort_array(F.collect_list(F.struct("at", "n"))).alias("counts"))
     )
     cells = stored(vectors.groupBy("lang", "counts").agg(F.count(F.lit(1)).alias("terms")), "divergence-cells")
     packs_of = cells.groupBy("lang").agg(F.ceil(F.count(F.lit(1)) / PACK).alias("packs"))
     packs = (
-        cells.join(packs_of, "lang")
+        cells.join(small(packs_of), "lang")
         .withColumn("pack", F.pmod(F.xxhash64("counts"), F.col("packs")))
         .groupBy("lang", "pack")
         .agg(F.collect_list(F.struct(F.col("counts.at").alias("at"), F.col("counts.n").alias("n"), "terms")).alias("cells"))
     )
     # a language without kept terms has no pack, but its sources are listed all the same
     columns = ["lang", "v", "totals", "cells"]
-    whole = packs.join(sources, "lang").select(*columns)
+    whole = packs.join(small(sources), "lang").select(*columns)
     whole = whole.unionByName(sources.select("*", F.lit(None).cast(packs.schema["cells"].dataType).alias("cells")))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -218,7 +224,8 @@ def audit(docs: DataFrame, least_docs: int = 10, most: int = 10) -> DataFrame:
         .select("lang", "source", F.coalesce("total", F.lit(0)).alias("total"))
     )
     by_value = Window.partitionBy("lang", "source").orderBy(F.desc("value"), "item")
-    pairs = source_pairs(own, langs, groups).withColumn("rank", F.row_number().over(by_value))
+    n_groups = counts.where("term is null").count()
+    pairs = source_pairs(own, langs, groups, n_groups).withColumn("rank", F.row_number().over(by_value))
     columns = ["lang", "source", "part", "item", "value", "rank"]
     telling = top_terms(own, langs, groups, most).withColumn("part", F.lit("term"))
     return pairs.withColumn("part", F.lit("pair")).select(*columns).unionByName(telling.select(*columns))
