@@ -42,14 +42,6 @@ ORDERS = 2
 PAIRED = 6
 #: nodes of a cluster that are compared together with as many others
 BLOCK = 64
-#: 64-bit words of the filters of nodes and tokens; one that is full only lets more through
-FILTER_WORDS = 1 << 18
-#: different orders of the tokens
-ORDERS = 2
-#: tokens that more nodes share are left to the rounds
-PAIRED = 6
-#: leaders of each token's group in the rounds before all that are left are compared
-LEADERS = (2, 4, 8)
 #: words whose hashes one Python worker keeps
 REMEMBERED = 200_000
 
@@ -358,6 +350,14 @@ def verified(pairs: DataFrame, texts: DataFrame, rule: Rule = EXACT) -> DataFram
     return _mapped(whole, make, "a long, b long")
 
 
+def _same_document(placed: DataFrame) -> DataFrame:
+    """(a, b): the nodes of the sets of one document, linked to the smallest of them."""
+    several = placed.where("doc_id is not null and node is not null").groupBy("doc_id").agg(
+        F.min("node").alias("a"), F.max("node").alias("most")
+    )
+    return placed.join(several.where("a < most").drop("most"), "doc_id").where("node > a").select("a", F.col("node").alias("b"))
+
+
 def jaccard_components(docs: DataFrame, rule: Rule = EXACT) -> DataFrame:
     """(doc_id, n_shingles, component_id) for each row of ``docs`` (doc_id, text).
 
@@ -380,9 +380,10 @@ def jaccard_components(docs: DataFrame, rule: Rule = EXACT) -> DataFrame:
     pairs = stored(listed_pairs(shared, clusters, rule), "shingle-pairs")
     nodes = clusters.select("node").union(pairs.select("a")).union(pairs.select("b")).distinct()
     texts = stored(texts_of(docs, nodes), "shingle-texts")
-    parts = components(cluster_links(texts, clusters, rule).unionByName(verified(pairs, texts, rule)))
-    known = rows.join(classes, ["s1", "s2"], "left").join(parts, "node", "left")
-    return known.select(
+    placed = rows.join(classes, ["s1", "s2"], "left")
+    links = cluster_links(texts, clusters, rule).unionByName(verified(pairs, texts, rule))
+    parts = components(links.unionByName(_same_document(placed)))
+    return placed.join(parts, "node", "left").select(
         "doc_id",
         F.col("n").alias("n_shingles"),
         F.coalesce("component", "node", "doc_id").alias("component_id"),
