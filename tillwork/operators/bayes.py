@@ -11,8 +11,9 @@ from tillwork.functions.dates import key_of
 from tillwork.functions.scalars import beta_mean, beta_std, beta_var, let, rate_pct
 from tillwork.operators.experiment import key_of_test
 from tillwork.operators.joins import join_test_variant
-from tillwork.operators.merge import merge_upsert, surrogate_key
+from tillwork.operators.merge import lacking_keys, merge_upsert
 from tillwork.operators.windows import latest_per
+from tillwork.sources.files import keep
 
 STORE_KEY = ["test_id", "variant_id", "period_date", "value_type"]
 # calculation_method and the key keep their first value when a row is saved again
@@ -137,9 +138,16 @@ ROLLED_NOTES = "Prior derived from {period} posterior"
 
 
 def _save(store: DataFrame, rows: DataFrame, run_ts: dt.datetime) -> DataFrame:
-    """Merge rows into the store; a new row gets the next free prior_id and ``run_ts``."""
+    """Merge rows into the store; a new row gets the next free prior_id and ``run_ts``.
+
+    The store is small (a row for each variant, period and kind), so each save writes it to the shared
+    folder: the plan of the next one starts there and does not grow from save to save.
+    """
+    rows = keep(rows, "prior-rows")
+    if "prior_id" in store.columns:
+        rows = rows.join(lacking_keys(rows, store, STORE_KEY, "prior_id"), STORE_KEY, "left")
     merged = merge_upsert(store, rows, STORE_KEY, STORE_UPDATES, touch_col="created_at", run_ts=run_ts)
-    return surrogate_key(merged, STORE_KEY, "prior_id") if "prior_id" in store.columns else merged
+    return keep(merged, "prior-store")
 
 
 def save_prior(store: DataFrame, rows: DataFrame, run_ts: dt.datetime) -> DataFrame:
@@ -153,7 +161,7 @@ def save_posterior(
     store: DataFrame, rows: DataFrame, run_ts: dt.datetime, notes: str = POSTERIOR_NOTES
 ) -> DataFrame:
     """Merge posteriors into the store under their period."""
-    marked = rows.withColumns(
+    marked = rows.drop("prior_id").withColumns(
         {
             "value_type": F.lit("posterior"),
             "calculation_method": F.lit("updated"),

@@ -8,6 +8,7 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tillwork.functions.scalars import hash_bucket
 from tillwork.session import shared_folder
@@ -60,15 +61,17 @@ def require_unique(df: DataFrame, keys: Sequence[str], what: str = "source") ->
     """The same rows; the query fails when a key occurs twice.
 
     Row numbers need the shuffle and sort by key that a merge join needs too,
-    so this adds neither.  Rows with a NULL in the key pass by.
+    so this adds neither.  Rows with a NULL in the key pass by, told apart by
+    their other columns so that they are no group.
     """
-    nth = F.row_number().over(Window.partitionBy(*keys).orderBy(*keys))
+    rest = [f.name for f in df.schema.fields if f.name not in keys and not isinstance(f.dataType, T.MapType)]
+    nullable = rest and any(df.schema[k].nullable for k in keys)
+    apart = [F.when(~_has_key(keys), F.xxhash64(*rest))] if nullable else []
+    nth = F.row_number().over(Window.partitionBy(*keys, *apart).orderBy(*keys))
     message = F.lit(f"{what} has more than one row for a key of ({', '.join(keys)})")
-    ok = F.when(F.col("__nth") == 1, True).otherwise(F.raise_error(message).cast("boolean"))
-    keyed = df.where(_has_key(keys)).withColumn("__nth", nth).where(ok).drop("__nth")
-    if not any(df.schema[k].nullable for k in keys):
-        return keyed
-    return keyed.unionByName(df.where(~_has_key(keys)))
+    fits = (F.col("__nth") == 1) | ~_has_key(keys)
+    ok = F.when(fits, True).otherwise(F.raise_error(message).cast("boolean"))
+    return df.withColumn("__nth", nth).where(ok).drop("__nth")
 
 
 def merge_upsert(
@@ -201,16 +204,30 @@ def surrogate_key(
     return known.unionByName(keyed.select(*df.columns))
 
 
-def row_key(df: DataFrame, name: str) -> DataFrame:
+def bare_keys(rows: DataFrame, natural: Sequence[str]) -> DataFrame:
+    """The different keys of ``rows``, without those that hold a NULL; nothing else of ``rows`` is read."""
+    return rows.where(_has_key(natural)).select(*natural).distinct()
+
+
+def lacking_keys(rows: DataFrame, target: DataFrame, natural: Sequence[str], name: str) -> DataFrame:
+    """(natural, name): a key for each natural key of ``rows`` that ``target`` lacks, from above its largest."""
+    lacking = bare_keys(rows, natural).join(target.select(*natural), list(natural), "left_anti")
+    top = F.coalesce(target.agg(F.max(name)).scalar(), F.lit(0))
+    return surrogate_key(lacking, natural, name).withColumn(name, (F.col(name) + top).cast("bigint"))
+
+
+def row_key(df: DataFrame, name: str, fixed: bool = False) -> DataFrame:
     """Dense unique integers for rows that have no natural key (identical rows included).
 
     The rows are checkpointed to the shared folder first, which fixes what
     each partition holds; then a row's number is its place in the partition
     plus the sizes of the partitions before.  No shuffle, and no group to be hot.
+    With ``fixed``, ``df`` is the scan of a stored table, which holds still without a checkpoint.
     """
-    shared_folder(df.sparkSession)
-    fixed = df.checkpoint()
-    placed = fixed.select(
+    if not fixed:
+        shared_folder(df.sparkSession)
+        df = df.checkpoint()
+    placed = df.select(
         "*",
         F.spark_partition_id().alias("__part"),
         # the low 33 bits count the rows of one partition
@@ -218,7 +235,7 @@ def row_key(df: DataFrame, name: str) -> DataFrame:
     )
     # one row per partition
     running = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = fixed.groupBy(F.spark_partition_id().alias("__part")).agg(F.count(F.lit(1)).alias("__n"))
+    sizes = df.groupBy(F.spark_partition_id().alias("__part")).agg(F.count(F.lit(1)).alias("__n"))
     starts = sizes.select("__part", F.coalesce(F.sum("__n").over(running), F.lit(0)).alias("__start"))
     return placed.join(F.broadcast(starts), "__part").select(
         (F.col("__start") + F.col("__at") + 1).alias(name), *df.columns

@@ -16,32 +16,50 @@ from pyspark.sql import functions as F
 
 from tillwork.functions import dates, rules
 from tillwork.functions.scalars import or_zero
-from tillwork.operators.merge import merge_insert_absent, merge_upsert, require_unique, surrogate_key
+from tillwork.operators.merge import (
+    bare_keys,
+    lacking_keys,
+    merge_insert_absent,
+    merge_upsert,
+    require_unique,
+    surrogate_key,
+)
 from tillwork.sources.files import values_table
 
 
 def _load(
     rows: DataFrame,
+    ids: DataFrame,
     target: DataFrame | None,
     natural: str,
     key: str,
     refreshed: Sequence[str],
     run_ts: dt.datetime | None,
+    keys: DataFrame | None,
 ) -> DataFrame:
+    """``rows`` with their keys, or ``target`` with ``rows`` merged in.
+
+    Keys come from ``keys`` (natural, key), the stored map; without it the bare ``ids`` that ``target`` lacks
+    are numbered.  Either way ``rows`` is evaluated once.  A row without an id has no key.
+    """
     stamp = F.lit(run_ts).cast("timestamp_ntz")
+    if keys is None:
+        if target is None:
+            keys = surrogate_key(bare_keys(ids, [natural]), natural, key)
+        else:
+            keys = lacking_keys(ids, target, [natural], key)
     if target is None:
-        stamped = rows.withColumns({"created_at": stamp, "updated_at": stamp})
-        return surrogate_key(require_unique(stamped, [natural], key), natural, key)
-    merged = merge_upsert(
+        stamped = require_unique(rows.withColumns({"created_at": stamp, "updated_at": stamp}), [natural], key)
+        return stamped.join(keys, natural, "left").select(key, *stamped.columns)
+    return merge_upsert(
         target,
-        rows,
+        rows.join(keys, natural, "left"),
         [natural],
         refreshed,
         touch_col="updated_at",
         run_ts=run_ts,
         insert_defaults={"created_at": run_ts},
     )
-    return surrogate_key(merged, natural, key)
 
 
 def customer_stats(orders: DataFrame, payments: DataFrame) -> DataFrame:
@@ -73,7 +91,9 @@ def build_dim_customer(
     payments: DataFrame,
     target: DataFrame | None = None,
     run_ts: dt.datetime | None = None,
+    keys: DataFrame | None = None,
 ) -> DataFrame:
+    """``keys`` (customer_id, customer_key) is the stored key map, see ``KeyMap``."""
     stats = customer_stats(orders, payments)
     n, spent = F.col("order_count"), F.col("total_spent")
     rows = (
@@ -94,11 +114,14 @@ def build_dim_customer(
         .distinct()
     )
     refreshed = ["customer_segment", "total_orders", "lifetime_value", "last_order_date"]
-    return _load(rows, target, "customer_id", "customer_key", refreshed, run_ts)
+    return _load(rows, customers, target, "customer_id", "customer_key", refreshed, run_ts, keys)
 
 
 def build_dim_product(
-    products: DataFrame, target: DataFrame | None = None, run_ts: dt.datetime | None = None
+    products: DataFrame,
+    target: DataFrame | None = None,
+    run_ts: dt.datetime | None = None,
+    keys: DataFrame | None = None,
 ) -> DataFrame:
     size = [F.col(f"product_{side}_cm") for side in ("length", "height", "width")]
     rows = products.select(
@@ -114,7 +137,7 @@ def build_dim_product(
         *[c.alias(n) for n, c in rules.product_flags(F.col("product_weight_g"), *size).items()],
     )
     refreshed = ["product_category_name", "is_heavy_item", "is_large_item"]
-    return _load(rows, target, "product_id", "product_key", refreshed, run_ts)
+    return _load(rows, products, target, "product_id", "product_key", refreshed, run_ts, keys)
 
 
 def seller_stats(items: DataFrame, orders: DataFrame) -> DataFrame:
@@ -142,6 +165,7 @@ def build_dim_seller(
     target: DataFrame | None = None,
     run_ts: dt.datetime | None = None,
     ratings: DataFrame | None = None,
+    keys: DataFrame | None = None,
 ) -> DataFrame:
     """``ratings`` (seller_id, avg_rating) fills the rating column when given."""
     joined = sellers.join(seller_stats(items, orders), "seller_id", "left")
@@ -165,7 +189,7 @@ def build_dim_seller(
     refreshed = ["seller_segment", "total_sales", "total_revenue", "last_sale_date"]
     if ratings is not None:
         refreshed.append("avg_rating")
-    return _load(rows, target, "seller_id", "seller_key", refreshed, run_ts)
+    return _load(rows, sellers, target, "seller_id", "seller_key", refreshed, run_ts, keys)
 
 
 def seller_avg_rating(fact_reviews: DataFrame) -> DataFrame:

@@ -1,58 +1,92 @@
-"""Bulk load: operational tables to stored dimensions and facts.
+"""Loads: operational tables to stored dimensions and facts, all at once or batch by batch.
 
 Every dimension is written before a fact reads it, so the facts scan small
 stored tables and a lost executor never rebuilds a dimension.  Facts are laid
-out by the month of their date key, which lets monthly queries read one month.
+out by the month of their date key: monthly queries read one month, and a
+batch rewrites the months that it touches.  Each table changes by a whole version at a time.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillwork import catalog
+from tillwork.functions.dates import key_of
 from tillwork.operators.experiment import exposure_events
-from tillwork.operators.merge import row_key, surrogate_key
+from tillwork.operators.keymap import KeyMap
 from tillwork.plans import dims, facts
-from tillwork.sources.files import scan_table, sink_overwrite
-
-MONTH = "date_month"
+from tillwork.sources.files import publish, scan_published, versions
+from tillwork.sources.months import MONTH, MonthlyTable
 
 
 class Warehouse:
-    """Stored star tables below one folder."""
+    """Stored star tables below one folder: dimensions as published versions, facts by month."""
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
         self.path = path.rstrip("/")
+        self._facts: dict[str, MonthlyTable] = {}
 
     def table_path(self, name: str) -> str:
         return f"{self.path}/{name}"
 
+    def fact(self, name: str) -> MonthlyTable:
+        if name not in self._facts:
+            self._facts[name] = MonthlyTable(self.spark, self.table_path(name), catalog.FACT_DATE_KEY[name])
+        return self._facts[name]
+
+    def exists(self, name: str) -> bool:
+        if name in catalog.FACT_DATE_KEY:
+            return self.fact(name).exists()
+        return bool(versions(self.spark, self.table_path(name)))
+
     def read(self, name: str) -> DataFrame:
-        return scan_table(self.spark, self.table_path(name))
+        if name in catalog.FACT_DATE_KEY:
+            return self.fact(name).read()
+        return scan_published(self.spark, self.table_path(name))
 
-    def write(self, name: str, df: DataFrame, conform: bool = True) -> DataFrame:
-        """Replace one table.  ``df`` must not read that same table.
+    def write(self, name: str, df: DataFrame, conform: bool = True, number: str | None = None) -> DataFrame:
+        """Replace one table; ``df`` may read the version before.
 
-        Without ``conform`` the columns and types of ``df`` are stored as they are.
+        Without ``conform`` the columns and types of ``df`` are stored as they are.  ``number`` names
+        the key by which the rows of a fact are numbered.
         """
         rows = catalog.conform(df, name) if conform else df
-        by: list[str] = []
         if name in catalog.FACT_DATE_KEY:
-            key = F.col(catalog.FACT_DATE_KEY[name])
-            rows, by = rows.withColumn(MONTH, (key / 100).cast("int")), [MONTH]
-        sink_overwrite(rows, self.table_path(name), by)
+            return self.fact(name).replace(rows, number)
+        known = versions(self.spark, self.table_path(name))
+        publish(rows, self.table_path(name), known[-1][0] + 1 if known else 1)
         return self.read(name)
 
+    def merge(
+        self,
+        name: str,
+        df: DataFrame,
+        keys: Sequence[str],
+        number: str,
+        updates: Sequence[str] = (),
+        everywhere: bool = False,
+    ) -> DataFrame:
+        """Add to a fact the rows whose key it lacks; see ``MonthlyTable.merge``."""
+        return self.fact(name).merge(catalog.conform(df, name), keys, number, updates, everywhere)
+
     def month(self, name: str, year: int, month: int) -> DataFrame:
         """One month of a fact: a partition filter, so other months are not read."""
         return self.read(name).where(F.col(MONTH) == year * 100 + month)
 
+    def keys(self, dim: str) -> KeyMap:
+        """The key map of dim_customer, dim_product or dim_seller."""
+        entity = dim.removeprefix("dim_")
+        return KeyMap(self.spark, f"{self.path}/keys/{entity}", f"{entity}_id", f"{entity}_key")
+
+
+DECLARED = ["status_key", "approved_date_key", "delivered_date_key", "estimated_delivery_date_key", "unique_sellers"]
+
 
 def bulk_load(
     spark: SparkSession,
@@ -62,18 +96,53 @@ def bulk_load(
     test: Mapping[str, Any] = dims.COUPON_TEST,
     calendar: tuple[dt.date, dt.date] | None = None,
 ) -> Warehouse:
-    """Build and store the whole star.  ``calendar`` overrides the range of dates in the facts."""
-    wh = Warehouse(spark, path)
-    customers, orders, items = tables["customers"], tables["orders"], tables["order_items"]
+    """Build and store the whole star, in an empty folder.  ``calendar`` overrides the range of dates in the facts."""
+    return load_batch(Warehouse(spark, path), tables, run_ts, test=test, calendar=calendar)
+
+
+def load_batch(
+    wh: Warehouse,
+    tables: Mapping[str, DataFrame],
+    run_ts: dt.datetime,
+    since: dt.date | None = None,
+    until: dt.date | None = None,
+    test: Mapping[str, Any] = dims.COUPON_TEST,
+    calendar: tuple[dt.date, dt.date] | None = None,
+) -> Warehouse:
+    """Load the orders bought from ``since`` on and before ``until``, and what belongs to them.
+
+    ``tables`` are the whole operational tables (of orders, those up to the last one of the batch are
+    enough).  Dimensions refresh; facts get the rows that they lack and orders their later dates, in the
+    months that the batch touches.  Loading a batch again, or one that overlaps others, adds nothing.
+    Identifiers are stored as strings.
+    """
+    spark = wh.spark
+    bought = F.col(facts.BOUGHT)
+    orders = tables["orders"]
+    if until is not None:
+        orders = orders.where(bought < F.lit(until).cast("timestamp_ntz"))
+    first = key_of(since) if since is not None else 0
+    customers, items = tables["customers"], tables["order_items"]
     payments, reviews = tables["order_payments"], tables["order_reviews"]
-    stamp = F.lit(run_ts).cast("timestamp_ntz")
+    stamp = F.lit(run_ts).cast("timestamp_ntz").alias("created_at")
+
+    def stored(name: str) -> DataFrame | None:
+        return wh.read(name) if wh.exists(name) else None
+
+    def dim(name: str, build, source: DataFrame, *more: DataFrame) -> DataFrame:
+        keys, target = wh.keys(name).extend(source), stored(name)
+        if target is not None:
+            # the stored identifier is a string
+            natural = wh.keys(name).natural[0]
+            target = target.withColumn(natural, F.col(natural).cast(source.schema[natural].dataType))
+        return wh.write(name, build(source, *more, target=target, run_ts=run_ts, keys=keys))
 
     bounds = dims.date_bounds(spark, *calendar) if calendar else dims.date_range(orders, reviews)
-    wh.write("dim_date", dims.build_dim_date(bounds, run_ts=run_ts))
-    wh.write("dim_order_status", dims.build_dim_order_status(spark))
-    customer = wh.write("dim_customer", dims.build_dim_customer(customers, orders, payments, run_ts=run_ts))
-    product = wh.write("dim_product", dims.build_dim_product(tables["products"], run_ts=run_ts))
-    seller = wh.write("dim_seller", dims.build_dim_seller(tables["sellers"], items, orders, run_ts=run_ts))
+    wh.write("dim_date", dims.build_dim_date(bounds, stored("dim_date"), run_ts=run_ts))
+    statuses = wh.write("dim_order_status", dims.build_dim_order_status(spark))
+    customer = dim("dim_customer", dims.build_dim_customer, customers, orders, payments)
+    product = dim("dim_product", dims.build_dim_product, tables["products"])
+    seller = dim("dim_seller", dims.build_dim_seller, tables["sellers"], items, orders)
 
     # stored identifiers are strings; the facts join on them as such
     def text_ids(df: DataFrame, *names: str) -> DataFrame:
@@ -83,19 +152,34 @@ def bulk_load(
     items_t = text_ids(items, "order_id", "product_id", "seller_id")
     payments_t = text_ids(payments, "order_id")
     reviews_t = text_ids(reviews, "order_id", "review_id")
-
-    sales = facts.build_fact_sales(items_t, orders_t, customer, product, seller)
-    sales = wh.write("fact_sales", row_key(sales.withColumn("created_at", stamp), "sale_key"))
-    fact_orders = facts.build_fact_orders(orders_t, items_t, customer).withColumn("created_at", stamp)
-    wh.write("fact_orders", surrogate_key(fact_orders, "order_id", "order_key"))
-    paid = facts.build_fact_payments(payments_t, orders_t, customer).withColumn("created_at", stamp)
-    wh.write("fact_payments", row_key(paid, "payment_key"))
+    batch = orders_t.where(bought >= F.lit(since).cast("timestamp_ntz")) if since is not None else orders_t
+
+    # whether an order is a customer's first is a matter of all orders, so sales are cut by date afterwards
+    sales = facts.build_fact_sales(items_t, orders_t, customer, product, seller).where(F.col("order_date_key") >= first)
+    sales = wh.merge("fact_sales", sales.withColumn("created_at", stamp), ["order_id", "order_item_id"], "sale_key")
+
+    fact_orders = facts.build_fact_orders(batch, items_t, customer).withColumn("created_at", stamp)
+    declared: list[str] = []
+    if {"order_approved_at", "order_delivered_customer_date", "order_estimated_delivery_date"} <= set(orders.columns):
+        declared = DECLARED
+        later = facts.order_declared_measures(batch, items_t, statuses)
+        fact_orders = fact_orders.join(later.select("order_id", *declared), "order_id", "left")
+    wh.merge("fact_orders", fact_orders, ["order_id"], "order_key", updates=declared)
+
+    paid = facts.build_fact_payments(payments_t, batch, customer).withColumn("created_at", stamp)
+    wh.merge("fact_payments", paid, ["order_id", "payment_sequential"], "payment_key")
+    # a review may come long after its order, so all of them are looked at
     reviewed = facts.build_fact_reviews(reviews_t, orders_t, items_t, customer, product, seller)
-    wh.write("fact_reviews", row_key(reviewed.withColumn("created_at", stamp), "review_key"))
+    reviewed = wh.merge("fact_reviews", reviewed.withColumn("created_at", stamp), ["review_id", "order_id"], "review_key")
+    ratings = dims.seller_avg_rating(reviewed)
+    seller = wh.write("dim_seller", seller.drop("avg_rating").join(ratings, "seller_key", "left"))
 
-    tests, variants = dims.build_ab_dims(spark, test, start_date=run_ts.date(), run_ts=run_ts)
+    targets = (stored("dim_ab_test"), stored("dim_test_variant"))
+    target = targets if targets[0] is not None else None
+    tests, variants = dims.build_ab_dims(spark, test, start_date=run_ts.date(), run_ts=run_ts, target=target)
     tests, variants = wh.write("dim_ab_test", tests), wh.write("dim_test_variant", variants)
     last_day = dims.purchase_range(orders).select("end_date").scalar()
-    events = exposure_events(customer, sales, tests, variants, last_day, test["test_id"])
-    wh.write("fact_ab_test_events", row_key(events.withColumn("created_at", stamp), "event_key"))
+    events = exposure_events(customer, sales, tests, variants, last_day, test["test_id"]).withColumn("created_at", stamp)
+    # a customer is exposed to a test once, in the month of the load that saw them first
+    wh.merge("fact_ab_test_events", events, ["customer_key", "test_key"], "event_key", everywhere=True)
     return wh

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tillwork.session import work_path
 
 def scan_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Header CSV into a typed table.  The schema is given, so there is no inference pass.
@@ -55,7 +56,14 @@ def scan_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def _versions(spark: SparkSession, path: str) -> list[tuple[int, str]]:
+def keep(df: DataFrame, label: str) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back: it is evaluated once, and its plan ends here."""
+    path = work_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def versions(spark: SparkSession, path: str, prefix: str = "v=") -> list[tuple[int, str]]:
     """Numbers and folders of the whole versions below ``path``, oldest first."""
     jvm = spark.sparkContext._jvm
     root = jvm.org.apache.hadoop.fs.Path(path)
@@ -63,34 +71,38 @@ def _versions(spark: SparkSession, path: str) -> list[tuple[int, str]]:
     if not fs.exists(root):
         return []
     folders = [s.getPath() for s in fs.listStatus(root)]
-    whole = [f for f in folders if f.getName().startswith("v=") and fs.exists(jvm.org.apache.hadoop.fs.Path(f, "_SUCCESS"))]
-    return sorted((int(f.getName()[2:]), f.toString()) for f in whole)
+    whole = [f for f in folders if f.getName().startswith(prefix) and fs.exists(jvm.org.apache.hadoop.fs.Path(f, "_SUCCESS"))]
+    return sorted((int(f.getName().removeprefix(prefix)), f.toString()) for f in whole)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
-def publish(df: DataFrame, path: str, version: int, keep: int = 2) -> str:
+def publish(df: DataFrame, path: str, version: int, keep: int | None = 2) -> str:
     """Write ``df`` as a version of the table at ``path``; a version that is whole stays as it is.
 
     Readers take the newest whole version, so they never see a part of one.
-    The ``keep`` newest stay for readers that are still at work.
+    The ``keep`` newest stay for readers that are still at work, all if None.
     """
     spark = df.sparkSession
-    if version in dict(_versions(spark, path)):
+    if version in dict(versions(spark, path)):
         # a stream's batch has to run for its state to be kept
         df.write.format("noop").mode("overwrite").save()
     else:
         sink_overwrite(df, f"{path}/v={version}")
-    for _, old in _versions(spark, path)[:-keep]:
-        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(old)
-        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+    for _, old in versions(spark, path)[:-keep] if keep else []:
+        delete(spark, old)
     return path
 
 
 def scan_published(spark: SparkSession, path: str) -> DataFrame:
     """The newest whole version of a published table."""
-    versions = _versions(spark, path)
-    if not versions:
+    whole = versions(spark, path)
+    if not whole:
         raise FileNotFoundError(f"no whole version of {path}")
-    return spark.read.parquet(versions[-1][1])
+    return spark.read.parquet(whole[-1][1])
 
 
 def scan_sql(spark: SparkSession, query: str, args: dict[str, Any], **tables: DataFrame) -> DataFrame:

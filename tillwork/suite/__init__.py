@@ -5,6 +5,7 @@ from tillwork.suite import (  # noqa: F401
     experiments,
     functions,
     joins_aggs,
+    loads,
     quality,
     reports,
     streams,
