@@ -1,10 +1,11 @@
 import datetime as dt
 from decimal import Decimal
-from math import prod
+from math import asin, lgamma, exp, pi, prod, sin, sqrt
 
 import pytest
 from pyspark.sql import functions as F
 
+from tillwork.functions import beta
 from tillwork.operators import bayes, experiment
 from tillwork.plans import dims
 from tillwork.suite.joins_aggs import two_tests
@@ -35,6 +36,10 @@ def pair(spark, a1, b1, a2, b2):
         ((1, 1, 10**9, 10**9), 0.5),
         ((3_000_000, 1, 1, 1), 1 / 3_000_001),
         ((1.5, 10.5, 2.9, 9.9), 0.76972134),
+        ((0.5, 0.5, 0.5, 0.5), 0.5),
+        ((0.01, 0.01, 0.01, 0.01), 0.5),
+        ((10**9, 10**9, 10**9, 10**9), 0.5),
+        ((0.5, 0.5, 10**9, 2 * 10**9), 2 / pi * asin(sqrt(1 / 3))),
     ],
 )
 def test_probability(spark, params, want):
@@ -42,6 +47,38 @@ def test_probability(spark, params, want):
     assert exact == pytest.approx(want, abs=1e-8)
 
 
+def test_probability_of_any_sizes(spark):
+    """Against a control of Beta(k, 1): the mean of x**k, in closed form."""
+    sizes = (0.5, 1.0, 3.7, 40.0, 1e3, 1e6, 1e9)
+    cases = [(k, a, b) for k in (1, 2, 7) for a in sizes for b in sizes]
+    rows = [(str(i), DAY, "A", True, float(k), 1.0) for i, (k, _, _) in enumerate(cases)]
+    rows += [(str(i), DAY, "B", False, a, b) for i, (_, a, b) in enumerate(cases)]
+    df = spark.createDataFrame(rows, "test_id string, period_date date, variant_id string, is_control boolean, alpha_value double, beta_value double")
+    got = {int(r.test_id): r.prob_treatment_better for r in bayes.prob_b_beats_a(df).collect()}
+    for i, (k, a, b) in enumerate(cases):
+        assert got[i] == pytest.approx(prod((a + j) / (a + b + j) for j in range(k)), abs=1e-9)
+
+
+def test_cdf_and_quantiles(spark):
+    """Closed forms: powers, the arcsine law, whole parameters, and each the inverse of the other."""
+    shares = [0.001, 0.025, 0.3, 0.5, 0.975, 0.9999]
+    cases = [(0.5, 0.5), (1.0, 1.0), (2.5, 1.0), (1.0, 7e5), (3.0, 4.0), (0.1, 30.0), (27074.0, 22484.0), (1e9, 5e8), (1e6, 0.7)]
+    df = spark.createDataFrame(cases, "a double, b double").withColumn("x", beta.quantiles(shares, F.col("a"), F.col("b")))
+    back = df.withColumn("p", F.array(*[beta.cdf(F.col("x")[i], F.col("a"), F.col("b")) for i in range(len(shares))]))
+    exact = {
+        (0.5, 0.5): lambda x: 2 / pi * asin(sqrt(x)), (1.0, 1.0): lambda x: x, (2.5, 1.0): lambda x: x**2.5,
+        (1.0, 7e5): lambda x: 1 - (1 - x) ** 7e5,
+        (3.0, 4.0): lambda x: sum(exp(lgamma(7) - lgamma(j + 1) - lgamma(7 - j)) * x**j * (1 - x) ** (6 - j) for j in range(3, 7)),
+    }
+    for r in back.collect():
+        assert r.p == pytest.approx(shares, abs=1e-9) or r.a == 1e6
+        if (r.a, r.b) in exact:
+            assert [exact[r.a, r.b](x) for x in r.x] == pytest.approx(shares, abs=1e-9)
+    assert dict(((r.a, r.b), r.x[1]) for r in back.collect())[0.5, 0.5] == pytest.approx(sin(pi * 0.0125) ** 2, abs=1e-12)
+    ends = spark.range(1).select(beta.cdf(F.lit(0.0), F.lit(2.0), F.lit(3.0)), beta.cdf(F.lit(1.0), F.lit(2.0), F.lit(3.0))).first()
+    assert tuple(ends) == (0.0, 1.0)
+
+
 def test_a_table_size_does_not_change_the_decision(spark):
     row = bayes.prob_b_beats_a(pair(spark, 1.0, 1_000_100.0, 5.0, 1_000_100.0))
     assert row.select(bayes.decide(F.col("prob_treatment_better")).alias("d")).first().d == "significant"

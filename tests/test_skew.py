@@ -28,6 +28,37 @@ def test_rank_of_a_hot_customer(hot_orders):
     assert got.join(want, "order_id").where("r <> want").count() == 0
 
 
+def test_orders_without_a_time_are_spread(spark):
+    """One customer with all orders, none of them with a time: ranked in ranges, none of which is large."""
+    off = {"spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    for k, v in off.items():
+        spark.conf.set(k, v)
+    try:
+        none = F.lit(None).cast("timestamp_ntz")
+        orders = spark.range(40_000).select(F.lit(7).alias("c"), F.col("id").alias("o"), none.alias("ts")).repartition(5)
+        ranged = windows._ranges(orders, ["c", F.asc_nulls_last("ts"), "o"])
+        sizes = [r["count"] for r in ranged.groupBy("__part").count().collect()]
+        assert len(sizes) == 8 and max(sizes) < 2 * 40_000 / 8
+        got = windows.order_rank(orders, "c", "ts", "o", "r")
+        assert got.where("r <> o + 1").count() == 0 and got.count() == 40_000
+        nulls = windows.running_number(orders.select(F.lit(None).cast("int").alias("k"), "o"), ["k"], ["o"], "r")
+        assert nulls.where("r = o + 1").count() == 40_000
+    finally:
+        for k in off:
+            spark.conf.unset(k)
+
+
+def test_one_row_many_times(spark, monkeypatch):
+    """A table that is one row over and over: counted, and its repeats laid out in pieces."""
+    monkeypatch.setattr(windows, "COPIES", 1000)
+    df = spark.range(50_000).select(F.lit(1).alias("k"), F.lit("v").alias("v"), F.lit(None).cast("int").alias("n"))
+    got = windows.dupe_rows(df, ["k"], ["v"])
+    assert got.count() == 49_999 and got.distinct().count() == 1
+    per_task = got.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+    assert per_task < 25_000
+    assert windows.dupe_rows(df.limit(1), ["k"], ["v"]).count() == 0
+
+
 def test_first_orders_equal_rank_one(hot_orders):
     first = windows.first_orders(hot_orders, "customer_id", "ts", "order_id")
     ranked = windows.order_rank(hot_orders, "customer_id", "ts", "order_id", "r").where("r = 1")

@@ -7,8 +7,9 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tillwork.functions import beta
 from tillwork.functions.dates import key_of
-from tillwork.functions.scalars import beta_mean, beta_std, beta_var, let, rate_pct
+from tillwork.functions.scalars import beta_mean, beta_std, beta_var, rate_pct
 from tillwork.operators.experiment import key_of_test
 from tillwork.operators.joins import join_test_variant
 from tillwork.operators.merge import lacking_keys, merge_upsert
@@ -40,6 +41,7 @@ def _prior_rows(
     """(variant_key, data_points, conversions) to rows of the store with their moments."""
     a = F.lit(1.0) + F.col("conversions")
     b = F.lit(1.0) + (F.col("data_points") - F.col("conversions"))
+    # fixed values: the sentence that the store keeps
     text = F.concat(
         F.lit("Historical prior from "), F.col("data_points").cast("string"), F.lit(" users, "),
         F.col("conversions").cast("string"), F.lit(f" conversions up to {cutoff.isoformat()}"),
@@ -270,64 +272,12 @@ def chain_as_store(chain: DataFrame, run_ts: dt.datetime | None = None) -> DataF
 
 # -- decisions ----------------------------------------------------------------
 
-def _softplus(t: Column) -> Column:
-    return F.greatest(t, F.lit(0.0)) + F.log1p(F.exp(-F.abs(t)))
 
-
-def _log_density(a: Column, b: Column, t: Column) -> Column:
-    """Of log(x / (1 - x)) for x from Beta(a, b), up to a constant; smooth for all parameters."""
-    return -a * _softplus(-t) - b * _softplus(t)
-
-
-def _breaks(a: Column, b: Column, cells: int) -> Column:
-    """Equal steps over all but a vanishing part of the distribution."""
-    mode, spread = F.log(a / b), F.sqrt(1.0 / a + 1.0 / b)
-    low, high = mode - 10.0 * spread - 40.0 / a, mode + 10.0 * spread + 40.0 / b
-    return F.transform(F.sequence(F.lit(0), F.lit(cells)), lambda i: low + (high - low) * i / float(cells))
-
-
-def _prob_above(a1: Column, b1: Column, a2: Column, b2: Column, cells: int) -> Column:
-    """P(Beta(a2, b2) > Beta(a1, b1)) by cells that both distributions share.
-
-    The cells come from the steps of both, so each is resolved where it lives.  Within a cell both
-    densities count as straight lines.
-    """
-
-    def mass(a: Column, b: Column, lo: Column, hi: Column) -> tuple[Column, Column]:
-        top = _log_density(a, b, F.log(a / b))
-        left, mid, right = (F.exp(_log_density(a, b, t) - top) for t in (lo, (lo + hi) / 2.0, hi))
-        mean = (left + 4.0 * mid + right) / 6.0
-        slope = F.coalesce((right - left) / F.nullif(mean, F.lit(0.0)), F.lit(0.0))
-        return mean * (hi - lo), slope
-
-    def weighed(points: Column) -> Column:
-        def cell(i: Column) -> Column:
-            lo, hi = F.get(points, i - 1), F.get(points, i)
-            (m1, s1), (m2, s2) = mass(a1, b1, lo, hi), mass(a2, b2, lo, hi)
-            # where one density nearly vanishes its slope says nothing
-            tilt = F.greatest(F.lit(-6.0), F.least(F.lit(6.0), s2 - s1)) / 12.0
-            return F.struct(m1.alias("m1"), m2.alias("m2"), tilt.alias("tilt"))
-
-        return F.transform(F.sequence(F.lit(1), F.size(points) - 1), cell)
-
-    def add(state: Column, c: Column) -> Column:
-        return F.struct(
-            (state.below + c.m1).alias("below"),
-            (state.total + c.m2).alias("total"),
-            (state.wins + c.m2 * (state.below + c.m1 * (0.5 + c.tilt))).alias("wins"),
-        )
-
-    start = F.struct(F.lit(0.0).alias("below"), F.lit(0.0).alias("total"), F.lit(0.0).alias("wins"))
-    both = F.array_sort(F.concat(_breaks(a1, b1, cells), _breaks(a2, b2, cells)))
-    return let(both, lambda points: F.aggregate(weighed(points), start, add, lambda s: s.wins / (s.below * s.total)))
-
-
-def prob_b_beats_a(posteriors: DataFrame, cells: int = 4000) -> DataFrame:
+def prob_b_beats_a(posteriors: DataFrame) -> DataFrame:
     """Probability that each treatment beats the control of its test and period.
 
     Expects test_id, period_date, variant_id, is_control, alpha_value and beta_value; any positive
-    parameters, whole or not, of any size.  One method answers for all: ``cells`` steps over each
-    distribution.  Invalid parameters give NULL.
+    parameters, whole or not, of any size.  Invalid parameters give NULL.
     """
     key = ["test_id", "period_date"]
     value = {"a": F.col("alpha_value").cast("double"), "b": F.col("beta_value").cast("double")}
@@ -342,7 +292,7 @@ def prob_b_beats_a(posteriors: DataFrame, cells: int = 4000) -> DataFrame:
         *[v.alias(f"{n}2") for n, v in value.items()],
     )
     params = [F.col(c) for c in ("a1", "b1", "a2", "b2")]
-    probability = F.when(F.least(*params) > 0, _prob_above(*params, cells))
+    probability = F.when(F.least(*params) > 0, beta.prob_greater(*params))
     return control.join(treatment, key).select(
         *key, "control_id", "treatment_id", probability.alias("prob_treatment_better")
     )
@@ -352,51 +302,16 @@ def decide(p: Column, level: float = 0.95) -> Column:
     return F.when(p.isNull(), "invalid").when(p > level, "significant").otherwise("not significant")
 
 
-def credible_interval(posteriors: DataFrame, level: float = 0.95, grid: int = 4000) -> DataFrame:
-    """Equal-tailed interval of each rate, by summing the density over a grid.
+def credible_interval(posteriors: DataFrame, level: float = 0.95) -> DataFrame:
+    """Equal-tailed interval of each rate.
 
-    The grid has ``grid`` cells over eight standard deviations either side of
-    the mean, within (0, 1); it is an array on the row, so nothing is shuffled.
     Adds ``ci_low`` and ``ci_high``, NULL for invalid parameters.
     """
     tail = (1.0 - level) / 2.0
-    columns = posteriors.columns
-    sized = (
-        posteriors.withColumn("__a", F.col("alpha_value").cast("double"))
-        .withColumn("__b", F.col("beta_value").cast("double"))
-        .withColumn("__ok", (F.col("__a") > 0) & (F.col("__b") > 0))
-        .withColumn("__m", F.when(F.col("__ok"), beta_mean(F.col("__a"), F.col("__b"))))
-        .withColumn("__sd", F.when(F.col("__ok"), beta_std(F.col("__a"), F.col("__b"))))
-        .withColumn("__lo", F.greatest(F.col("__m") - 8.0 * F.col("__sd"), F.lit(0.0)))
-        .withColumn("__hi", F.least(F.col("__m") + 8.0 * F.col("__sd"), F.lit(1.0)))
-    )
-    step = (F.col("__hi") - F.col("__lo")) / F.lit(float(grid))
-
-    def cell(i: Column) -> Column:
-        x = F.col("__lo") + (i.cast("double") - 0.5) * step
-        log_density = (F.col("__a") - 1.0) * F.log(x) + (F.col("__b") - 1.0) * F.log(1.0 - x)
-        return F.struct(x.alias("x"), log_density.alias("l"))
-
-    cells = sized.withColumn(
-        "__cells", F.when(F.col("__ok"), F.transform(F.sequence(F.lit(1), F.lit(grid)), cell))
-    )
-    peaked = cells.withColumn("__peak", F.array_max(F.transform("__cells", lambda c: c.l)))
-    summed = peaked.withColumn(
-        "__total",
-        F.aggregate("__cells", F.lit(0.0), lambda acc, c: acc + F.exp(c.l - F.col("__peak"))),
-    )
-    nothing = F.lit(None).cast("double")
-
-    def walk(state: Column, c: Column) -> Column:
-        mass = state.mass + F.exp(c.l - F.col("__peak"))
-        share = mass / F.col("__total")
-        low = F.when(state.low.isNull() & (share >= tail), c.x).otherwise(state.low)
-        high = F.when(state.high.isNull() & (share >= 1.0 - tail), c.x).otherwise(state.high)
-        return F.struct(mass.alias("mass"), low.alias("low"), high.alias("high"))
-
-    start = F.struct(F.lit(0.0).alias("mass"), nothing.alias("low"), nothing.alias("high"))
-    found = summed.withColumn("__ci", F.aggregate("__cells", start, walk))
-    return found.select(*columns, F.col("__ci.low").alias("ci_low"), F.col("__ci.high").alias("ci_high"))
+    a, b = F.col("alpha_value").cast("double"), F.col("beta_value").cast("double")
+    both = F.when(F.least(a, b) > 0, beta.quantiles([tail, 1.0 - tail], a, b))
+    found = posteriors.withColumn("__ci", both)
+    return found.select(*posteriors.columns, F.col("__ci")[0].alias("ci_low"), F.col("__ci")[1].alias("ci_high"))
 
 
 # -- report rows --------------------------------------------------------------

@@ -371,20 +371,21 @@ def bayes_decision(r):
 
 @query(
     "bayes_credible_interval",
+    # whole parameters: P(Beta(a, b) <= x) is that of a or more successes in a + b - 1 trials; halved 30 times
     oracle("""
-    WITH sized AS (
-        SELECT variant_id, period_date, a, b, greatest(m - 8 * sd, 0.0::DOUBLE) AS lo, least(m + 8 * sd, 1.0::DOUBLE) AS hi
-        FROM (SELECT variant_id, period_date, a, b, a / (a + b) AS m, sqrt(a * b / ((a + b) * (a + b) * (a + b + 1))) AS sd
-              FROM (SELECT variant_id, period_date, CAST(alpha_value AS DOUBLE) AS a, CAST(beta_value AS DOUBLE) AS b
-                    FROM store WHERE value_type = 'posterior'))),
-    points AS (SELECT *, lo + (i - 0.5::DOUBLE) * ((hi - lo) / 4000.0::DOUBLE) AS x
-               FROM sized, (SELECT unnest(range(1, 4001)) AS i)),
-    logs AS (SELECT *, (a - 1) * ln(x) + (b - 1) * ln(1 - x) AS l FROM points),
-    mass AS (SELECT *, exp(l - max(l) OVER (PARTITION BY variant_id, period_date)) AS w FROM logs),
-    shares AS (SELECT *, sum(w) OVER (PARTITION BY variant_id, period_date ORDER BY i)
-                         / sum(w) OVER (PARTITION BY variant_id, period_date) AS share FROM mass)
-    SELECT variant_id, period_date, round(min(x) FILTER (WHERE share >= 0.025), 4) AS ci_low,
-           round(min(x) FILTER (WHERE share >= 0.975), 4) AS ci_high FROM shares GROUP BY 1, 2"""),
+    WITH RECURSIVE wanted AS (
+        SELECT variant_id, period_date, CAST(alpha_value AS BIGINT) AS a, CAST(alpha_value + beta_value - 1 AS BIGINT) AS n, share
+        FROM store, (VALUES (0.025::DOUBLE), (0.975::DOUBLE)) AS t(share) WHERE value_type = 'posterior'),
+    halved AS (
+        SELECT *, 0 AS step, 0.0::DOUBLE AS lo, 1.0::DOUBLE AS hi FROM wanted
+        UNION ALL
+        SELECT variant_id, period_date, a, n, share, step + 1, CASE WHEN p < share THEN x ELSE lo END, CASE WHEN p < share THEN hi ELSE x END
+        FROM (SELECT *, list_sum(list_transform(range(a, n + 1), lambda j: exp(lgamma(n + 1) - lgamma(j + 1) - lgamma(n - j + 1)
+                                 + j * ln(x) + (n - j) * ln(1 - x)))) AS p
+              FROM (SELECT *, (lo + hi) / 2 AS x FROM halved WHERE step < 30)))
+    SELECT variant_id, period_date, round(max(lo) FILTER (WHERE share < 0.5), 4) AS ci_low,
+           round(max(lo) FILTER (WHERE share > 0.5), 4) AS ci_high
+    FROM halved WHERE step = 30 GROUP BY 1, 2"""),
 )
 def bayes_credible_interval(r):
     rows = bayes.credible_interval(posteriors(r))

@@ -217,6 +217,8 @@ def oracle(body: str, replace: dict[str, str] | None = None) -> str:
         return body
     ctes = ",\n".join(f"{name} AS ({parts[name].strip()})" for name in wanted)
     body = body.strip()
+    if body.startswith("WITH RECURSIVE "):
+        return f"WITH RECURSIVE {ctes},\n{body.removeprefix('WITH RECURSIVE ')}"
     if body.startswith("WITH "):
         return f"WITH {ctes},\n{body.removeprefix('WITH ')}"
     return f"WITH {ctes}\n{body}"
