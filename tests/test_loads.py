@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tillwork import catalog
-from tillwork.operators import bayes
+from tillwork.operators import bayes, quality
 from tillwork.operators.keymap import KeyMap
 from tillwork.plans import dims
 from tillwork.session import work_path
@@ -151,3 +151,15 @@ def test_repeated_rows_of_a_new_key_all_come_in(spark, sales):
     sales.merge(spark.createDataFrame([(None, "q", 20200105, 1)] * 3 + [(None, "a", 20200105, 1)], SCHEMA), ["order_id"], "k")
     assert [r[0] for r in content(sales)] == ["a", "b", "c", "n", "q", "q", "q"]
     assert sales.read().agg(F.count_distinct("k")).first()[0] == 7
+
+
+def test_a_table_is_read_once_for_all_its_checks(spark):
+    """Every table of the star is scanned once, and there is one aggregation of values."""
+    tables = {}
+    for name, schema in catalog.ANALYTICS.items():
+        path = work_path(spark, "star-table")
+        spark.createDataFrame([], schema).write.parquet(path)
+        tables[name] = spark.read.parquet(path)
+    report = quality.star_report(tables)
+    assert plan_of(report).count("Relation [") == len(tables) == 13
+    assert report.where("not passed").count() == 0 and report.count() > 60

@@ -180,20 +180,54 @@ def quality_report(
 
 
 def star_report(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """Declared constraints of every star table given: required columns, keys, references."""
-    parts = []
-    for name, df in tables.items():
-        required = catalog.required_columns(name)
-        if required:
-            parts.append(check_not_null(df, required, name))
-        for keys in catalog.UNIQUE_KEYS.get(name, []):
-            parts.append(check_unique(df, keys, f"unique:{name}({','.join(keys)})"))
+    """Declared constraints of every star table given: required columns, keys, references.
+
+    Each table is read once, however many constraints it has: a row becomes a (check, value) for each
+    key, each reference, each time it is referred to and each required column that it lacks.  These are
+    counted in one aggregation, which combines map-side, so a value that very many rows share is a row
+    a task; the counts settle all checks.
+    """
+    names: list[str] = []
+    parts: dict[str, list[Column]] = {name: [] for name in tables}
+    unique, references = [], []
+
+    def add(name: str) -> int:
+        names.append(name)
+        return len(names) - 1
+
+    def item(check: int, value: Column, child: int, parent: int, when: Column) -> Column:
+        fields = {"check": F.lit(check), "value": value.cast("string"), "child": F.lit(child), "parent": F.lit(parent)}
+        return F.when(when, F.struct(*[c.alias(n) for n, c in fields.items()]))
+
+    for table in tables:
+        for c in catalog.required_columns(table):
+            parts[table].append(item(add(f"not_null:{table}.{c}"), F.lit(None), 1, 0, F.col(c).isNull()))
+        for keys in catalog.UNIQUE_KEYS.get(table, []):
+            unique.append(add(f"unique:{table}({','.join(keys)})"))
+            value = F.to_json(F.array(*[F.col(k).cast("string") for k in keys])) if len(keys) > 1 else F.col(keys[0])
+            parts[table].append(item(unique[-1], value, 1, 0, ~any_null(keys)))
     for child, fk, parent, pk in catalog.FOREIGN_KEYS:
         if child in tables and parent in tables:
-            parts.append(
-                check_fk(tables[child], fk, tables[parent], pk, f"fk:{child}.{fk}", nulls_allowed=True)
-            )
-    return _union(parts)
+            references.append(add(f"fk:{child}.{fk}"))
+            parts[child].append(item(references[-1], F.col(fk), 1, 0, F.col(fk).isNotNull()))
+            parts[parent].append(item(references[-1], F.col(pk), 0, 1, F.col(pk).isNotNull()))
+
+    rows = [tables[t].select(F.inline(F.array_compact(F.array(*p)))) for t, p in parts.items() if p]
+    counted = reduce(DataFrame.unionByName, rows).groupBy("check", "value").agg(
+        F.sum("child").alias("child"), F.sum("parent").alias("parent")
+    )
+    is_unique, is_reference = F.col("check").isin(unique), F.col("check").isin(references)
+    found = (
+        F.when(is_unique, (F.col("child") > 1).cast("bigint"))
+        .when(is_reference, F.when(F.col("parent") == 0, F.col("child")).otherwise(0))
+        .otherwise(F.col("child"))
+    )
+    sums = counted.groupBy("check").agg(F.sum(found).alias("v"))
+    listed = sums.sparkSession.createDataFrame(list(enumerate(names)), "check int, check_name string")
+    violations = F.coalesce("v", F.lit(0)).cast("bigint")
+    return listed.join(sums, "check", "left").select(
+        "check_name", F.lit(FAIL).alias("severity"), violations.alias("violations"), (violations == 0).alias("passed")
+    )
 
 
 def enforce(report: DataFrame) -> list[tuple[str, int]]:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillwork import catalog
+from tillwork.operators.quality import star_report
 from tillwork.plans import dims
 from tillwork.plans.monthly import MonthResult, run_month
 from tillwork.plans.warehouse import Warehouse, bulk_load, load_batch
@@ -275,3 +276,47 @@ def run_month_store(r):
 )
 def run_month_summary(r):
     return last_month(r).summary.select("total_orders", "total_line_items", "total_revenue", "avg_order_value")
+
+
+def _names() -> list[str]:
+    """Every declared constraint of the 13 tables."""
+    out = [f"not_null:{t}.{c}" for t in catalog.ANALYTICS for c in catalog.required_columns(t)]
+    out += [f"unique:{t}({','.join(k)})" for t, keys in catalog.UNIQUE_KEYS.items() for k in keys]
+    return out + [f"fk:{child}.{fk}" for child, fk, _, _ in catalog.FOREIGN_KEYS]
+
+
+LOST = "customer_key % 7 = 0"
+OF_LOST = f"JOIN r_orders o ON x.order_id = o.order_id JOIN k_customer k ON o.customer_id = k.customer_id WHERE {LOST}"
+BROKEN = {
+    "fk:fact_sales.customer_key": f"SELECT count(*) FROM f_sales WHERE {LOST}",
+    "fk:fact_orders.customer_key": f"SELECT count(*) FROM r_orders o JOIN k_customer k ON o.customer_id = k.customer_id WHERE {LOST}",
+    "fk:fact_payments.customer_key": f"SELECT count(*) FROM r_payments x {OF_LOST}",
+    "fk:fact_reviews.customer_key": f"SELECT count(*) FROM f_reviews WHERE {LOST}",
+    "fk:fact_ab_test_events.customer_key": f"SELECT count(*) FROM events_x WHERE {LOST}",
+    "unique:dim_product(product_key)": "SELECT count(*) FROM k_product WHERE product_id % 5 = 0",
+    "unique:dim_product(product_id)": "SELECT count(*) FROM k_product WHERE product_id % 5 = 0",
+    "not_null:dim_seller.seller_id": "SELECT count(*) FROM k_seller WHERE seller_id % 3 = 0",
+}
+
+
+@query(
+    "dq_star_report_all",
+    oracle(
+        "\nUNION ALL\n".join(
+            f"SELECT '{name}' AS check_name, 'fail' AS severity, CAST(v AS BIGINT) AS violations, v = 0 AS passed "
+            f"FROM (SELECT ({BROKEN.get(name, 'SELECT 0')}) AS v)"
+            for name in _names()
+        )
+    ),
+)
+def dq_star_report_all(r):
+    """All 13 tables as loaded, but without some customers, with some products twice and some sellers without id."""
+    wh = loaded(r)
+    tables = {name: wh.read(name) for name in catalog.ANALYTICS if name != "bayesian_priors_store"}
+    products, sellers = tables["dim_product"], tables["dim_seller"]
+    tables["dim_customer"] = tables["dim_customer"].where("customer_key % 7 <> 0")
+    tables["dim_product"] = products.unionByName(products.where("cast(product_id as bigint) % 5 = 0"))
+    kept = F.when(F.col("seller_id").cast("bigint") % 3 != 0, F.col("seller_id"))
+    tables["dim_seller"] = sellers.withColumn("seller_id", kept)
+    tables["bayesian_priors_store"] = last_month(r).store
+    return star_report(tables)
