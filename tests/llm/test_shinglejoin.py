@@ -76,11 +76,11 @@ def test_brute_force(spark, seed):
     assert result(spark, rows) == want
 
 
-@pytest.mark.parametrize("paired, block", [(1, 3), (1000, 64)])
-def test_how_the_work_is_cut_does_not_change_the_result(spark, monkeypatch, paired, block):
-    """With nearly all groups as clusters in small blocks, and with none."""
+@pytest.mark.parametrize("paired, listed", [(1, -1), (1000, 10**9)])
+def test_how_the_work_is_cut_does_not_change_the_result(spark, monkeypatch, paired, listed):
+    """With nearly all shared tokens last and turns of leaders, and with neither."""
     monkeypatch.setattr(sj, "PAIRED", paired)
-    monkeypatch.setattr(sj, "BLOCK", block)
+    monkeypatch.setattr(sj, "LISTED", listed)
     rows = corpus(7)
     assert result(spark, rows) == brute(rows)
 
@@ -100,6 +100,30 @@ def test_many_near_copies(spark):
     assert result(spark, rows) == want
 
 
+def test_a_group_of_near_copies_lists_few_pairs(spark):
+    """Copies of one text at all distances: pairs listed stay in proportion to the rows."""
+    rng = random.Random(3)
+    words = [f"w{i}" for i in range(150)]
+    made = {}
+    for m in (200, 800):
+        rows = []
+        for i in range(m):
+            copy = list(words)
+            for _ in range(rng.randint(0, 12)):
+                copy[rng.randrange(150)] = f"x{rng.randrange(10**9)}"
+            rows.append((i, " ".join(copy)))
+        docs = frame(spark, rows)
+        first = sj.sets(docs)
+        crowds = sj.bit_filter(sj._token_counts(sj.F.col("tokens"), first).where(sj.F.col("m") > sj.PAIRED), "token")
+        late = sj.bit_filter(sj.crowded_tokens(docs, crowds), "token")
+        own = first.select(sj.F.col("doc_id").alias("node"), "n")
+        shared = sj.stored(sj.shared_tokens(sj.prefix_rows(docs, late), own), "test-shared")
+        pairs = sj.stored(sj.leader_pairs(sj.open_tokens(shared, None), 0), "test-pairs")
+        parts = components(sj.verified(pairs, sj.texts_of(docs, pairs)))
+        made[m] = pairs.count() + sj.listed_pairs(sj.open_tokens(shared, parts)).count()
+    assert made[800] < 8 * made[200] and made[800] < 8 * 800
+
+
 def test_edges(spark):
     long = " ".join(str(i) for i in range(60_000))
     rows = [(1, None), (2, ""), (3, " \n"), (4, "a"), (5, "A"), (6, "a b"), (7, "a  B"), (8, long), (9, long + " x"), (10, "é É"), (11, "É é")]
@@ -128,8 +152,11 @@ def test_prefixes_meet_under_every_order(full):
         if not len(b) or 100 * both < 90 * (len(a) + len(b) - both):
             continue
         for order in range(sj.ORDERS):
-            p, q = (sj.ordered_prefix(s, order, sj.prefix_length(len(s)), last) for s in (a, b))
-            assert set(p.tolist()) & set(q.tolist())
+            p, q = (sj.ordered_prefix(s, order, sj.prefix_length(len(s)), last).tolist() for s in (a, b))
+            assert set(p) & set(q)
+            # the first that they share leaves enough in both
+            i, j = next((i, q.index(t)) for i, t in enumerate(p) if t in q)
+            assert min(len(a) - i, len(b) - j) * 190 >= (len(a) + len(b)) * 90
 
 
 @pytest.mark.parametrize("seed", range(3))

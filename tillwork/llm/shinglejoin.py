@@ -1,17 +1,18 @@
 """Documents whose word-shingle sets are nearly equal: an exact Jaccard join and its components.
 
 Equal sets are one node.  Two nodes can only reach the threshold if they share a token among the
-first few of each, under any order of all tokens.  So candidates must share prefix tokens under
-several different orders: pairs of nodes are listed for the tokens of each order, and only pairs that
-every order lists are compared.  Orders are by hash at first; tokens that turn out to be in the
-prefixes of many then go last.  What still shares many tokens is near copies.  These form clusters,
-and a cluster is compared in blocks that report only the links that join something; its pairs are
-never listed.
+first few of each, under any order of all tokens, and so early in both that enough tokens are left.
+So candidates must share prefix tokens under several different orders: pairs of nodes are listed for
+the tokens of each order, and only pairs that every order lists are compared.  In every order the
+tokens that crowds of texts share go last, so that near copies too differ at the front if they differ
+enough.  What still meets in large groups is linked to leaders first: every node of a token is
+compared with one of them, and nodes that links join already are not listed as pairs.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache, partial, reduce
 from typing import NamedTuple
 
 import numpy as np
@@ -38,10 +39,10 @@ EXACT, STAGE = Rule(), Rule(5, 80, 100)
 FILTER_WORDS = 1 << 18
 #: different orders of the tokens
 ORDERS = 2
-#: tokens in the prefixes of more texts go last
+#: tokens of more texts go last
 PAIRED = 6
-#: nodes of a cluster that are compared together with as many others
-BLOCK = 64
+#: leaders are sought until no more pairs than so many a row are left to list
+LISTED = 4
 #: words whose hashes one Python worker keeps
 REMEMBERED = 200_000
 
@@ -92,14 +93,16 @@ def prefix_length(n: int, num: int = EXACT.num, den: int = EXACT.den) -> int:
 
 
 def ordered_prefix(tokens: np.ndarray, order: int, length: int, last: np.ndarray | None = None) -> np.ndarray:
-    """The first ``length`` tokens by the order's hash; those in the filter ``last`` come after the others.
+    """The first ``length`` tokens in the order of their hash; those in the filter ``last`` come after the others.
 
     The hash names the token; equal hashes are equal tokens but for a chance of 2**-63.
     """
     key = _mixed(tokens, order) >> np.uint64(1)
     if last is not None:
-        key |= _passes(last, key).astype(np.uint64) << np.uint64(63)
-    return np.partition(key, length - 1)[:length] if length < len(key) else key
+        key |= _passes(last, tokens).astype(np.uint64) << np.uint64(63)
+    first = np.partition(key, length - 1)[:length] if length < len(key) else key
+    first.sort()
+    return first
 
 
 def _long(values: np.ndarray) -> list[int]:
@@ -122,27 +125,50 @@ def _mapped(df: DataFrame, make, schema: str) -> DataFrame:
     return df.mapInArrow(run, whole)
 
 
-def sets_and_prefixes(docs: DataFrame, rule: Rule = EXACT) -> DataFrame:
-    """(doc_id, n, s1, s2, tokens) of each row: set size, a 128-bit digest, and prefixes by hash alone."""
+def sets(docs: DataFrame, rule: Rule = EXACT) -> DataFrame:
+    """(doc_id, n, s1, s2, tokens) of each row: set size, a 128-bit digest, a prefix by hash alone."""
 
     def make(batch: pa.RecordBatch) -> dict:
-        sets = [shingle_set(t, rule.shingle) for t in batch.column("text").to_pylist()]
-        digest = [divmod(xxhash.xxh3_128_intdigest(s.tobytes()), 1 << 64) for s in sets]
+        of = [shingle_set(t, rule.shingle) for t in batch.column("text").to_pylist()]
+        digest = [divmod(xxhash.xxh3_128_intdigest(s.tobytes()), 1 << 64) for s in of]
         s1, s2 = np.array(digest, np.uint64).reshape(-1, 2).view(np.int64).T
-        tokens = [[_long(ordered_prefix(s, o, prefix_length(len(s), rule.num, rule.den))) for o in range(ORDERS)] if len(s) else [] for s in sets]
-        return {"doc_id": batch.column("doc_id"), "n": [len(s) for s in sets], "s1": s1, "s2": s2, "tokens": tokens}
+        tokens = [_long(_prefix(s, 0, rule)) for s in of]
+        return {"doc_id": batch.column("doc_id"), "n": [len(s) for s in of], "s1": s1, "s2": s2, "tokens": tokens}
+
+    return _mapped(_texts(docs), make, "doc_id long, n long, s1 long, s2 long, tokens array<long>")
+
+
+def _texts(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("long"), "text")
 
-    return _mapped(
-        docs.select(F.col("doc_id").cast("long"), "text"),
-        make,
-        "doc_id long, n long, s1 long, s2 long, tokens array<array<long>>",
-    )
+
+def _prefix(s: np.ndarray, order: int, rule: Rule, last: np.ndarray | None = None) -> np.ndarray:
+    return ordered_prefix(s, order, prefix_length(len(s), rule.num, rule.den), last) if len(s) else s
+
+
+def crowded_tokens(docs: DataFrame, crowds: np.ndarray, rule: Rule = EXACT) -> DataFrame:
+    """(token) of more than ``PAIRED`` of the texts that have a token of the filter ``crowds`` in their prefix.
+
+    The whole texts count.  A task hands on each token of some hundred texts once, with its count.
+    """
+
+    def make(batch: pa.RecordBatch) -> dict:
+        kept = [np.zeros(0, np.uint64)]
+        for text in batch.column("text").to_pylist():
+            s = shingle_set(text, rule.shingle)
+            if _passes(crowds, _prefix(s, 0, rule)).any():
+                kept.append(s)
+        token, m = np.unique(np.concatenate(kept), return_counts=True)
+        return {"token": token.view(np.int64), "m": m}
+
+    counted = _mapped(docs.select("text"), make, "token long, m long").groupBy("token").agg(F.sum("m").alias("m"))
+    return counted.where(F.col("m") > PAIRED).select("token")
 
 
 def prefix_rows(docs: DataFrame, last: np.ndarray, rule: Rule = EXACT) -> DataFrame:
-    """(doc_id, n, tokens): prefixes with the tokens in the filter put last, one list an order.
+    """(doc_id, n, tokens): prefixes with the tokens of the filter last, in order, one list an order.
 
-    Texts without words are left out.
+    Texts without words and rows without an id are left out.
     """
 
     def make(batch: pa.RecordBatch) -> dict:
@@ -150,19 +176,16 @@ def prefix_rows(docs: DataFrame, last: np.ndarray, rule: Rule = EXACT) -> DataFr
         for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
             s = shingle_set(text, rule.shingle)
             if len(s):
-                p = prefix_length(len(s), rule.num, rule.den)
                 out["doc_id"].append(doc_id)
                 out["n"].append(len(s))
-                out["tokens"].append([_long(ordered_prefix(s, o, p, last)) for o in range(ORDERS)])
+                out["tokens"].append([_long(_prefix(s, o, rule, last)) for o in range(ORDERS)])
         return out
 
-    return _mapped(
-        docs.select(F.col("doc_id").cast("long"), "text"), make, "doc_id long, n long, tokens array<array<long>>"
-    )
+    return _mapped(_texts(docs).where("doc_id is not null"), make, "doc_id long, n long, tokens array<array<long>>")
 
 
-def _token_counts(prefixes: DataFrame) -> DataFrame:
-    return prefixes.select(F.explode(F.flatten("tokens")).alias("token")).groupBy("token").agg(F.count("*").alias("m"))
+def _token_counts(tokens: Column, df: DataFrame) -> DataFrame:
+    return df.select(F.explode(tokens).alias("token")).groupBy("token").agg(F.count("*").alias("m"))
 
 
 def _spots(values: np.ndarray) -> list[np.ndarray]:
@@ -198,134 +221,101 @@ def _passes(words: np.ndarray, values: np.ndarray) -> np.ndarray:
     return inside
 
 
-def shared_tokens(prefixes: DataFrame) -> DataFrame:
-    """(token, o, node, n, m): prefix tokens that ``m`` > 1 nodes have.
+def shared_tokens(prefixes: DataFrame, own: DataFrame) -> DataFrame:
+    """(token, o, pos, node, n): prefix tokens that several rows have, of the nodes in ``own``, and their places.
 
-    Most tokens are of one node.  Those of several are found by counting, and a filter of them keeps
-    the rest out of the shuffle that brings the nodes of a token together.
+    Most tokens are of one row.  Those of several are found by counting, and a filter of them keeps
+    the rest out of the shuffles.
     """
-    several = stored(_token_counts(prefixes).where("m > 1"), "shingle-tokens")
-    words = bit_filter(several, "token")
+    words = bit_filter(_token_counts(F.flatten("tokens"), prefixes).where("m > 1"), "token")
 
     def make(batch: pa.RecordBatch) -> dict:
-        out: list[list[np.ndarray]] = [[np.zeros(0, np.int64)] for _ in range(4)]
+        out: list[list[np.ndarray]] = [[np.zeros(0, np.int64)] for _ in range(5)]
         sizes = batch.column("n").to_pylist()
         for i, node in enumerate(batch.column("doc_id").to_pylist()):
             for o, of in enumerate(batch.column("tokens")[i].values):
                 token = of.values.to_numpy()
-                token = token[_passes(words, token.view(np.uint64))]
-                same = (np.full(len(token), x) for x in (o, node, sizes[i]))
-                for column, part in zip(out, (token, *same), strict=True):
+                pos = np.flatnonzero(_passes(words, token.view(np.uint64)))
+                same = (np.full(len(pos), x) for x in (o, node, sizes[i]))
+                for column, part in zip(out, (token[pos], pos, *same), strict=True):
                     column.append(part)
-        return dict(zip(("token", "o", "node", "n"), map(np.concatenate, out), strict=True))
+        return dict(zip(("token", "pos", "o", "node", "n"), map(np.concatenate, out), strict=True))
 
-    return _mapped(prefixes, make, "token long, o long, node long, n long").join(several, "token")
+    rows = _mapped(prefixes, make, "token long, pos long, o long, node long, n long")
+    # one document can have several sets, or one set in several rows
+    return rows.join(own, ["node", "n"], "left_semi").distinct()
 
 
-def texts_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(node, text) of the documents in ``nodes``; a filter of them spares the others the shuffle."""
+def texts_of(docs: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(node, text) of the documents in ``pairs``; a filter of them spares the others the shuffle."""
+    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     words = bit_filter(nodes, "node")
 
     def make(batch: pa.RecordBatch) -> dict:
         some = batch.filter(pa.array(_passes(words, batch.column("doc_id").to_numpy().view(np.uint64))))
         return {"node": some.column("doc_id"), "text": some.column("text")}
 
-    known = docs.select(F.col("doc_id").cast("long"), "text").where(F.col("doc_id").isNotNull())
-    return _mapped(known, make, "node long, text string").join(nodes, "node", "left_semi")
-
+    known = _texts(docs).where("doc_id is not null and text is not null")
+    # rows can be repeated
+    return _mapped(known, make, "node long, text string").join(nodes, "node", "left_semi").distinct()
 
-def _sizes_fit(x: str, y: str, rule: Rule) -> Column:
-    return F.least(x, y) * rule.den >= F.greatest(x, y) * rule.num
 
+def _enough_left(a: str, b: str, rule: Rule) -> Column:
+    """Whether the sets can link if the token here is the first that they share.
 
-def near_copy_clusters(shared: DataFrame, rule: Rule = EXACT) -> DataFrame:
-    """(node, cluster) of nodes that share much of their prefix with the first node of their tokens.
-
-    Only how the work is cut depends on the clusters, not the result.
+    The token and all behind it, in the set where that is less, must make up the intersection.
     """
-    many = shared.where(F.col("m") > PAIRED).select("token", "node", "n")
-    first = many.groupBy("token").agg(F.min("node").alias("first"))
-    met = many.join(first, "token").where("node <> first").groupBy("node", "first").agg(F.count("*").alias("c"), F.max("n").alias("n"))
-    # as many tokens as half of a prefix, counted over all orders
-    close = met.where(F.col("c") * 2 * rule.den >= F.col("n") * (rule.den - rule.num))
-    return components(close.select(F.col("node").alias("a"), F.col("first").alias("b"))).withColumnRenamed("component", "cluster")
+    left = F.least(F.col(f"{a}n") - F.col(f"{a}pos"), F.col(f"{b}n") - F.col(f"{b}pos"))
+    return left * (rule.num + rule.den) >= (F.col(f"{a}n") + F.col(f"{b}n")) * rule.num
 
 
-def _near(sets: list[np.ndarray], rule: Rule) -> np.ndarray:
-    """Which of the sets reach the threshold with each other."""
-    tokens, column = np.unique(np.concatenate(sets), return_inverse=True)
-    has = np.zeros((len(sets), len(tokens)), np.float32)
-    sizes = np.array([len(s) for s in sets])
-    has[np.repeat(np.arange(len(sets)), sizes), column] = 1
-    common = np.rint(has @ has.T).astype(np.int64)
-    return common * rule.den >= (sizes[:, None] + sizes - common) * rule.num
+def _all_orders(met: DataFrame) -> DataFrame:
+    """The pairs (a, b) of ``met`` (o, a, b) that meet under every order."""
+    seen = met.groupBy("a", "b").agg(*[F.max((F.col("o") == o).cast("int")).alias(f"o{o}") for o in range(ORDERS)])
+    for o in range(ORDERS):
+        seen = seen.where(f"o{o} = 1")
+    return seen.select("a", "b")
 
 
-def cluster_links(texts: DataFrame, clusters: DataFrame, rule: Rule = EXACT) -> DataFrame:
-    """(a, b): links within each cluster, enough to join all that its links join.
+def _sides(rows: DataFrame, prefix: str, *columns: str) -> DataFrame:
+    return rows.select(*columns, *[F.col(c).alias(prefix + c) for c in ("node", "n", "pos", "part")])
 
-    A cluster's nodes are dealt to blocks, and every two blocks meet.
-    """
-    sized = clusters.join(
-        clusters.groupBy("cluster").agg(F.ceil(F.count("*") / BLOCK).alias("blocks")), "cluster"
-    ).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
-    dealt = sized.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).select(
-        "node", "cluster", "block", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi")
-    )
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
-
-    def compare(group: pa.Table) -> pa.Table:
-        nodes, sets = [], []
-        for node, text in zip(group.column("node").to_pylist(), group.column("text").to_pylist(), strict=True):
-            s = shingle_set(text, rule.shingle)
-            if len(s):
-                nodes.append(node)
-                sets.append(s)
-        out: list[tuple[int, int]] = []
-        if sets:
-            root = list(range(len(nodes)))
 
-            def top(i: int) -> int:
-                while root[i] != i:
-                    root[i] = root[root[i]]
-                    i = root[i]
-                return i
+def open_tokens(shared: DataFrame, parts: DataFrame | None) -> DataFrame:
+    """Rows of ``shared`` with ``part``, the smallest node that links reach, of tokens that meet in several parts."""
+    rows = shared.withColumn("part", F.col("node"))
+    if parts is not None:
+        rows = shared.join(parts.withColumnRenamed("component", "part"), "node", "left").withColumn("part", F.coalesce("part", "node"))
+    several = rows.groupBy("token").agg(F.min("part").alias("x"), F.max("part").alias("y")).where("x < y").select("token")
+    return rows.join(several, "token", "left_semi")
 
-            for i, j in np.argwhere(np.triu(_near(sets, rule), 1)).tolist():
-                x, y = top(i), top(j)
-                if x != y:
-                    root[y] = x
-                    out.append((nodes[i], nodes[j]))
-        return pa.table([pa.array([p[k] for p in out], pa.int64()) for k in (0, 1)], schema=schema)
 
-    return texts.join(dealt, "node").groupBy("cluster", "lo", "hi").applyInArrow(compare, "a long, b long")
+def pairs_to_list(rows: DataFrame) -> tuple[int, int]:
+    """(pairs of nodes of different parts that share a token, rows)."""
+    of_part = rows.groupBy("token", "part").agg(F.count("*").cast("decimal(38,0)").alias("m"))
+    of_token = of_part.groupBy("token").agg(F.sum("m").alias("m"), F.sum(F.col("m") * F.col("m")).alias("own"))
+    found = of_token.agg(F.sum((F.col("m") * F.col("m") - F.col("own")) / 2), F.sum("m")).first()
+    return int(found[0] or 0), int(found[1] or 0)
 
 
-def listed_pairs(shared: DataFrame, clusters: DataFrame, rule: Rule = EXACT) -> DataFrame:
-    """(a, b): pairs of nodes that share enough prefix tokens under every order and fit in size.
+def leader_pairs(rows: DataFrame, turn: int, rule: Rule = EXACT) -> DataFrame:
+    """(a, b): the nodes of each token, each with one of them.
 
-    Pairs within a cluster are left to the blocks.
+    At first it is the one that has the token earliest, which has the fewest tokens of its own, and
+    then one by hash.
     """
-    rows = shared.drop("m").join(clusters, "node", "left").withColumn("cluster", F.coalesce("cluster", "node"))
-    # a token whose nodes are all in one cluster has nothing to list
-    mixed = rows.groupBy("token").agg(F.min("cluster").alias("x"), F.max("cluster").alias("y")).where("x <> y").select("token")
-    rows = rows.join(mixed, "token")
-    left = rows.select("token", "o", F.col("node").alias("a"), F.col("n").alias("a_n"), F.col("cluster").alias("a_c"))
-    right = rows.select("token", F.col("node").alias("b"), F.col("n").alias("b_n"), F.col("cluster").alias("b_c"))
-    met = left.join(right, "token").where((F.col("a") < F.col("b")) & (F.col("a_c") != F.col("b_c")) & _sizes_fit("a_n", "b_n", rule))
-    counted = met.groupBy("a", "b", "a_n", "b_n").agg(*[F.count_if(F.col("o") == o).alias(f"c{o}") for o in range(ORDERS)])
-
-    def rest(n: str) -> Column:
-        """The tokens behind the prefix of a set."""
-        return F.ceil(F.col(n) * rule.num / rule.den) - 1
-
-    # of the two, take the one whose prefix ends first: what it shares beyond its prefix is no more
-    # than the rest of it, and its prefix can only meet the other's prefix
-    overlap = F.ceil((F.col("a_n") + F.col("b_n")) * rule.num / (rule.num + rule.den))
-    needed = F.greatest(F.lit(1), overlap - F.greatest(rest("a_n"), rest("b_n")))
-    for o in range(ORDERS):
-        counted = counted.where(F.col(f"c{o}") >= needed)
-    return counted.select("a", "b").distinct()
+    order = [F.col("pos")] if turn == 0 else [F.xxhash64(F.lit(turn), "part")]
+    first = rows.groupBy("token").agg(F.min(F.struct(*[c.alias(f"k{i}") for i, c in enumerate(order)], "node", "n", "pos", "part")).alias("l"))
+    right = first.select("token", *[F.col(f"l.{c}").alias(f"b_{c}") for c in ("node", "n", "pos", "part")])
+    met = _sides(rows, "a_", "token", "o").join(right, "token").where((F.col("a_part") != F.col("b_part")) & _enough_left("a_", "b_", rule))
+    return _all_orders(met.select("o", F.least("a_node", "b_node").alias("a"), F.greatest("a_node", "b_node").alias("b")))
+
+
+def listed_pairs(rows: DataFrame, rule: Rule = EXACT) -> DataFrame:
+    """(a, b): all pairs of nodes of different parts that meet early enough under every order."""
+    met = _sides(rows, "a_", "token", "o").join(_sides(rows, "b_", "token"), "token")
+    met = met.where((F.col("a_node") < F.col("b_node")) & (F.col("a_part") != F.col("b_part")) & _enough_left("a_", "b_", rule))
+    return _all_orders(met.select("o", F.col("a_node").alias("a"), F.col("b_node").alias("b")))
 
 
 def verified(pairs: DataFrame, texts: DataFrame, rule: Rule = EXACT) -> DataFrame:
@@ -335,11 +325,10 @@ def verified(pairs: DataFrame, texts: DataFrame, rule: Rule = EXACT) -> DataFram
 
     def make(batch: pa.RecordBatch) -> dict:
         out = {"a": [], "b": []}
-        last, own = None, None
+        # leaders come up again and again
+        set_of = lru_cache(maxsize=32)(partial(shingle_set, k=rule.shingle))
         for a, b, x, y in zip(*(batch.column(c).to_pylist() for c in ("a", "b", "a_text", "b_text")), strict=True):
-            if y != last:
-                last, own = y, shingle_set(y, rule.shingle)
-            other = shingle_set(x, rule.shingle)
+            own, other = set_of(x), set_of(y)
             common = len(np.intersect1d(own, other, assume_unique=True))
             if common * rule.den >= (len(own) + len(other) - common) * rule.num and common:
                 out["a"].append(a)
@@ -350,6 +339,26 @@ def verified(pairs: DataFrame, texts: DataFrame, rule: Rule = EXACT) -> DataFram
     return _mapped(whole, make, "a long, b long")
 
 
+def linked(docs: DataFrame, shared: DataFrame, rule: Rule = EXACT) -> DataFrame:
+    """(a, b): links between nodes of ``shared``, enough to join all that their links join.
+
+    Nodes are compared with leaders in turns, for as long as a turn takes a quarter off the pairs left
+    to list; what is left then is listed.
+    """
+    found, parts, before = [], None, None
+    while True:
+        rows = stored(open_tokens(shared, parts), "shingle-open")
+        left, size = pairs_to_list(rows)
+        last = left <= LISTED * size or before is not None and left > before * 3 // 4
+        before = left
+        pairs = stored(listed_pairs(rows, rule) if last else leader_pairs(rows, len(found), rule), "shingle-pairs")
+        found.append(stored(verified(pairs, texts_of(docs, pairs), rule), "shingle-links"))
+        links = reduce(DataFrame.unionByName, found)
+        if last:
+            return links
+        parts = components(links)
+
+
 def _same_document(placed: DataFrame) -> DataFrame:
     """(a, b): the nodes of the sets of one document, linked to the smallest of them."""
     several = placed.where("doc_id is not null and node is not null").groupBy("doc_id").agg(
@@ -367,21 +376,18 @@ def jaccard_components(docs: DataFrame, rule: Rule = EXACT) -> DataFrame:
     nothing.  Rows that share a doc_id count as one document with several sets.  A null doc_id gets
     the component of its set, null if no other row has that set.  Other columns are left behind.
     """
-    first = stored(sets_and_prefixes(docs, rule), "shingle-sets")
-    rows = first.drop("tokens")
-    crowds = bit_filter(_token_counts(first).where(F.col("m") > PAIRED), "token")
+    rows = stored(sets(docs, rule), "shingle-sets")
+    crowds = bit_filter(_token_counts(F.col("tokens"), rows).where(F.col("m") > PAIRED), "token")
+    late = bit_filter(crowded_tokens(docs, crowds, rule), "token")
+    rows = rows.drop("tokens")
     classes = stored(
-        rows.where("n > 0").groupBy("s1", "s2").agg(F.min("doc_id").alias("node")).where("node is not null"), "shingle-classes"
+        rows.where("n > 0").groupBy("s1", "s2").agg(F.min("doc_id").alias("node"), F.first("n").alias("n")).where("node is not null"),
+        "shingle-classes",
     )
-    own = classes.select(F.col("node").alias("doc_id"))
-    prefixes = stored(prefix_rows(docs, crowds, rule).join(own, "doc_id", "left_semi"), "shingle-prefixes")
-    shared = stored(shared_tokens(prefixes), "shingle-shared")
-    clusters = stored(near_copy_clusters(shared, rule), "shingle-clusters")
-    pairs = stored(listed_pairs(shared, clusters, rule), "shingle-pairs")
-    nodes = clusters.select("node").union(pairs.select("a")).union(pairs.select("b")).distinct()
-    texts = stored(texts_of(docs, nodes), "shingle-texts")
-    placed = rows.join(classes, ["s1", "s2"], "left")
-    links = cluster_links(texts, clusters, rule).unionByName(verified(pairs, texts, rule))
+    prefixes = stored(prefix_rows(docs, late, rule), "shingle-prefixes")
+    shared = stored(shared_tokens(prefixes, classes.select("node", "n")), "shingle-shared")
+    placed = rows.join(classes.drop("n"), ["s1", "s2"], "left")
+    links = linked(docs, shared, rule)
     parts = components(links.unionByName(_same_document(placed)))
     return placed.join(parts, "node", "left").select(
         "doc_id",
