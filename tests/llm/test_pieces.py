@@ -108,3 +108,72 @@ def test_what_is_remembered_does_not_change_the_ids(monkeypatch):
     monkeypatch.setattr(pieces, "REMEMBERED", 0)
     none = pieces.Codec(*PARTS, dropout=0.3)
     assert want == [none.encode(t, i) for i, t in enumerate(texts)]
+
+
+def draws_of(key, n, dropout):
+    """The splitmix generator, a number at a time."""
+    mask, out = (1 << 64) - 1, []
+    for i in range(1, 2 * n + 1):
+        h = (i * 0x9E3779B97F4A7C15 + key) & mask
+        h = (h ^ h >> 30) * 0xBF58476D1CE4E5B9 & mask
+        h = (h ^ h >> 27) * 0x94D049BB133111EB & mask
+        h ^= h >> 31
+        out += [h & 0xFFFFFFFF, h >> 32]
+    return [d < int(dropout * (1 << 32)) for d in out]
+
+
+def slow(text, key, dropout):
+    """All neighbours are looked through for the best candidate, again for each merge."""
+    known, byte_ids, skip = PARTS
+    ids = {t.replace("▁", " "): i for i, (t, _) in enumerate(known) if i not in skip and i not in byte_ids}
+    score = {t: known[i][1] for t, i in ids.items() if len(t) > 1}
+    near = {t[k : k + 2] for t in score for k in range(len(t) - 1)}
+    text = " " + text
+    skipped = draws_of(key, len(text), dropout)
+    cuts = [0, *[i for i in range(1, len(text)) if text[i - 1 : i + 1] not in near], len(text)]
+    out = []
+    for lo, hi in zip(cuts, cuts[1:], strict=False):
+        symbols, refused, drawn = [(i, i + 1) for i in range(lo, hi)], set(), 4 * lo
+        while True:
+            pairs = [(a[0], b[1]) for a, b in zip(symbols, symbols[1:], strict=False)]
+            open_ = [p for p in pairs if text[p[0] : p[1]] in score and p not in refused]
+            if not open_:
+                break
+            best = min(open_, key=lambda p: (-score[text[p[0] : p[1]]], p[0]))
+            drawn += 1
+            if skipped[drawn - 1]:
+                refused.add(best)
+            else:
+                symbols = [s for s in symbols if not best[0] <= s[0] < best[1]]
+                symbols = sorted([*symbols, best])
+        for a, b in symbols:
+            out += [ids[text[a:b]]] if text[a:b] in ids else [byte_ids[c] for c in text[a:b].encode()]
+    return out
+
+
+@pytest.mark.parametrize("dropout", [0.0, 0.1, 0.5, 1.0])
+def test_all_ways_give_the_ids_of_a_slow_search(monkeypatch, dropout):
+    """Remembered or not, together or alone, short parts or long ones."""
+    rng = random.Random(4)
+    texts = [t for t in ODD if t] + ["".join(rng.choices("theinacso ▁\n.é日<x1", k=rng.choice([1, 9, 150]))) for _ in range(60)]
+    texts += [" ".join(rng.choices(["information", "a1b2/c3-d4", "naïve", "x" * 70, "of\nthe"], k=30)) for _ in range(10)]
+    want = [slow(t, 31 * k, dropout) for k, t in enumerate(texts)]
+    some = pieces.Codec(*PARTS, dropout=dropout)
+    for _ in range(3):
+        ids, ends = some.encode_all(texts, [31 * k for k in range(len(texts))])
+        assert [one.tolist() for one in pieces.np.split(ids, ends[:-1])] == want
+        assert [ids_of(some.encode(t, 31 * k)) for k, t in enumerate(texts)] == want
+    monkeypatch.setattr(pieces, "LONG", 4)
+    monkeypatch.setattr(pieces, "SIDE_BY_SIDE", 3)
+    few = pieces.Codec(*PARTS, dropout=dropout)
+    assert [ids_of(few.encode(t, 31 * k)) for k, t in enumerate(texts)] == want
+    ids, ends = few.encode_all(["", ""], [1, 2])
+    assert len(ids) == 0 and ends.tolist() == [0, 0] and len(few.encode_all([], [])[0]) == 0
+
+
+def test_documents_go_in_slices_by_rows_and_size(monkeypatch):
+    monkeypatch.setattr(pieces, "TOGETHER", (3, 10))
+    for column in (["a" * n for n in (1, 2, 3, 4, 50, 1, 9, 9)] + [None], [[1] * 4, None, [1] * 20, [], [2]]):
+        batch = pieces.pa.RecordBatch.from_arrays([pieces.pa.array(range(len(column))), pieces.pa.array(column)], ["doc_id", "v"])
+        cut = [one.column(1).to_pylist() for one in pieces._slices(batch)]
+        assert sum(cut, []) == column and all(len(c) <= 3 and (len(c) == 1 or sum(len(v or []) for v in c) <= 10) for c in cut)
