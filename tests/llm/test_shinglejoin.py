@@ -1,6 +1,7 @@
 """Jaccard join: brute force over small corpora, groups of copies, prefixes under any order."""
 
 import random
+from collections import Counter
 from itertools import combinations
 
 import numpy as np
@@ -115,7 +116,7 @@ def test_a_group_of_near_copies_lists_few_pairs(spark):
         docs = frame(spark, rows)
         first = sj.sets(docs)
         crowds = sj.bit_filter(sj._token_counts(sj.F.col("tokens"), first).where(sj.F.col("m") > sj.PAIRED), "token")
-        late = sj.bit_filter(sj.crowded_tokens(docs, crowds), "token")
+        late = sj.bit_filter(sj.crowded_tokens(docs, crowds, 150 * m), "token")
         own = first.select(sj.F.col("doc_id").alias("node"), "n")
         shared = sj.stored(sj.shared_tokens(sj.prefix_rows(docs, late), own), "test-shared")
         pairs = sj.stored(sj.leader_pairs(sj.open_tokens(shared, None), 0), "test-pairs")
@@ -124,6 +125,22 @@ def test_a_group_of_near_copies_lists_few_pairs(spark):
     assert made[800] < 8 * made[200] and made[800] < 8 * 800
 
 
+@pytest.mark.parametrize("counted", [40, 1 << 20])
+def test_tokens_of_crowds(spark, monkeypatch, counted):
+    """Counts of whole texts, whatever a task counts at a time, and only of texts that the filter lets in."""
+    monkeypatch.setattr(sj, "COUNTED", counted)
+    rng = random.Random(6)
+    rows = [(i, " ".join(rng.choices("abcde", k=rng.randrange(30)))) for i in range(60)] + [(60, None), (61, ""), (None, "a b c d")]
+    of = [sj.shingle_set(t) for _, t in rows]
+    every, none = np.full(sj.FILTER_WORDS, (1 << 64) - 1, np.uint64), np.zeros(sj.FILTER_WORDS, np.uint64)
+    count = Counter(t for s in of for t in sj._long(s))
+    docs = frame(spark, rows)
+    got = [r.token for r in sj.crowded_tokens(docs, every, sum(map(len, of))).collect()]
+    want = {t for t, m in count.items() if m > sj.PAIRED}
+    assert len(got) == len(want) > 0 and set(got) == want
+    assert sj.crowded_tokens(docs, none, 0).collect() == [] and sj.crowded_tokens(docs.limit(0), every, 0).collect() == []
+
+
 def test_edges(spark):
     long = " ".join(str(i) for i in range(60_000))
     rows = [(1, None), (2, ""), (3, " \n"), (4, "a"), (5, "A"), (6, "a b"), (7, "a  B"), (8, long), (9, long + " x"), (10, "é É"), (11, "É é")]
@@ -152,7 +169,7 @@ def test_prefixes_meet_under_every_order(full):
         if not len(b) or 100 * both < 90 * (len(a) + len(b) - both):
             continue
         for order in range(sj.ORDERS):
-            p, q = (sj.ordered_prefix(s, order, sj.prefix_length(len(s)), last).tolist() for s in (a, b))
+            p, q = (sj.ordered_prefix(s, order, sj.prefix_length(len(s)), sj._passes(last, s)).tolist() for s in (a, b))
             assert set(p) & set(q)
             # the first that they share leaves enough in both
             i, j = next((i, q.index(t)) for i, t in enumerate(p) if t in q)

@@ -43,6 +43,8 @@ ORDERS = 2
 PAIRED = 6
 #: leaders are sought until no more pairs than so many a row are left to list
 LISTED = 4
+#: tokens that a task counts together
+COUNTED = 1 << 20
 #: words whose hashes one Python worker keeps
 REMEMBERED = 200_000
 
@@ -93,13 +95,13 @@ def prefix_length(n: int, num: int = EXACT.num, den: int = EXACT.den) -> int:
 
 
 def ordered_prefix(tokens: np.ndarray, order: int, length: int, last: np.ndarray | None = None) -> np.ndarray:
-    """The first ``length`` tokens in the order of their hash; those in the filter ``last`` come after the others.
+    """The first ``length`` tokens in the order of their hash; those where ``last`` is true come after the others.
 
     The hash names the token; equal hashes are equal tokens but for a chance of 2**-63.
     """
     key = _mixed(tokens, order) >> np.uint64(1)
     if last is not None:
-        key |= _passes(last, tokens).astype(np.uint64) << np.uint64(63)
+        key |= last.astype(np.uint64) << np.uint64(63)
     first = np.partition(key, length - 1)[:length] if length < len(key) else key
     first.sort()
     return first
@@ -146,23 +148,59 @@ def _prefix(s: np.ndarray, order: int, rule: Rule, last: np.ndarray | None = Non
     return ordered_prefix(s, order, prefix_length(len(s), rule.num, rule.den), last) if len(s) else s
 
 
-def crowded_tokens(docs: DataFrame, crowds: np.ndarray, rule: Rule = EXACT) -> DataFrame:
+def crowded_tokens(docs: DataFrame, crowds: np.ndarray, n_tokens: int, rule: Rule = EXACT) -> DataFrame:
     """(token) of more than ``PAIRED`` of the texts that have a token of the filter ``crowds`` in their prefix.
 
-    The whole texts count.  A task hands on each token of some hundred texts once, with its count.
+    The whole texts count.  Nearly all tokens are of one text, so they do not travel as rows: a task
+    counts some ``COUNTED`` at a time and hands on sorted runs of them, one for each bucket of the
+    first bits.  The buckets grow in number with ``n_tokens``, those of all texts, so that each fits a task.
     """
+    bits = (n_tokens // COUNTED).bit_length() + 3
 
-    def make(batch: pa.RecordBatch) -> dict:
-        kept = [np.zeros(0, np.uint64)]
-        for text in batch.column("text").to_pylist():
-            s = shingle_set(text, rule.shingle)
-            if _passes(crowds, _prefix(s, 0, rule)).any():
-                kept.append(s)
+    def runs(kept: list[np.ndarray]) -> pa.RecordBatch:
         token, m = np.unique(np.concatenate(kept), return_counts=True)
-        return {"token": token.view(np.int64), "m": m}
+        bucket, first = np.unique(token >> np.uint64(64 - bits), return_index=True)
+        ends = np.append(first, len(token)).tolist()
+        cuts = list(zip(ends, ends[1:], strict=False))
+        columns = [[rows[lo:hi].tobytes() for lo, hi in cuts] for rows in (token, m.astype(np.int64))]
+        return pa.RecordBatch.from_arrays([pa.array(bucket.astype(np.int64)), *map(pa.array, columns)], ["bucket", "tokens", "counts"])
+
+    def sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept, size = [], 0
+        for batch in batches:
+            for text in batch.column(0):
+                s = shingle_set(text.as_py(), rule.shingle)
+                if len(s) and _passes(crowds, _prefix(s, 0, rule)).any():
+                    kept.append(s)
+                    size += len(s)
+                    if size > COUNTED:
+                        yield runs(kept)
+                        kept, size = [], 0
+        if kept:
+            yield runs(kept)
+
+    def crowded(tokens: list[bytes], counts: list[bytes]) -> pa.RecordBatch:
+        token, m = np.frombuffer(b"".join(tokens), np.int64), np.frombuffer(b"".join(counts), np.int64)
+        order = np.argsort(token, kind="stable")
+        token, m = token[order], m[order]
+        first = np.flatnonzero(np.append(True, token[1:] != token[:-1]))
+        return pa.RecordBatch.from_arrays([pa.array(token[first][np.add.reduceat(m, first) > PAIRED])], ["token"])
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, tokens, counts = None, [], []
+        for batch in batches:
+            for bucket, token, m in zip(*(column.to_pylist() for column in batch.columns), strict=True):
+                if bucket != now and tokens:
+                    yield crowded(tokens, counts)
+                    tokens, counts = [], []
+                now = bucket
+                tokens.append(token)
+                counts.append(m)
+        if tokens:
+            yield crowded(tokens, counts)
 
-    counted = _mapped(docs.select("text"), make, "token long, m long").groupBy("token").agg(F.sum("m").alias("m"))
-    return counted.where(F.col("m") > PAIRED).select("token")
+    by_bucket = docs.select("text").mapInArrow(sort, "bucket long, tokens binary, counts binary").repartition("bucket").sortWithinPartitions("bucket")
+    return by_bucket.mapInArrow(count, "token long")
 
 
 def prefix_rows(docs: DataFrame, last: np.ndarray, rule: Rule = EXACT) -> DataFrame:
@@ -178,7 +216,8 @@ def prefix_rows(docs: DataFrame, last: np.ndarray, rule: Rule = EXACT) -> DataFr
             if len(s):
                 out["doc_id"].append(doc_id)
                 out["n"].append(len(s))
-                out["tokens"].append([_long(_prefix(s, o, rule, last)) for o in range(ORDERS)])
+                late = _passes(last, s)
+                out["tokens"].append([_long(_prefix(s, o, rule, late)) for o in range(ORDERS)])
         return out
 
     return _mapped(_texts(docs).where("doc_id is not null"), make, "doc_id long, n long, tokens array<array<long>>")
@@ -378,7 +417,8 @@ def jaccard_components(docs: DataFrame, rule: Rule = EXACT) -> DataFrame:
     """
     rows = stored(sets(docs, rule), "shingle-sets")
     crowds = bit_filter(_token_counts(F.col("tokens"), rows).where(F.col("m") > PAIRED), "token")
-    late = bit_filter(crowded_tokens(docs, crowds, rule), "token")
+    n_tokens = rows.agg(F.sum("n")).first()[0] or 0
+    late = bit_filter(crowded_tokens(docs, crowds, n_tokens, rule), "token")
     rows = rows.drop("tokens")
     classes = stored(
         rows.where("n > 0").groupBy("s1", "s2").agg(F.min("doc_id").alias("node"), F.first("n").alias("n")).where("node is not null"),
