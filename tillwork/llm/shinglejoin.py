@@ -43,7 +43,7 @@ ORDERS = 2
 PAIRED = 6
 #: leaders are sought until no more pairs than so many a row are left to list
 LISTED = 4
-#: tokens that a task counts together
+#: some eight buckets of counted tokens hold so many
 COUNTED = 1 << 20
 #: words whose hashes one Python worker keeps
 REMEMBERED = 200_000
@@ -152,7 +152,7 @@ def crowded_tokens(docs: DataFrame, crowds: np.ndarray, n_tokens: int, rule: Rul
     """(token) of more than ``PAIRED`` of the texts that have a token of the filter ``crowds`` in their prefix.
 
     The whole texts count.  Nearly all tokens are of one text, so they do not travel as rows: a task
-    counts some ``COUNTED`` at a time and hands on sorted runs of them, one for each bucket of the
+    counts some ``COUNTED`` / 4 at a time and hands on sorted runs of them, one for each bucket of the
     first bits.  The buckets grow in number with ``n_tokens``, those of all texts, so that each fits a task.
     """
     bits = (n_tokens // COUNTED).bit_length() + 3
@@ -173,7 +173,7 @@ def crowded_tokens(docs: DataFrame, crowds: np.ndarray, n_tokens: int, rule: Rul
                 if len(s) and _passes(crowds, _prefix(s, 0, rule)).any():
                     kept.append(s)
                     size += len(s)
-                    if size > COUNTED:
+                    if size > COUNTED // 4:
                         yield runs(kept)
                         kept, size = [], 0
         if kept:
