@@ -261,28 +261,31 @@ def _passes(words: np.ndarray, values: np.ndarray) -> np.ndarray:
 
 
 def shared_tokens(prefixes: DataFrame, own: DataFrame) -> DataFrame:
-    """(token, o, pos, node, n): prefix tokens that several rows have, of the nodes in ``own``, and their places.
+    """(node, n, spots of token, o, pos): the nodes in ``own`` with the prefix tokens that several rows have, and their places.
 
     Most tokens are of one row.  Those of several are found by counting, and a filter of them keeps
-    the rest out of the shuffles.
+    the rest out.  A node is one row with a list no longer than its prefixes: what is said of nodes
+    meets them once, not once a token.
     """
     words = bit_filter(_token_counts(F.flatten("tokens"), prefixes).where("m > 1"), "token")
 
     def make(batch: pa.RecordBatch) -> dict:
-        out: list[list[np.ndarray]] = [[np.zeros(0, np.int64)] for _ in range(5)]
-        sizes = batch.column("n").to_pylist()
-        for i, node in enumerate(batch.column("doc_id").to_pylist()):
-            for o, of in enumerate(batch.column("tokens")[i].values):
+        out: list[list[np.ndarray]] = [[np.zeros(0, np.int64)] for _ in range(3)]
+        ends = [0]
+        for of_node in batch.column("tokens"):
+            ends.append(ends[-1])
+            for o, of in enumerate(of_node.values):
                 token = of.values.to_numpy()
                 pos = np.flatnonzero(_passes(words, token.view(np.uint64)))
-                same = (np.full(len(pos), x) for x in (o, node, sizes[i]))
-                for column, part in zip(out, (token[pos], pos, *same), strict=True):
+                ends[-1] += len(pos)
+                for column, part in zip(out, (token[pos], np.full(len(pos), o), pos), strict=True):
                     column.append(part)
-        return dict(zip(("token", "pos", "o", "node", "n"), map(np.concatenate, out), strict=True))
+        spot = pa.StructArray.from_arrays([np.concatenate(c) for c in out], ["token", "o", "pos"])
+        return {"node": batch.column("doc_id"), "n": batch.column("n"), "spots": pa.ListArray.from_arrays(ends, spot)}
 
-    rows = _mapped(prefixes, make, "token long, pos long, o long, node long, n long")
+    rows = _mapped(prefixes, make, "node long, n long, spots array<struct<token long, o long, pos long>>")
     # one document can have several sets, or one set in several rows
-    return rows.join(own, ["node", "n"], "left_semi").distinct()
+    return rows.where("size(spots) > 0").join(own, ["node", "n"], "left_semi").distinct()
 
 
 def texts_of(docs: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -321,10 +324,11 @@ def _sides(rows: DataFrame, prefix: str, *columns: str) -> DataFrame:
 
 
 def open_tokens(shared: DataFrame, parts: DataFrame | None) -> DataFrame:
-    """Rows of ``shared`` with ``part``, the smallest node that links reach, of tokens that meet in several parts."""
-    rows = shared.withColumn("part", F.col("node"))
+    """A row for each spot of ``shared`` with ``part``, the smallest node that links reach, of tokens that meet in several parts."""
+    nodes = shared.withColumn("part", F.col("node"))
     if parts is not None:
-        rows = shared.join(parts.withColumnRenamed("component", "part"), "node", "left").withColumn("part", F.coalesce("part", "node"))
+        nodes = shared.join(parts.withColumnRenamed("component", "part"), "node", "left").withColumn("part", F.coalesce("part", "node"))
+    rows = nodes.select("node", "n", "part", F.inline("spots"))
     several = rows.groupBy("token").agg(F.min("part").alias("x"), F.max("part").alias("y")).where("x < y").select("token")
     return rows.join(several, "token", "left_semi")
 
@@ -396,6 +400,8 @@ def linked(docs: DataFrame, shared: DataFrame, rule: Rule = EXACT) -> DataFrame:
         if last:
             return links
         parts = components(links)
+        # parts only grow, so a node whose tokens are all of one part stays out from here on
+        shared = stored(shared.join(rows.select("node").distinct(), "node", "left_semi"), "shingle-shared")
 
 
 def _same_document(placed: DataFrame) -> DataFrame:
