@@ -60,6 +60,11 @@ def _full(orders: DataFrame, *by: str) -> DataFrame:
         or_zero(F.sum("lines")).alias("total_line_items"),
         F.count_distinct("customer_key").alias("unique_customers"),
     )
+    return with_ratios(counted)
+
+
+def with_ratios(counted: DataFrame) -> DataFrame:
+    """Add the ratios of revenue, orders, lines and customers."""
     revenue = F.col("total_revenue")
     n_orders, n_customers = F.col("total_orders"), F.col("unique_customers")
     lines = F.col("total_line_items").cast("decimal(20,0)")

@@ -52,6 +52,10 @@ class MonthlyTable:
             return scan_published(self.spark, f"{self.path}/empty")
         return self.spark.read.option("basePath", data).parquet(*folders).drop("version")
 
+    def versions_by_month(self) -> dict[int | None, int]:
+        """Which version of each month counts now."""
+        return {r.month: r.version for r in self._pointer()[1]}
+
     def months(self, months: Sequence[int | None]) -> DataFrame:
         """The rows of some months, by a partition filter."""
         some = F.col(MONTH).isin([m for m in months if m is not None])

@@ -11,12 +11,14 @@ from tillwork import catalog
 from tillwork.operators.quality import star_report
 from tillwork.plans import dims
 from tillwork.plans.monthly import MonthResult, run_month
+from tillwork.plans.rollup import SalesRollup
 from tillwork.plans.warehouse import Warehouse, bulk_load, load_batch
 from tillwork.session import work_path
 from tillwork.sources.files import empty_table
 from tillwork.sources.retail import Retail
 from tillwork.suite.parts import PARTS, date_key, oracle, per
 from tillwork.suite.registry import query
+from tillwork.suite.reports import full_sql
 
 FIRST_RUN, SECOND_RUN = dt.datetime(2020, 1, 1), dt.datetime(2020, 2, 1)
 TEST_ID = dims.COUPON_TEST["test_id"]
@@ -127,6 +129,25 @@ def load_two_batches(r):
     return _sales(loaded_twice(r))
 
 
+def rolled_up(r: Retail) -> SalesRollup:
+    """The totals of the star of two batches; months that are summed up already are not read."""
+    rollup = SalesRollup(loaded_twice(r))
+    rollup.refresh()
+    return rollup
+
+
+@query("rollup_all_months", oracle(full_sql("year, month")))
+def rollup_all_months(r):
+    """Every month from stored totals and bitmap pages of customers."""
+    return rolled_up(r).by_month()
+
+
+@query("rollup_half_year", oracle(full_sql(where="WHERE year * 100 + month BETWEEN 199710 AND 199803")))
+def rollup_half_year(r):
+    """Six months on both sides of the seam of the batches: a customer of several counts once."""
+    return rolled_up(r).over(199710, 199803)
+
+
 ORDERS_SQL = oracle(f"""
     SELECT customer_key, {date_key('order_purchase_timestamp')} AS purchase_date_key, CAST(o.order_id AS VARCHAR) AS order_id,
            CAST(coalesce(v, 0) AS DOUBLE) AS total_order_value, coalesce(n, 0) AS item_count, coalesce(u, 0) AS unique_sellers,
