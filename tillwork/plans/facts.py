@@ -137,15 +137,19 @@ def build_fact_reviews(
 ) -> DataFrame:
     """One row per review and item of its order (one row where the order has none).
 
-    The keys meet first; the review text joins the shuffle once, by order.
+    The keys of every order's items meet first, as narrow rows.  The reviews with their text meet them
+    in one inner join by order, whose sides can both be split where an order is hot: one shuffle moves text.
     """
     known = _orders_with_customer(orders, dim_customer).select("order_id", "customer_key")
-    lines = items.select("order_id", "product_id", "seller_id")
-    reviewed = fan_out(reviews.join(known, "order_id"), lines, "order_id")
+    lines = (
+        items.select("order_id", "product_id", "seller_id")
+        .join(keys_of(dim_product, "product"), "product_id", "left")
+        .join(keys_of(dim_seller, "seller"), "seller_id", "left")
+        .select("order_id", "product_key", "seller_key")
+    )
     flags = rules.review_flags(F.col("review_comment_message"))
     return (
-        reviewed.join(keys_of(dim_product, "product"), "product_id", "left")
-        .join(keys_of(dim_seller, "seller"), "seller_id", "left")
+        reviews.join(fan_out(known, lines, "order_id"), "order_id")
         .select(
             "customer_key",
             "product_key",
