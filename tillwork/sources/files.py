@@ -11,6 +11,10 @@ from pyspark.sql import types as T
 
 from tillwork.session import work_path
 
+#: of work tables and facts, which are written and read far more often than anyone looks at them
+CODEC = "zstd"
+
+
 def scan_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Header CSV into a typed table.  The schema is given, so there is no inference pass.
 
@@ -45,7 +49,7 @@ def sink_overwrite(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -
     """
     if partition_by:
         df = df.hint("rebalance", *[F.col(c) for c in partition_by])
-    writer = df.write.mode("overwrite")
+    writer = df.write.mode("overwrite").option("compression", CODEC)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
@@ -59,7 +63,7 @@ def scan_table(spark: SparkSession, path: str) -> DataFrame:
 def keep(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: it is evaluated once, and its plan ends here."""
     path = work_path(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.option("compression", CODEC).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -65,7 +66,7 @@ class MonthlyTable:
         return rows.withColumn(MONTH, (F.col(self.date_key) / 100).cast("int"))
 
     def _numbered(self, stored: DataFrame, name: str, top: int) -> DataFrame:
-        """The rows of a stored table with the numbers after ``top`` as ``name``."""
+        """The rows of a stored table, or of some of its months, with the numbers after ``top`` as ``name``."""
         rows = row_key(stored.drop(name), name, fixed=True).withColumn(name, F.col(name) + top)
         return rows.select(stored.columns) if name in stored.columns else rows
 
@@ -109,7 +110,7 @@ class MonthlyTable:
         """Add the rows whose key the table lacks; with ``updates`` refresh those columns of the others.
 
         ``rows`` is evaluated once.  Only the months that it has rows in are read and written, so a key has
-        to keep its month; with ``everywhere`` the keys of all months are compared, for rows
+        to keep its month, and rows of a month that the table lacks are new without a look; with ``everywhere`` the keys of all months are compared, for rows
         that are dated by when they were made.  All rows of a new key come in; ``updates`` needs keys that
         are unique in ``rows``.  New rows get the numbers after the largest under ``name``.
         """
@@ -119,10 +120,20 @@ class MonthlyTable:
         touched = [r[0] for r in staged.select(MONTH).distinct().collect()]
         _, pointer = self._pointer()
         old = self.months(touched)
-        seen = self.read() if everywhere else old
-        fresh = keep(staged.join(seen.select(*keys), list(keys), "left_anti"), "load")
+        stored = {r.month for r in pointer}
+        if everywhere or stored.issuperset(touched):
+            seen, compared, parts = self.read() if everywhere else old, staged, []
+        else:
+            both = F.coalesce(F.col(MONTH).isin([m for m in touched if m in stored and m is not None]), F.lit(None in stored))
+            seen, compared, parts = old, staged.where(both), [staged.where(~both)]
+        if not parts or not stored.isdisjoint(touched):
+            parts.append(keep(compared.join(seen.select(*keys), list(keys), "left_anti"), "load"))
         if name:
-            fresh = self._numbered(fresh, name, max((r.top or 0 for r in pointer), default=0))
+            top = max((r.top or 0 for r in pointer), default=0)
+            for i, part in enumerate(parts):
+                parts[i] = self._numbered(part, name, top)
+                top += part.count() if i + 1 < len(parts) else 0
+        fresh = reduce(DataFrame.unionByName, parts)
         if updates:
             known = staged.join(old.select(*keys), list(keys), "left_semi")
             old = merge_upsert(old, known, keys, updates)

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillwork import catalog
+from tillwork.operators.pages import distinct_counts, distinct_pages
 from tillwork.operators.quality import star_report
 from tillwork.plans import dims
 from tillwork.plans.monthly import MonthResult, run_month
@@ -242,9 +243,11 @@ NUMBERED = {"fact_sales": "sale_key", "fact_orders": "order_key", "fact_payments
 def load_two_batches_keys(r):
     """The generated numbers go on from batch to batch, each given once."""
     wh = loaded_twice(r)
+    # dense numbers are counted exactly by their bitmap pages, a few KB for each 32,768 of them
     parts = [
         wh.read(name).agg(
-            F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("rows"), F.count_distinct(key).alias("keys"),
+            F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("rows"),
+            F.first(distinct_counts(distinct_pages(wh.read(name), key), "n").scalar()).alias("keys"),
             F.min(key).alias("least"), F.max(key).alias("most"),
         )
         for name, key in NUMBERED.items()
