@@ -57,10 +57,14 @@ def first_repeat(rank: Column) -> dict[str, Column]:
     return {"is_first_purchase": rank == 1, "is_repeat_customer": rank > 1}
 
 
-def first_orders(orders: DataFrame, customer: str, ts: str, tie: str) -> DataFrame:
-    """The order each customer placed first: rank 1 without ranking, so it combines map-side."""
+def first_orders(orders: DataFrame, customer: str, ts: str, tie: str, as_text: bool = False) -> DataFrame:
+    """The order each customer placed first: rank 1 without ranking, so it combines map-side.
+
+    With ``as_text`` orders of one time are compared by ``tie`` as a string.
+    """
     no_time = F.lit("9999-12-31").cast("timestamp_ntz")
-    earliest = F.min(F.struct(F.coalesce(F.col(ts), no_time).alias("t"), F.col(tie).alias("k")))
+    by = [F.col(tie).cast("string").alias("s")] if as_text else []
+    earliest = F.min(F.struct(F.coalesce(F.col(ts), no_time).alias("t"), *by, F.col(tie).alias("k")))
     return orders.groupBy(customer).agg(earliest.alias("e")).select(F.col("e.k").alias(tie))
 
 

@@ -71,17 +71,17 @@ def customer_stats(orders: DataFrame, payments: DataFrame) -> DataFrame:
     paid = payments.groupBy("order_id").agg(
         F.count(F.lit(1)).alias("n"), F.sum("payment_value").alias("v")
     )
+    return customer_sums(orders.select("order_id", "customer_id", "order_purchase_timestamp").join(paid, "order_id"))
+
+
+def customer_sums(paid: DataFrame) -> DataFrame:
+    """Sums per customer of orders with their number ``n`` and value ``v`` of payments."""
     bought = "order_purchase_timestamp"
-    return (
-        orders.select("order_id", "customer_id", bought)
-        .join(paid, "order_id")
-        .groupBy("customer_id")
-        .agg(
-            F.sum("n").alias("order_count"),
-            F.sum("v").cast("decimal(20,2)").alias("total_spent"),
-            F.min(bought).cast("date").alias("first_order_date"),
-            F.max(bought).cast("date").alias("last_order_date"),
-        )
+    return paid.groupBy("customer_id").agg(
+        F.sum("n").alias("order_count"),
+        F.sum("v").cast("decimal(20,2)").alias("total_spent"),
+        F.min(bought).cast("date").alias("first_order_date"),
+        F.max(bought).cast("date").alias("last_order_date"),
     )
 
 
@@ -92,9 +92,10 @@ def build_dim_customer(
     target: DataFrame | None = None,
     run_ts: dt.datetime | None = None,
     keys: DataFrame | None = None,
+    stats: DataFrame | None = None,
 ) -> DataFrame:
-    """``keys`` (customer_id, customer_key) is the stored key map, see ``KeyMap``."""
-    stats = customer_stats(orders, payments)
+    """``keys`` (customer_id, customer_key) is the stored key map, see ``KeyMap``; ``stats`` replaces ``customer_stats``."""
+    stats = customer_stats(orders, payments) if stats is None else stats
     n, spent = F.col("order_count"), F.col("total_spent")
     rows = (
         customers.join(stats, "customer_id", "left")
@@ -146,15 +147,17 @@ def seller_stats(items: DataFrame, orders: DataFrame) -> DataFrame:
     per_order = items.groupBy("order_id", "seller_id").agg(
         F.count(F.lit(1)).alias("n"), F.sum(F.col("price") + F.col("freight_value")).alias("v")
     )
-    return (
-        per_order.join(orders.select("order_id", bought), "order_id")
-        .groupBy("seller_id")
-        .agg(
-            F.sum("n").alias("sales_count"),
-            F.sum("v").cast("decimal(20,2)").alias("revenue"),
-            F.min(bought).cast("date").alias("first_sale_date"),
-            F.max(bought).cast("date").alias("last_sale_date"),
-        )
+    return seller_sums(per_order.join(orders.select("order_id", bought), "order_id"))
+
+
+def seller_sums(sold: DataFrame) -> DataFrame:
+    """Sums per seller of orders with their number ``n`` and value ``v`` of the seller's lines."""
+    bought = "order_purchase_timestamp"
+    return sold.groupBy("seller_id").agg(
+        F.sum("n").alias("sales_count"),
+        F.sum("v").cast("decimal(20,2)").alias("revenue"),
+        F.min(bought).cast("date").alias("first_sale_date"),
+        F.max(bought).cast("date").alias("last_sale_date"),
     )
 
 
@@ -166,9 +169,10 @@ def build_dim_seller(
     run_ts: dt.datetime | None = None,
     ratings: DataFrame | None = None,
     keys: DataFrame | None = None,
+    stats: DataFrame | None = None,
 ) -> DataFrame:
-    """``ratings`` (seller_id, avg_rating) fills the rating column when given."""
-    joined = sellers.join(seller_stats(items, orders), "seller_id", "left")
+    """``ratings`` (seller_id, avg_rating) fills the rating column when given; ``stats`` replaces ``seller_stats``."""
+    joined = sellers.join(seller_stats(items, orders) if stats is None else stats, "seller_id", "left")
     rating = F.lit(None)
     if ratings is not None:
         joined = joined.join(ratings.select("seller_id", "avg_rating"), "seller_id", "left")

@@ -32,13 +32,14 @@ def build_fact_sales(
     dim_customer: DataFrame,
     dim_product: DataFrame,
     dim_seller: DataFrame,
+    text_ties: bool = False,
 ) -> DataFrame:
     """One row per order item whose order, customer, product and seller are known.
 
     Everything about the order is settled at order grain; the items, by far
-    the larger side, are then joined to it once by order.
+    the larger side, are then joined to it once by order.  ``text_ties``: orders of one time go by their id as a string.
     """
-    first = first_orders(orders, "customer_id", BOUGHT, "order_id").withColumn("first", F.lit(True))
+    first = first_orders(orders, "customer_id", BOUGHT, "order_id", text_ties).withColumn("first", F.lit(True))
     known = (
         _orders_with_customer(orders, dim_customer)
         .join(first, "order_id", "left")
@@ -134,15 +135,26 @@ def build_fact_reviews(
     dim_customer: DataFrame,
     dim_product: DataFrame,
     dim_seller: DataFrame,
+    stored: DataFrame | None = None,
 ) -> DataFrame:
     """One row per review and item of its order (one row where the order has none).
 
-    The keys of every order's items meet first, as narrow rows.  The reviews with their text meet them
+    Orders with a review, few of all, are picked first, and the keys of their items meet as narrow rows.  With
+    ``stored``, the fact so far, orders whose reviews are all in it are left out.  The reviews with their text meet them
     in one inner join by order, whose sides can both be split where an order is hot: one shuffle moves text.
     """
-    known = _orders_with_customer(orders, dim_customer).select("order_id", "customer_key")
+    reviewed = reviews.select("review_id", "order_id")
+    if stored is not None:
+        seen = stored.select(*[F.col(c).try_cast(reviews.schema[c].dataType).alias(c) for c in reviewed.columns])
+        reviewed = reviewed.join(seen, reviewed.columns, "left_anti")
+    reviewed = reviewed.select("order_id").distinct()
+    known = (
+        _orders_with_customer(orders.join(reviewed, "order_id", "left_semi"), dim_customer)
+        .select("order_id", "customer_key")
+    )
     lines = (
         items.select("order_id", "product_id", "seller_id")
+        .join(reviewed, "order_id", "left_semi")
         .join(keys_of(dim_product, "product"), "product_id", "left")
         .join(keys_of(dim_seller, "seller"), "seller_id", "left")
         .select("order_id", "product_key", "seller_key")

@@ -19,8 +19,8 @@ from tillwork import catalog
 from tillwork.functions.dates import key_of
 from tillwork.operators.experiment import exposure_events
 from tillwork.operators.keymap import KeyMap
-from tillwork.plans import dims, facts
-from tillwork.sources.files import publish, scan_published, versions
+from tillwork.plans import dims, facts, orderbook
+from tillwork.sources.files import keep, publish, scan_published, versions
 from tillwork.sources.months import MONTH, MonthlyTable
 
 
@@ -129,47 +129,52 @@ def load_batch(
     def stored(name: str) -> DataFrame | None:
         return wh.read(name) if wh.exists(name) else None
 
-    def dim(name: str, build, source: DataFrame, *more: DataFrame) -> DataFrame:
+    def dim(name: str, build, source: DataFrame, *more: DataFrame, **given: DataFrame) -> DataFrame:
         keys, target = wh.keys(name).extend(source), stored(name)
         if target is not None:
             # the stored identifier is a string
             natural = wh.keys(name).natural[0]
             target = target.withColumn(natural, F.col(natural).cast(source.schema[natural].dataType))
-        return wh.write(name, build(source, *more, target=target, run_ts=run_ts, keys=keys))
+        return wh.write(name, build(source, *more, target=target, run_ts=run_ts, keys=keys, **given))
+
+    # stored identifiers are strings, but facts join on them as they come, with the key maps, wherever all tables
+    # agree on the type: numbers are narrower
+    def alike(name: str, *frames: DataFrame) -> list[DataFrame]:
+        if len({df.schema[name].dataType for df in frames}) == 1:
+            return list(frames)
+        return [df.withColumn(name, F.col(name).cast("string")) for df in frames]
+
+    orders, items, payments, reviews = alike("order_id", orders, items, payments, reviews)
+    # the one time that items and payments are summed per order
+    orders = keep(orderbook.order_book(orders, items, payments), "orders")
 
     bounds = dims.date_bounds(spark, *calendar) if calendar else dims.date_range(orders, reviews)
     wh.write("dim_date", dims.build_dim_date(bounds, stored("dim_date"), run_ts=run_ts))
     statuses = wh.write("dim_order_status", dims.build_dim_order_status(spark))
-    customer = dim("dim_customer", dims.build_dim_customer, customers, orders, payments)
-    product = dim("dim_product", dims.build_dim_product, tables["products"])
-    seller = dim("dim_seller", dims.build_dim_seller, tables["sellers"], items, orders)
-
-    # stored identifiers are strings; the facts join on them as such
-    def text_ids(df: DataFrame, *names: str) -> DataFrame:
-        return df.withColumns({n: F.col(n).cast("string") for n in names})
-
-    orders_t = text_ids(orders, "order_id", "customer_id")
-    items_t = text_ids(items, "order_id", "product_id", "seller_id")
-    payments_t = text_ids(payments, "order_id")
-    reviews_t = text_ids(reviews, "order_id", "review_id")
+    customer = dim("dim_customer", dims.build_dim_customer, customers, orders, payments, stats=orderbook.customer_stats(orders))
+    dim("dim_product", dims.build_dim_product, tables["products"])
+    seller = dim("dim_seller", dims.build_dim_seller, tables["sellers"], items, orders, stats=orderbook.seller_stats(orders))
+
+    maps = [wh.keys(d).read() for d in ("dim_customer", "dim_product", "dim_seller")]
+    orders_t, customer_ids = alike("customer_id", orders, maps[0])
+    items_t, product_ids = alike("product_id", items, maps[1])
+    items_t, seller_ids = alike("seller_id", items_t, maps[2])
     batch = orders_t.where(bought >= F.lit(since).cast("timestamp_ntz")) if since is not None else orders_t
 
     # whether an order is a customer's first is a matter of all orders, so sales are cut by date afterwards
-    sales = facts.build_fact_sales(items_t, orders_t, customer, product, seller).where(F.col("order_date_key") >= first)
+    sales = facts.build_fact_sales(items_t, orders_t, customer_ids, product_ids, seller_ids, text_ties=True).where(F.col("order_date_key") >= first)
     sales = wh.merge("fact_sales", sales.withColumn("created_at", stamp), ["order_id", "order_item_id"], "sale_key")
 
-    fact_orders = facts.build_fact_orders(batch, items_t, customer).withColumn("created_at", stamp)
-    declared: list[str] = []
-    if {"order_approved_at", "order_delivered_customer_date", "order_estimated_delivery_date"} <= set(orders.columns):
-        declared = DECLARED
-        later = facts.order_declared_measures(batch, items_t, statuses)
-        fact_orders = fact_orders.join(later.select("order_id", *declared), "order_id", "left")
-    wh.merge("fact_orders", fact_orders, ["order_id"], "order_key", updates=declared)
+    dated = {"order_approved_at", "order_delivered_customer_date", "order_estimated_delivery_date"} <= set(orders.columns)
+    declared = DECLARED if dated else []
+    fact_orders = orderbook.build_fact_orders(batch, customer_ids, statuses if dated else None)
+    wh.merge("fact_orders", fact_orders.withColumn("created_at", stamp), ["order_id"], "order_key", updates=declared)
 
-    paid = facts.build_fact_payments(payments_t, batch, customer).withColumn("created_at", stamp)
+    paid = facts.build_fact_payments(payments, batch, customer_ids).withColumn("created_at", stamp)
     wh.merge("fact_payments", paid, ["order_id", "payment_sequential"], "payment_key")
     # a review may come long after its order, so all of them are looked at
-    reviewed = facts.build_fact_reviews(reviews_t, orders_t, items_t, customer, product, seller)
+    ids = (customer_ids, product_ids, seller_ids)
+    reviewed = facts.build_fact_reviews(reviews, orders_t, items_t, *ids, stored=stored("fact_reviews"))
     reviewed = wh.merge("fact_reviews", reviewed.withColumn("created_at", stamp), ["review_id", "order_id"], "review_key")
     ratings = dims.seller_avg_rating(reviewed)
     seller = wh.write("dim_seller", seller.drop("avg_rating").join(ratings, "seller_key", "left"))
