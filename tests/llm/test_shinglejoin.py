@@ -226,3 +226,12 @@ def test_one_row_of_each_group_stays(spark):
     kept = [(r.doc_id, r.text) for r in sj.one_of_each(frame(spark, rows)).collect()]
     assert len(kept) == 5 and {(2, a), (8, near(c)), (8, "only here"), (7, None)} < set(kept)
     assert [i for i, t in kept if t in (b, near(b))] == [None]
+
+
+def test_runs_are_packed():
+    """Steps of a sorted run come back whole, and a quarter of their bytes is zeros."""
+    rng = np.random.default_rng(3)
+    run = np.unique(rng.integers(5 << 54, 6 << 54, 300, dtype=np.uint64))
+    for part in (run, run[:1], np.array([0, (1 << 64) - 1], np.uint64)):
+        assert sj._unpacked(sj._packed(part)).view(np.uint64).tolist() == part.tolist()
+    assert sj._packed(run).count(0) > 0.24 * 8 * len(run)

@@ -123,6 +123,8 @@ def _mapped(df: DataFrame, make, schema: str) -> DataFrame:
         for batch in batches:
             for small in (batch.slice(i, 500) for i in range(0, batch.num_rows, 500)):
                 yield pa.RecordBatch.from_pydict(make(small), schema=arrow)
+            # what a batch of texts took goes back before the worker rests
+            pa.default_memory_pool().release_unused()
 
     return df.mapInArrow(run, whole)
 
@@ -148,6 +150,16 @@ def _prefix(s: np.ndarray, order: int, rule: Rule, last: np.ndarray | None = Non
     return ordered_prefix(s, order, prefix_length(len(s), rule.num, rule.den), last) if len(s) else s
 
 
+def _packed(run: np.ndarray) -> bytes:
+    """A sorted run by its steps, first all lowest bytes, last all highest: those are zeros, which the shuffle's codec takes out."""
+    return np.diff(run, prepend=np.uint64(0)).view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def _unpacked(packed: bytes) -> np.ndarray:
+    steps = np.ascontiguousarray(np.frombuffer(packed, np.uint8).reshape(8, -1).T).view(np.uint64).ravel()
+    return np.cumsum(steps, dtype=np.uint64).view(np.int64)
+
+
 def crowded_tokens(docs: DataFrame, crowds: np.ndarray, n_tokens: int, rule: Rule = EXACT) -> DataFrame:
     """(token) of more than ``PAIRED`` of the texts that have a token of the filter ``crowds`` in their prefix.
 
@@ -162,7 +174,7 @@ def crowded_tokens(docs: DataFrame, crowds: np.ndarray, n_tokens: int, rule: Rul
         bucket, first = np.unique(token >> np.uint64(64 - bits), return_index=True)
         ends = np.append(first, len(token)).tolist()
         cuts = list(zip(ends, ends[1:], strict=False))
-        columns = [[rows[lo:hi].tobytes() for lo, hi in cuts] for rows in (token, m.astype(np.int64))]
+        columns = [[_packed(token[lo:hi]) for lo, hi in cuts], [m[lo:hi].astype(np.int64).tobytes() for lo, hi in cuts]]
         return pa.RecordBatch.from_arrays([pa.array(bucket.astype(np.int64)), *map(pa.array, columns)], ["bucket", "tokens", "counts"])
 
     def sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -180,7 +192,7 @@ def crowded_tokens(docs: DataFrame, crowds: np.ndarray, n_tokens: int, rule: Rul
             yield runs(kept)
 
     def crowded(tokens: list[bytes], counts: list[bytes]) -> pa.RecordBatch:
-        token, m = np.frombuffer(b"".join(tokens), np.int64), np.frombuffer(b"".join(counts), np.int64)
+        token, m = np.concatenate([_unpacked(t) for t in tokens]), np.frombuffer(b"".join(counts), np.int64)
         order = np.argsort(token, kind="stable")
         token, m = token[order], m[order]
         first = np.flatnonzero(np.append(True, token[1:] != token[:-1]))
