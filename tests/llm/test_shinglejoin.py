@@ -141,6 +141,42 @@ def test_tokens_of_crowds(spark, monkeypatch, counted):
     assert sj.crowded_tokens(docs, none, 0).collect() == [] and sj.crowded_tokens(docs.limit(0), every, 0).collect() == []
 
 
+@pytest.mark.parametrize("k", [3, 5])
+@pytest.mark.parametrize("together", [1, 1 << 18])
+def test_sets_of_many_texts_are_those_of_each(monkeypatch, k, together):
+    """Equal sets have equal hashes, different shingles different ones, wherever a text is cut into words."""
+    monkeypatch.setattr(sj, "TOGETHER", together)
+    rng = random.Random(4)
+    texts = [None, "", " \n", "a", "A", "a b", "x" * 64 + " y z", "x" * 65 + " y z", "\0 a\0 \0a", "  p q\x0br\x1cs t u  ", "é É ü ß ñ"]
+    texts += ["".join(rng.choices("abAB \t\n", k=rng.randrange(200))) for _ in range(200)]
+    want = [{" ".join("".join(chr(c) for c in w) for w in s) for s in plain_shingles(t, k)} for t in texts]
+    got = [s.tolist() for s in sj.shingle_sets(texts, k)]
+    assert [len(s) for s in got] == [len(s) for s in want] and all(s == sorted(set(s)) for s in got)
+    assert got == [sj.shingle_set(t, k).tolist() for t in texts]
+    assert len({h for s in got for h in s}) == len(set().union(*want))
+    assert len({(frozenset(w), tuple(s)) for w, s in zip(want, got, strict=True)}) == len({frozenset(w) for w in want})
+
+
+def plain_shingles(text, k):
+    w = [tuple(x) for x in (text or "").encode().lower().split()]
+    return {tuple(w)} if 0 < len(w) < k else {tuple(w[i : i + k]) for i in range(len(w) - k + 1)}
+
+
+def test_families_of_near_copies_meet_leaders_first(spark, monkeypatch):
+    """Families whose pairs are a few times their rows: listing them grows with the square of a family."""
+    rng, rows, turns = random.Random(8), [], []
+    for f in range(12):
+        words = [f"w{f}_{i}" for i in range(60)]
+        for _ in range(8):
+            copy = list(words)
+            copy[rng.randrange(60)] = f"x{rng.randrange(10**9)}"
+            rows.append((len(rows), " ".join(copy)))
+    leader_pairs = sj.leader_pairs
+    monkeypatch.setattr(sj, "leader_pairs", lambda rows, turn, rule: turns.append(turn) or leader_pairs(rows, turn, rule))
+    assert result(spark, rows) == brute(rows)
+    assert turns
+
+
 def test_edges(spark):
     long = " ".join(str(i) for i in range(60_000))
     rows = [(1, None), (2, ""), (3, " \n"), (4, "a"), (5, "A"), (6, "a b"), (7, "a  B"), (8, long), (9, long + " x"), (10, "é É"), (11, "É é")]

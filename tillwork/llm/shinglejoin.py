@@ -11,8 +11,8 @@ compared with one of them, and nodes that links join already are not listed as p
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from functools import lru_cache, partial, reduce
+from collections.abc import Iterable, Iterator
+from functools import reduce
 from typing import NamedTuple
 
 import numpy as np
@@ -42,13 +42,21 @@ ORDERS = 2
 #: tokens of more texts go last
 PAIRED = 6
 #: leaders are sought until no more pairs than so many a row are left to list
-LISTED = 4
+LISTED = 2
 #: some eight buckets of counted tokens hold so many
 COUNTED = 1 << 20
-#: words whose hashes one Python worker keeps
-REMEMBERED = 200_000
+#: pairs that are compared at a time
+COMPARED = 50
+#: bytes of texts that are cut into words at a time
+TOGETHER = 1 << 18
+#: bytes of the longest word that is hashed along with others
+LONG = 64
 
 _MULTIPLIERS = [np.uint64(m) for m in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
+#: the first 0 to 8 bytes of eight
+_FIRST = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
+#: white space among the bytes
+_BLANK = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
 
 
 def _mixed(h: np.ndarray, salt: int = 0) -> np.ndarray:
@@ -59,34 +67,74 @@ def _mixed(h: np.ndarray, salt: int = 0) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
-class _Words(dict):
-    def __missing__(self, word: bytes) -> int:
-        h = xxhash.xxh64_intdigest(word)
-        if len(self) < REMEMBERED and len(word) < 64:
-            self[word] = h
-        return h
+def _word_hashes(raw: np.ndarray, at: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each word: its length and its bytes, eight at a time.
 
-
-_words = _Words()
-
-
-def shingle_set(text: str | None, k: int = EXACT.shingle) -> np.ndarray:
-    """Sorted 64-bit hashes of the distinct runs of ``k`` words; of all words if there are fewer.
-
-    Words are runs of anything but ASCII white space, A-Z in lower case.
+    Words begin ``at`` in ``raw``, a whole number of eights that go on for two behind the last word.
     """
-    words = (text or "").encode().lower().split()
-    if not words:
-        return np.zeros(0, np.uint64)
-    if len(words) < k:
-        return np.array([xxhash.xxh64_intdigest(b" ".join(words), len(words))], np.uint64)
-    h = np.fromiter(map(_words.__getitem__, words), np.uint64, len(words))
-    n = len(h) - k + 1
+    eights = raw.view("<u8")
+    h = size.astype(np.uint64) * _MULTIPLIERS[2]
+    left = np.flatnonzero(size <= LONG)
+    lo = 0
+    while len(left):
+        place = at[left] + lo
+        shift = (place & 7).astype(np.uint64) << np.uint64(3)
+        place >>= 3
+        block = (eights[place] >> shift) | (eights[place + 1] << np.uint64(1) << (np.uint64(63) - shift))
+        h[left] = _mixed(h[left] ^ (block & _FIRST[np.minimum(size[left] - lo, 8)]))
+        lo += 8
+        left = left[size[left] > lo]
+    for i in np.flatnonzero(size > LONG).tolist():
+        h[i] = xxhash.xxh64_intdigest(raw[at[i] : at[i] + size[i]].tobytes())
+    return h
+
+
+def _sets_together(texts: list[bytes], k: int) -> Iterator[np.ndarray]:
+    length = np.array([len(t) for t in texts], np.int64)
+    data = b" " + b" ".join(texts)
+    raw = np.frombuffer(data.ljust((len(data) + 24) & ~7), np.uint8)
+    blank = _BLANK[raw]
+    edges = np.flatnonzero(blank[1:] != blank[:-1]) + 1
+    at, size = edges[::2], edges[1::2] - edges[::2]
+    h = _word_hashes(raw, at, size)
+    first = np.searchsorted(at, np.append(0, np.cumsum(length + 1)) + 1)
+    n = max(0, len(h) - k + 1)
     mixed = h[:n] * _MULTIPLIERS[0]
     for i in range(1, k):
         mixed = _mixed(mixed + h[i : i + n] * _MULTIPLIERS[i % 3])
-    mixed.sort()
-    return mixed[np.r_[True, mixed[1:] != mixed[:-1]]]
+    bounds = first.tolist()
+    for lo, hi in zip(bounds, bounds[1:], strict=False):
+        mixed[lo : max(lo, hi - k + 1)].sort()
+    fresh = np.append(True, mixed[1:] != mixed[:-1])[:n]
+    fresh[first[:-1][first[:-1] < n]] = True
+    for text, lo, hi in zip(texts, bounds, bounds[1:], strict=False):
+        if 0 < hi - lo < k:
+            yield np.array([xxhash.xxh64_intdigest(b" ".join(text.split()), hi - lo)], np.uint64)
+        else:
+            end = max(lo, hi - k + 1)
+            yield mixed[lo:end][fresh[lo:end]]
+
+
+def shingle_sets(texts: Iterable[str | None], k: int = EXACT.shingle) -> Iterator[np.ndarray]:
+    """For each text, sorted 64-bit hashes of the distinct runs of ``k`` words; of all words if there are fewer.
+
+    Words are runs of anything but ASCII white space, A-Z in lower case.  Texts are cut into words some
+    ``TOGETHER`` bytes at a time, a longer one alone.
+    """
+    some, size = [], 0
+    for text in texts:
+        some.append((text or "").encode().lower())
+        size += len(some[-1])
+        if size > TOGETHER:
+            yield from _sets_together(some, k)
+            some, size = [], 0
+    if some:
+        yield from _sets_together(some, k)
+
+
+def shingle_set(text: str | None, k: int = EXACT.shingle) -> np.ndarray:
+    """The set of one text, see ``shingle_sets``."""
+    return next(shingle_sets([text], k))
 
 
 def prefix_length(n: int, num: int = EXACT.num, den: int = EXACT.den) -> int:
@@ -133,7 +181,7 @@ def sets(docs: DataFrame, rule: Rule = EXACT) -> DataFrame:
     """(doc_id, n, s1, s2, tokens) of each row: set size, a 128-bit digest, a prefix by hash alone."""
 
     def make(batch: pa.RecordBatch) -> dict:
-        of = [shingle_set(t, rule.shingle) for t in batch.column("text").to_pylist()]
+        of = list(shingle_sets(batch.column("text").to_pylist(), rule.shingle))
         digest = [divmod(xxhash.xxh3_128_intdigest(s.tobytes()), 1 << 64) for s in of]
         s1, s2 = np.array(digest, np.uint64).reshape(-1, 2).view(np.int64).T
         tokens = [_long(_prefix(s, 0, rule)) for s in of]
@@ -180,8 +228,7 @@ def crowded_tokens(docs: DataFrame, crowds: np.ndarray, n_tokens: int, rule: Rul
     def sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept, size = [], 0
         for batch in batches:
-            for text in batch.column(0):
-                s = shingle_set(text.as_py(), rule.shingle)
+            for s in shingle_sets((text.as_py() for text in batch.column(0)), rule.shingle):
                 if len(s) and _passes(crowds, _prefix(s, 0, rule)).any():
                     kept.append(s)
                     size += len(s)
@@ -223,13 +270,13 @@ def prefix_rows(docs: DataFrame, last: np.ndarray, rule: Rule = EXACT) -> DataFr
 
     def make(batch: pa.RecordBatch) -> dict:
         out = {"doc_id": [], "n": [], "tokens": []}
-        for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
-            s = shingle_set(text, rule.shingle)
+        of = list(shingle_sets(batch.column("text").to_pylist(), rule.shingle))
+        late = np.split(_passes(last, np.concatenate(of)), np.cumsum([len(s) for s in of])[:-1])
+        for doc_id, s, some in zip(batch.column("doc_id").to_pylist(), of, late, strict=True):
             if len(s):
                 out["doc_id"].append(doc_id)
                 out["n"].append(len(s))
-                late = _passes(last, s)
-                out["tokens"].append([_long(_prefix(s, o, rule, late)) for o in range(ORDERS)])
+                out["tokens"].append([_long(_prefix(s, o, rule, some)) for o in range(ORDERS)])
         return out
 
     return _mapped(_texts(docs).where("doc_id is not null"), make, "doc_id long, n long, tokens array<array<long>>")
@@ -239,9 +286,9 @@ def _token_counts(tokens: Column, df: DataFrame) -> DataFrame:
     return df.select(F.explode(tokens).alias("token")).groupBy("token").agg(F.count("*").alias("m"))
 
 
-def _spots(values: np.ndarray) -> list[np.ndarray]:
-    """Three bit places of each value in a filter."""
-    return [(_mixed(values, 77 + k) % np.uint64(64 * FILTER_WORDS)).astype(np.int64) for k in range(3)]
+def _spot(values: np.ndarray, k: int) -> np.ndarray:
+    """The bit place with number ``k``, 0 to 2, of each value in a filter, whose size is a power of two."""
+    return (_mixed(values, 77 + k) & np.uint64(64 * FILTER_WORDS - 1)).astype(np.int64)
 
 
 def bit_filter(df: DataFrame, column: str) -> np.ndarray:
@@ -254,7 +301,8 @@ def bit_filter(df: DataFrame, column: str) -> np.ndarray:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = np.zeros(FILTER_WORDS, np.uint64)
         for batch in batches:
-            for spot in _spots(batch.column(0).to_numpy().view(np.uint64)):
+            values = batch.column(0).to_numpy().view(np.uint64)
+            for spot in (_spot(values, k) for k in range(3)):
                 np.bitwise_or.at(words, spot >> 6, np.uint64(1) << (spot & 63).astype(np.uint64))
         used = np.flatnonzero(words)
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(words[used].view(np.int64))], schema=schema)
@@ -266,9 +314,13 @@ def bit_filter(df: DataFrame, column: str) -> np.ndarray:
 
 
 def _passes(words: np.ndarray, values: np.ndarray) -> np.ndarray:
-    inside = np.ones(len(values), bool)
-    for spot in _spots(values):
-        inside &= (words[spot >> 6] >> (spot & 63).astype(np.uint64)) & np.uint64(1) == 1
+    # most values fail at their first place
+    left = np.arange(len(values))
+    for k in range(3):
+        spot = _spot(values[left], k)
+        left = left[(words[spot >> 6] >> (spot & 63).astype(np.uint64)) & np.uint64(1) == 1]
+    inside = np.zeros(len(values), bool)
+    inside[left] = True
     return inside
 
 
@@ -380,14 +432,17 @@ def verified(pairs: DataFrame, texts: DataFrame, rule: Rule = EXACT) -> DataFram
 
     def make(batch: pa.RecordBatch) -> dict:
         out = {"a": [], "b": []}
-        # leaders come up again and again
-        set_of = lru_cache(maxsize=32)(partial(shingle_set, k=rule.shingle))
-        for a, b, x, y in zip(*(batch.column(c).to_pylist() for c in ("a", "b", "a_text", "b_text")), strict=True):
-            own, other = set_of(x), set_of(y)
-            common = len(np.intersect1d(own, other, assume_unique=True))
-            if common * rule.den >= (len(own) + len(other) - common) * rule.num and common:
-                out["a"].append(a)
-                out["b"].append(b)
+        for some in (batch.slice(i, COMPARED) for i in range(0, batch.num_rows, COMPARED)):
+            a, b, x, y = (some.column(c).to_pylist() for c in ("a", "b", "a_text", "b_text"))
+            # leaders come up again and again
+            texts = list(dict.fromkeys(x + y))
+            set_of = dict(zip(texts, shingle_sets(texts, rule.shingle), strict=True))
+            for i in range(len(a)):
+                own, other = set_of[x[i]], set_of[y[i]]
+                common = len(np.intersect1d(own, other, assume_unique=True))
+                if common * rule.den >= (len(own) + len(other) - common) * rule.num and common:
+                    out["a"].append(a[i])
+                    out["b"].append(b[i])
         return out
 
     whole = pairs.join(left, "a").join(right, "b").select("a", "b", "a_text", "b_text")
