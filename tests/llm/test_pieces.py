@@ -3,6 +3,7 @@
 import random
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 
@@ -177,3 +178,12 @@ def test_documents_go_in_slices_by_rows_and_size(monkeypatch):
         batch = pieces.pa.RecordBatch.from_arrays([pieces.pa.array(range(len(column))), pieces.pa.array(column)], ["doc_id", "v"])
         cut = [one.column(1).to_pylist() for one in pieces._slices(batch)]
         assert sum(cut, []) == column and all(len(c) <= 3 and (len(c) == 1 or sum(len(v or []) for v in c) <= 10) for c in cut)
+
+
+def test_slices_of_a_batch_stay_small():
+    """What a worker lays out at a time is bounded by rows and by characters; a longer document goes alone."""
+    texts = ["a" * 10_000] * 600 + ["b"] * 900 + ["c" * 1_500_000, None, ""]
+    batch = pa.RecordBatch.from_pydict({"doc_id": range(len(texts)), "text": texts})
+    slices = [s.column(1).to_pylist() for s in pieces._slices(batch)]
+    assert [t for s in slices for t in s] == texts
+    assert all(len(s) <= 200 and (len(s) == 1 or sum(len(t or "") for t in s) <= 1_000_000) for s in slices)

@@ -30,7 +30,7 @@ from tillwork.llm.common import query, table
 DROPOUT = 0.1
 SEED = 7
 #: cuts of words that one worker keeps; beyond it all are forgotten and made again as they come up
-REMEMBERED = 500_000
+REMEMBERED = 400_000
 #: draws for each character: a part of n characters has fewer than 3 * n candidates
 DRAWS = 4
 #: characters of the longest chunk that is remembered
@@ -76,7 +76,7 @@ def _at(rows: array, index: np.ndarray) -> np.ndarray:
 #: parts that work through their agendas together
 SIDE_BY_SIDE = 1 << 14
 #: rows and characters (or ids) that are worked on together; a longer document goes alone
-TOGETHER = 500, 4_000_000
+TOGETHER = 200, 1_000_000
 #: the cost of a pair that does not merge
 NEVER = np.iinfo(np.int32).max
 
