@@ -12,7 +12,7 @@ import datetime as dt
 from collections.abc import Mapping, Sequence
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillwork import catalog
@@ -71,9 +71,10 @@ class Warehouse:
         number: str,
         updates: Sequence[str] = (),
         everywhere: bool = False,
+        fixed: bool = False,
     ) -> DataFrame:
         """Add to a fact the rows whose key it lacks; see ``MonthlyTable.merge``."""
-        return self.fact(name).merge(catalog.conform(df, name), keys, number, updates, everywhere)
+        return self.fact(name).merge(catalog.conform(df, name), keys, number, updates, everywhere, fixed)
 
     def month(self, name: str, year: int, month: int) -> DataFrame:
         """One month of a fact: a partition filter, so other months are not read."""
@@ -130,12 +131,12 @@ def load_batch(
         return wh.read(name) if wh.exists(name) else None
 
     def dim(name: str, build, source: DataFrame, *more: DataFrame, **given: DataFrame) -> DataFrame:
-        keys, target = wh.keys(name).extend(source), stored(name)
+        target = stored(name)
         if target is not None:
             # the stored identifier is a string
             natural = wh.keys(name).natural[0]
             target = target.withColumn(natural, F.col(natural).cast(source.schema[natural].dataType))
-        return wh.write(name, build(source, *more, target=target, run_ts=run_ts, keys=keys, **given))
+        return wh.write(name, build(source, *more, target=target, run_ts=run_ts, keys=maps[name], **given))
 
     # stored identifiers are strings, but facts join on them as they come, with the key maps, wherever all tables
     # agree on the type: numbers are narrower
@@ -144,37 +145,45 @@ def load_batch(
             return list(frames)
         return [df.withColumn(name, F.col(name).cast("string")) for df in frames]
 
+    sources = {"dim_customer": customers, "dim_product": tables["products"], "dim_seller": tables["sellers"]}
+    maps = {name: wh.keys(name).extend(source) for name, source in sources.items()}
     orders, items, payments, reviews = alike("order_id", orders, items, payments, reviews)
-    # the one time that items and payments are summed per order
-    orders = keep(orderbook.order_book(orders, items, payments), "orders")
+    orders, customer_ids = alike("customer_id", orders, maps["dim_customer"])
+    items, product_ids = alike("product_id", items, maps["dim_product"])
+    items, seller_ids = alike("seller_id", items, maps["dim_seller"])
+    # the one time that orders meet their customers, and items and payments their orders
+    orders = keep(orders.join(facts.keys_of(customer_ids, "customer"), "customer_id", "left"), "orders")
+    unique = orderbook.is_unique(orders)
+    lines = keep(orderbook.sold_lines(items, orders, product_ids, seller_ids), "lines")
+    paid = keep(orderbook.paid_lines(payments, orders), "paid")
 
     bounds = dims.date_bounds(spark, *calendar) if calendar else dims.date_range(orders, reviews)
     wh.write("dim_date", dims.build_dim_date(bounds, stored("dim_date"), run_ts=run_ts))
     statuses = wh.write("dim_order_status", dims.build_dim_order_status(spark))
-    customer = dim("dim_customer", dims.build_dim_customer, customers, orders, payments, stats=orderbook.customer_stats(orders))
+    customer = dim("dim_customer", dims.build_dim_customer, customers, orders, payments, stats=orderbook.paid_by_customer(paid))
     dim("dim_product", dims.build_dim_product, tables["products"])
-    seller = dim("dim_seller", dims.build_dim_seller, tables["sellers"], items, orders, stats=orderbook.seller_stats(orders))
+    seller = dim("dim_seller", dims.build_dim_seller, tables["sellers"], items, orders, stats=orderbook.sold_by_seller(lines))
 
-    maps = [wh.keys(d).read() for d in ("dim_customer", "dim_product", "dim_seller")]
-    orders_t, customer_ids = alike("customer_id", orders, maps[0])
-    items_t, product_ids = alike("product_id", items, maps[1])
-    items_t, seller_ids = alike("seller_id", items_t, maps[2])
-    batch = orders_t.where(bought >= F.lit(since).cast("timestamp_ntz")) if since is not None else orders_t
+    def of_batch(df: DataFrame, when: Column) -> DataFrame:
+        return df.where(when >= F.lit(since).cast("timestamp_ntz")) if since is not None else df
 
-    # whether an order is a customer's first is a matter of all orders, so sales are cut by date afterwards
-    sales = facts.build_fact_sales(items_t, orders_t, customer_ids, product_ids, seller_ids, text_ties=True).where(F.col("order_date_key") >= first)
-    sales = wh.merge("fact_sales", sales.withColumn("created_at", stamp), ["order_id", "order_item_id"], "sale_key")
+    batch = of_batch(orders, bought)
+    # sales without a date stay out
+    sales = orderbook.build_fact_sales(lines).where(F.col("order_date_key") >= first)
+    sales = wh.merge("fact_sales", sales.withColumn("created_at", stamp), ["order_id", "order_item_id"], "sale_key", fixed=True)
 
     dated = {"order_approved_at", "order_delivered_customer_date", "order_estimated_delivery_date"} <= set(orders.columns)
     declared = DECLARED if dated else []
-    fact_orders = orderbook.build_fact_orders(batch, customer_ids, statuses if dated else None)
+    # lines of an id that several orders share would be summed several times
+    book = orderbook.line_book(batch, of_batch(lines, F.col(orderbook.DAY))) if unique else orderbook.order_book(batch, items, payments)
+    fact_orders = orderbook.build_fact_orders(book, None, statuses if dated else None, unique)
     wh.merge("fact_orders", fact_orders.withColumn("created_at", stamp), ["order_id"], "order_key", updates=declared)
 
-    paid = facts.build_fact_payments(payments, batch, customer_ids).withColumn("created_at", stamp)
-    wh.merge("fact_payments", paid, ["order_id", "payment_sequential"], "payment_key")
+    paid = orderbook.build_fact_payments(of_batch(paid, F.col(orderbook.DAY))).withColumn("created_at", stamp)
+    wh.merge("fact_payments", paid, ["order_id", "payment_sequential"], "payment_key", fixed=True)
     # a review may come long after its order, so all of them are looked at
     ids = (customer_ids, product_ids, seller_ids)
-    reviewed = facts.build_fact_reviews(reviews, orders_t, items_t, *ids, stored=stored("fact_reviews"))
+    reviewed = facts.build_fact_reviews(reviews, orders, items, *ids, stored=stored("fact_reviews"))
     reviewed = wh.merge("fact_reviews", reviewed.withColumn("created_at", stamp), ["review_id", "order_id"], "review_key")
     ratings = dims.seller_avg_rating(reviewed)
     seller = wh.write("dim_seller", seller.drop("avg_rating").join(ratings, "seller_key", "left"))

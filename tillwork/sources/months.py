@@ -92,10 +92,13 @@ class MonthlyTable:
             if number not in used:
                 delete(self.spark, folder)
 
-    def replace(self, rows: DataFrame, name: str | None = None) -> DataFrame:
-        """Store ``rows`` in the place of all there is; ``name`` is a key to number them by, from 1."""
+    def replace(self, rows: DataFrame, name: str | None = None, fixed: bool = False) -> DataFrame:
+        """Store ``rows`` in the place of all there is; ``name`` is a key to number them by, from 1.
+
+        ``fixed``: see ``merge``.
+        """
         if name:
-            rows = self._numbered(keep(rows, "load"), name, 0)
+            rows = self._numbered(rows if fixed else keep(rows, "load"), name, 0)
         self._store(self._with_month(rows), [], name)
         return self.read()
 
@@ -106,17 +109,19 @@ class MonthlyTable:
         name: str | None = None,
         updates: Sequence[str] = (),
         everywhere: bool = False,
+        fixed: bool = False,
     ) -> DataFrame:
         """Add the rows whose key the table lacks; with ``updates`` refresh those columns of the others.
 
-        ``rows`` is evaluated once.  Only the months that it has rows in are read and written, so a key has
+        ``rows`` is evaluated once, or, where ``fixed`` says that they are rows of a stored table, picked one by one, not
+        stored again.  Only the months that it has rows in are read and written, so a key has
         to keep its month, and rows of a month that the table lacks are new without a look; with ``everywhere`` the keys of all months are compared, for rows
         that are dated by when they were made.  All rows of a new key come in; ``updates`` needs keys that
         are unique in ``rows``.  New rows get the numbers after the largest under ``name``.
         """
         if not self.exists():
-            return self.replace(rows, name)
-        staged = keep(self._with_month(rows), "load")
+            return self.replace(rows, name, fixed)
+        staged = self._with_month(rows) if fixed else keep(self._with_month(rows), "load")
         touched = [r[0] for r in staged.select(MONTH).distinct().collect()]
         _, pointer = self._pointer()
         old = self.months(touched)
