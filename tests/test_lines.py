@@ -5,10 +5,12 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from tillwork.plans import dims, facts, orderbook
-from tillwork.plans.warehouse import bulk_load
+from tillwork.plans import dims, facts, orderbook, warehouse
+from tillwork.plans.warehouse import bulk_load, load_batch
 from tillwork.session import work_path
+from tillwork.sources import months
 from tillwork.sources.files import keep
+from tillwork.sources.months import MonthlyTable
 
 RUN = dt.datetime(2020, 1, 1)
 DAY, LATER = dt.datetime(2020, 1, 5, 13), dt.datetime(2020, 2, 5)
@@ -91,3 +93,47 @@ def test_an_id_on_two_orders_is_summed_once(spark):
     nine = [(r.item_count, float(r.total_order_value), r.order_key is not None) for r in wh.read("fact_orders").where("order_id = '9'").collect()]
     assert nine == [(3, 8.0, True)]
     assert wh.read("fact_sales").where("order_id = '9'").count() == 6
+
+
+def test_a_later_load_works_on_what_is_new(spark, monkeypatch):
+    """Customers who had their events and reviews that are stored are left out before their rows are made."""
+    t = odd(spark)
+    wh = bulk_load(spark, t, work_path(spark, "odd"), RUN)
+    events = {(r.customer_key, r.test_key, r.event_date_key, r.event_key) for r in wh.read("fact_ab_test_events").collect()}
+    seen = {}
+    spy = warehouse.exposure_events
+    monkeypatch.setattr(warehouse, "exposure_events", lambda customers, *a, **k: seen.update(customers=customers.count()) or spy(customers, *a, **k))
+    build = facts.build_fact_reviews
+    monkeypatch.setattr(facts, "build_fact_reviews", lambda reviews, orders, items, *a, **k: seen.update(items=items.count()) or build(reviews, orders, items, *a, **k))
+    more = t["customers"].where("customer_id = 7").withColumn("customer_id", F.lit(11).cast("long"))
+    t["customers"] = t["customers"].unionByName(more)
+    t["order_reviews"] = t["order_reviews"].unionByName(t["order_reviews"].withColumns({"review_id": F.lit(2).cast("long"), "order_id": F.lit(2).cast("long")}))
+    load_batch(wh, t, dt.datetime(2020, 2, 1))
+    assert seen == {"customers": 1, "items": 3}
+    after = wh.read("fact_ab_test_events").collect()
+    assert events < {(r.customer_key, r.test_key, r.event_date_key, r.event_key) for r in after} and len(after) == len(events) + 1
+    assert sorted((r.review_id, r.review_key is not None) for r in wh.read("fact_reviews").collect()) == [("1", True)] * 3 + [("2", True)] * 3
+
+
+def test_rows_that_are_all_new_are_not_stored_again(spark, monkeypatch):
+    table = MonthlyTable(spark, work_path(spark, "sales"), "day")
+    schema = "k long, order_id string, day int"
+    table.merge(spark.createDataFrame([(None, "a", 20200105)], schema), ["order_id"], "k")
+    kept = []
+    monkeypatch.setattr(months, "keep", lambda df, label: kept.append(keep(df, label)) or kept[-1])
+    table.merge(spark.createDataFrame([(None, "b", 20200106), (None, "c", 20200106), (None, None, 20200107)], schema), ["order_id"], "k")
+    assert len(kept) == 1 and sorted(r.k for r in table.read().collect()) == [1, 2, 3, 4]
+    table.merge(spark.createDataFrame([(None, "b", 20200106), (None, "d", 20200106)], schema), ["order_id"], "k")
+    assert [df.count() for df in kept] == [3, 2, 1] and sorted(r.k for r in table.read().collect()) == [1, 2, 3, 4, 5]
+    version = table.versions_by_month()
+    table.merge(spark.createDataFrame([], schema), ["order_id"], "k")
+    assert table.versions_by_month() == version
+
+
+def test_nobody_new_makes_no_events(spark, monkeypatch):
+    t = odd(spark)
+    wh = bulk_load(spark, t, work_path(spark, "odd"), RUN)
+    before = sorted(map(tuple, wh.read("fact_ab_test_events").collect()), key=str)
+    monkeypatch.setattr(warehouse, "exposure_events", lambda *_, **__: pytest.fail("events of customers who have theirs"))
+    load_batch(wh, t, dt.datetime(2020, 2, 1))
+    assert before and sorted(map(tuple, wh.read("fact_ab_test_events").collect()), key=str) == before

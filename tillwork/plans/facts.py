@@ -128,6 +128,15 @@ def build_fact_payments(payments: DataFrame, orders: DataFrame, dim_customer: Da
     )
 
 
+def reviewed_orders(reviews: DataFrame, stored: DataFrame | None = None) -> DataFrame:
+    """The ids of orders with a review; with ``stored``, the fact so far, of those with a review that it lacks."""
+    reviewed = reviews.select("review_id", "order_id")
+    if stored is not None:
+        seen = stored.select(*[F.col(c).try_cast(reviews.schema[c].dataType).alias(c) for c in reviewed.columns])
+        reviewed = reviewed.join(seen, reviewed.columns, "left_anti")
+    return reviewed.select("order_id").distinct()
+
+
 def build_fact_reviews(
     reviews: DataFrame,
     orders: DataFrame,
@@ -136,18 +145,17 @@ def build_fact_reviews(
     dim_product: DataFrame,
     dim_seller: DataFrame,
     stored: DataFrame | None = None,
+    reviewed: DataFrame | None = None,
 ) -> DataFrame:
     """One row per review and item of its order (one row where the order has none).
 
     Orders with a review, few of all, are picked first, and the keys of their items meet as narrow rows.  With
-    ``stored``, the fact so far, orders whose reviews are all in it are left out.  The reviews with their text meet them
+    ``stored``, the fact so far, orders whose reviews are all in it are left out; ``reviewed`` are the
+    ``reviewed_orders`` where they are known already.  The reviews with their text meet them
     in one inner join by order, whose sides can both be split where an order is hot: one shuffle moves text.
     """
-    reviewed = reviews.select("review_id", "order_id")
-    if stored is not None:
-        seen = stored.select(*[F.col(c).try_cast(reviews.schema[c].dataType).alias(c) for c in reviewed.columns])
-        reviewed = reviewed.join(seen, reviewed.columns, "left_anti")
-    reviewed = reviewed.select("order_id").distinct()
+    if reviewed is None:
+        reviewed = reviewed_orders(reviews, stored)
     known = (
         _orders_with_customer(orders.join(reviewed, "order_id", "left_semi"), dim_customer)
         .select("order_id", "customer_key")

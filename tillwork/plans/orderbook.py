@@ -90,10 +90,7 @@ def sold_by_seller(lines: DataFrame) -> DataFrame:
 
 
 def line_book(orders: DataFrame, lines: DataFrame) -> DataFrame:
-    """``orders``, each with an id of its own, with the sums and sellers of their ``sold_lines``.
-
-    Stored lines lie by order, so most of the sums are made where they are read; a very hot order is summed in parts.
-    """
+    """``orders``, each with an id of its own, with the sums and sellers of their ``sold_lines``; a very hot order is summed in parts."""
     freight = F.col("freight_value")
     sold = lines.groupBy("order_id").agg(
         F.count(F.lit(1)).alias("item_count"),

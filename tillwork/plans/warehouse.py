@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 
 from tillwork import catalog
 from tillwork.functions.dates import key_of
-from tillwork.operators.experiment import exposure_events
+from tillwork.operators.experiment import exposure_events, key_of_test
+from tillwork.operators.joins import not_exists
 from tillwork.operators.keymap import KeyMap
 from tillwork.plans import dims, facts, orderbook
 from tillwork.sources.files import keep, publish, scan_published, versions
@@ -183,7 +184,10 @@ def load_batch(
     wh.merge("fact_payments", paid, ["order_id", "payment_sequential"], "payment_key", fixed=True)
     # a review may come long after its order, so all of them are looked at
     ids = (customer_ids, product_ids, seller_ids)
-    reviewed = facts.build_fact_reviews(reviews, orders, items, *ids, stored=stored("fact_reviews"))
+    # which orders these are is settled first: where they are few, the items are cut as they are read, once
+    asked = keep(facts.reviewed_orders(reviews, stored("fact_reviews")), "reviewed")
+    cut = items.select("order_id", "product_id", "seller_id").join(asked, "order_id", "left_semi")
+    reviewed = facts.build_fact_reviews(reviews, orders, keep(cut, "reviewed-items"), *ids, reviewed=asked)
     reviewed = wh.merge("fact_reviews", reviewed.withColumn("created_at", stamp), ["review_id", "order_id"], "review_key")
     ratings = dims.seller_avg_rating(reviewed)
     seller = wh.write("dim_seller", seller.drop("avg_rating").join(ratings, "seller_key", "left"))
@@ -193,7 +197,13 @@ def load_batch(
     tests, variants = dims.build_ab_dims(spark, test, start_date=run_ts.date(), run_ts=run_ts, target=target)
     tests, variants = wh.write("dim_ab_test", tests), wh.write("dim_test_variant", variants)
     last_day = dims.purchase_range(orders).select("end_date").scalar()
-    events = exposure_events(customer, sales, tests, variants, last_day, test["test_id"]).withColumn("created_at", stamp)
     # a customer is exposed to a test once, in the month of the load that saw them first
+    if (exposed := stored("fact_ab_test_events")) is not None:
+        exposed = exposed.where(F.col("test_key") == key_of_test(tests, test["test_id"]))
+        narrow = customer.select("customer_key", "customer_id", "total_orders")
+        customer = keep(not_exists(narrow, exposed, ["customer_key"]), "unexposed")
+        if customer.isEmpty():
+            return wh
+    events = exposure_events(customer, sales, tests, variants, last_day, test["test_id"]).withColumn("created_at", stamp)
     wh.merge("fact_ab_test_events", events, ["customer_key", "test_key"], "event_key", everywhere=True)
     return wh

@@ -123,6 +123,8 @@ class MonthlyTable:
             return self.replace(rows, name, fixed)
         staged = self._with_month(rows) if fixed else keep(self._with_month(rows), "load")
         touched = [r[0] for r in staged.select(MONTH).distinct().collect()]
+        if not touched:
+            return self.read()
         _, pointer = self._pointer()
         old = self.months(touched)
         stored = {r.month for r in pointer}
@@ -131,8 +133,12 @@ class MonthlyTable:
         else:
             both = F.coalesce(F.col(MONTH).isin([m for m in touched if m in stored and m is not None]), F.lit(None in stored))
             seen, compared, parts = old, staged.where(both), [staged.where(~both)]
-        if not parts or not stored.isdisjoint(touched):
-            parts.append(keep(compared.join(seen.select(*keys), list(keys), "left_anti"), "load"))
+        if not parts and compared.select(*keys).join(seen.select(*keys), list(keys), "left_semi").isEmpty():
+            # by the bare keys all rows are new: they need not move to be picked
+            parts.append(compared)
+        elif not parts or not stored.isdisjoint(touched):
+            # first, as the rows of all parts but the last are counted
+            parts.insert(0, keep(compared.join(seen.select(*keys), list(keys), "left_anti"), "load"))
         if name:
             top = max((r.top or 0 for r in pointer), default=0)
             for i, part in enumerate(parts):
