@@ -137,3 +137,17 @@ def test_nobody_new_makes_no_events(spark, monkeypatch):
     monkeypatch.setattr(warehouse, "exposure_events", lambda *_, **__: pytest.fail("events of customers who have theirs"))
     load_batch(wh, t, dt.datetime(2020, 2, 1))
     assert before and sorted(map(tuple, wh.read("fact_ab_test_events").collect()), key=str) == before
+
+
+def test_only_months_that_are_there_are_updated(spark, monkeypatch):
+    """Rows of new months are not moved to be looked up in old ones."""
+    table = MonthlyTable(spark, work_path(spark, "orders"), "day")
+    schema = "k long, order_id string, day int, v int"
+    table.merge(spark.createDataFrame([(None, "a", 20200105, 1), (None, "n", None, 1)], schema), ["order_id"], "k")
+    sources = []
+    upsert = months.merge_upsert
+    monkeypatch.setattr(months, "merge_upsert", lambda old, known, *a, **k: sources.append(known) or upsert(old, known, *a, **k))
+    table.merge(spark.createDataFrame([(None, "a", 20200105, 2), (None, "n", None, 2), (None, "b", 20200301, 2)], schema), ["order_id"], "k", updates=["v"])
+    rows = {r.order_id: r for r in table.read().collect()}
+    assert {o: r.v for o, r in rows.items()} == {"a": 2, "n": 2, "b": 2} and {rows["a"].k, rows["n"].k} == {1, 2} and rows["b"].k == 3
+    assert "202001" in sources[0]._jdf.queryExecution().optimizedPlan().toString()

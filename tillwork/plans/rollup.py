@@ -46,11 +46,16 @@ class SalesRollup:
         return missing
 
     def _summed(self, sales: DataFrame) -> DataFrame:
-        """A row of totals and the customer pages of each month; sales without a date are a month of their own."""
-        per_order = sales.groupBy(MONTH, "order_id").agg(F.sum("total_value").alias("value"), F.count(F.lit(1)).alias("lines"))
-        totals = per_order.groupBy(MONTH).agg(
+        """A row of totals and the customer pages of each month; sales without a date are a month of their own.
+
+        Money and lines add up where they are read; only the bare ids of orders move, to be counted.
+        """
+        sums = sales.groupBy(MONTH).agg(F.sum("total_value").alias("value"), F.count(F.lit(1)).alias("lines"))
+        counted = sales.select(MONTH, "order_id").distinct().groupBy(MONTH).agg(F.count("order_id").alias("orders"))
+        # by a union, as sales without a date are a month too
+        totals = sums.unionByName(counted, allowMissingColumns=True).groupBy(MONTH).agg(
             F.sum("value").cast("decimal(38,2)").alias("value"),
-            F.count("order_id").alias("orders"),
+            F.sum("orders").alias("orders"),
             F.sum("lines").alias("lines"),
         )
         return totals.unionByName(distinct_pages(sales, "customer_key", MONTH), allowMissingColumns=True)

@@ -146,7 +146,7 @@ class MonthlyTable:
                 top += part.count() if i + 1 < len(parts) else 0
         fresh = reduce(DataFrame.unionByName, parts)
         if updates:
-            known = staged.join(old.select(*keys), list(keys), "left_semi")
+            known = compared.join(old.select(*keys), list(keys), "left_semi")
             old = merge_upsert(old, known, keys, updates)
         merged = old.unionByName(fresh.select(*old.columns))
         self._store(merged, [r for r in pointer if r.month not in touched], name)
